@@ -5,7 +5,7 @@ Every reader is a column expression over one line, so files are parsed where the
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wardline.functions.clock import parse_time
@@ -16,6 +16,7 @@ PART_FILE = r"part-\d{0,5}$"
 LABEL_AT, STAY_AT, TIME_AT = 3, 5, 6
 VITALS_FROM, VITALS_TO, GCS_AT, AGE_AT = 7, 13, 13, 14
 DATASET_BUCKETS = 64
+SINGLE_FILE_LINES = 1_000_000
 
 
 def read_lines(spark: SparkSession, path: str, parts_only: bool = False) -> DataFrame:
@@ -136,13 +137,48 @@ def parse_scalars(lines: DataFrame, *keys: str, kind: str = "double") -> DataFra
     return _uncommented(lines).select(*keys, F.posexplode(values).alias("t", "obs"))
 
 
-def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines with a unique ``seq_id``; a line ending in a backslash continues on the next.
+def sequence_records(spark: SparkSession, path: str) -> DataFrame:
+    """(file, record, line): one row per sequence; a trailing backslash joins the next line.
 
-    Continuations need neighbouring lines, so Spark splits records at unescaped line ends.
+    Lines are numbered inside their file block, which a scan task reads in order, and blocks
+    are shifted by the number of records that end in the blocks before them.
     """
-    raw = spark.read.option("lineSep", "\n").text(path)
-    return raw.select(F.monotonically_increasing_id().alias("seq_id"), F.col("value").alias("line"))
+    raw = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"),
+        F.rtrim("value").alias("line"),
+    )
+    open_end = F.col("line").endswith("\\")
+    lines = raw.select(
+        "file", "block", "at",
+        F.when(open_end, F.expr("left(line, length(line) - 1)")).otherwise(F.col("line")).alias("line"),
+        (~open_end).cast("long").alias("closes"),
+    )
+    in_block = Window.partitionBy("file", "block").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = lines.groupBy("file", "block").agg(F.sum("closes").alias("closes")).select(
+        "file", "block", F.coalesce(F.sum("closes").over(blocks), F.lit(0)).alias("shift")
+    )
+    numbered = lines.withColumn("inside", F.coalesce(F.sum("closes").over(in_block), F.lit(0))).join(
+        shifts, ["file", "block"]
+    )
+    pieces = F.sort_array(F.collect_list(F.struct("block", "at", "line")))
+    return (
+        numbered.groupBy("file", (F.col("inside") + F.col("shift")).alias("record"))
+        .agg(pieces.alias("p"))
+        .select("file", "record", F.array_join(F.transform("p", lambda p: p["line"]), " ").alias("line"))
+    )
+
+
+def read_vector_sequences(spark: SparkSession, path: str) -> DataFrame:
+    """(file, record, t, obs) of bracketed vector sequences."""
+    return parse_bracketed(sequence_records(spark, path), "file", "record")
+
+
+def read_scalar_sequences(spark: SparkSession, path: str, kind: str = "double") -> DataFrame:
+    """(file, record, t, obs) of integer or real sequences."""
+    return parse_scalars(sequence_records(spark, path), "file", "record", kind=kind)
 
 
 def posterior_lines(rows: DataFrame) -> DataFrame:
@@ -170,8 +206,10 @@ def write_lines(lines: DataFrame, path: str) -> None:
     lines.select("line").write.mode("overwrite").text(path)
 
 
-def write_single_file(lines: DataFrame, path: str) -> None:
-    """One output file, for small results: a single task writes it."""
+def write_single_file(lines: DataFrame, path: str, max_lines: int = SINGLE_FILE_LINES) -> None:
+    """One output file, for small results only: larger ones belong in :func:`write_lines`."""
+    if lines.limit(max_lines + 1).count() > max_lines:
+        raise ValueError(f"more than {max_lines} lines; write them as part files")
     lines.select("line").coalesce(1).write.mode("overwrite").text(path)
 
 
