@@ -13,6 +13,11 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def literal_array(values: Sequence[float]) -> Column:
+    """Array of doubles, handed to the plan as one piece of text."""
+    return F.expr("array(" + ", ".join(f"{float(v)!r}D" for v in values) + ")")
+
+
 def total(values: Sequence[Column]) -> Column:
     out = values[0]
     for v in values[1:]:

@@ -10,18 +10,22 @@ out chunk by chunk. Results equal the plain step-by-step recursion.
 
 from __future__ import annotations
 
-import math
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardline.functions.arrays import elements, let, normalised, scan, total
-from wardline.operators.hmm.model import LOG_FLOOR, Hmm
+from wardline.functions.arrays import elements, let, literal_array, normalised, scan, total
+from wardline.operators.hmm.model import Hmm, log_move
 
 CHUNK_STEPS = 128
 TINY = 1e-300
 KEYS = ["seq_id", "chunk"]
 
+# Columns that carry a model's numbers.
+INITIAL, MOVES, EMITS = "_initial", "_moves", "_emits"
+LOG_INITIAL, LOG_MOVES = "_log_initial", "_log_moves"
+
 
 def chunked(steps: DataFrame, chunk_steps: int = CHUNK_STEPS) -> DataFrame:
     """(seq_id, chunk, steps): at most ``chunk_steps`` ordered (t, obs) per row."""
@@ -33,266 +37,328 @@ def chunked(steps: DataFrame, chunk_steps: int = CHUNK_STEPS) -> DataFrame:
     )
 
 
-def with_densities(chunks: DataFrame, model: Hmm) -> DataFrame:
-    """Adds ``e``: per step the log densities ``lp``, their maximum ``m`` and exp(lp - m)."""
-
-    def emit(step: Column) -> Column:
-        log_densities = F.array(*[em.log_density(step["obs"]) for em in model.emissions])
-        return let(
-            log_densities,
-            lambda lp: F.struct(
-                step["t"].alias("t"),
-                lp.alias("lp"),
-                F.array_max(lp).alias("m"),
-                F.transform(lp, lambda v: F.greatest(F.exp(v - F.array_max(lp)), F.lit(TINY))).alias("b"),
-            ),
-        )
-
-    return chunks.withColumn("e", F.transform("steps", emit))
+def with_model(df: DataFrame, model: Hmm) -> DataFrame:
+    """Adds the model's numbers as literal array columns."""
+    flat = [p for row in model.transitions for p in row]
+    return df.withColumns(
+        {
+            INITIAL: literal_array(model.initial),
+            MOVES: literal_array(flat),
+            EMITS: literal_array([v for em in model.emissions for v in em.parameters()]),
+            LOG_INITIAL: literal_array([log_move(p) for p in model.initial]),
+            LOG_MOVES: literal_array([log_move(p) for p in flat]),
+        }
+    )
 
 
-def moved(vector: Column, model: Hmm) -> list[Column]:
-    """vector * A, one column per state."""
-    k = model.k
-    return [
-        total([vector[l] * F.lit(float(model.transitions[l][j])) for l in range(k)]) for j in range(k)
-    ]
+class Recursions:
+    """Column expressions of the forward and backward recursions for one model layout.
 
+    They depend on the number of states and the kinds of emissions only; the numbers come
+    from the columns of :func:`with_model`. Fits build them once and reuse them every round.
+    """
 
-def moved_back(vector: Column, model: Hmm) -> list[Column]:
-    """A * vector, one column per state."""
-    k = model.k
-    return [
-        total([vector[j] * F.lit(float(model.transitions[i][j])) for j in range(k)]) for i in range(k)
-    ]
+    def __init__(self, model: Hmm):
+        self.k = model.k
+        self.emissions = model.emissions
 
+    def emission_parameters(self, state: int) -> list[Column]:
+        at = sum(len(em.parameters()) for em in self.emissions[:state])
+        n = len(self.emissions[state].parameters())
+        return [F.col(EMITS)[at + i] for i in range(n)]
 
-def _row_step(model: Hmm):
-    k = model.k
+    def move(self, i: int, j: int) -> Column:
+        return F.col(MOVES)[i * self.k + j]
 
-    def step(row: Column, e: Column) -> Column:
-        raw = F.array(*[v * e["b"][j] for j, v in enumerate(moved(row["v"], model))])
-        return let(
-            raw,
-            lambda r: let(
-                total(elements(r, k)),
-                lambda t: F.struct(
-                    F.transform(r, lambda v: v / t).alias("v"),
-                    (row["ls"] + e["m"] + F.log(t)).alias("ls"),
-                ),
-            ),
+    def moved(self, vector: Column) -> Column:
+        """vector * A."""
+        k = self.k
+        return F.array(
+            *[total([vector[i] * self.move(i, j) for i in range(k)]) for j in range(k)]
         )
 
-    return step
+    def moved_back(self, vector: Column) -> Column:
+        """A * vector."""
+        k = self.k
+        return F.array(
+            *[total([vector[j] * self.move(i, j) for j in range(k)]) for i in range(k)]
+        )
 
+    @cached_property
+    def densities(self) -> Column:
+        """Per step: ``t``, log densities ``lp``, their maximum ``m`` and ``b`` = exp(lp - m)."""
 
-def chunk_matrices(chunks: DataFrame, model: Hmm) -> DataFrame:
-    """``rows``: for each entry state, the end state shares ``v`` and log probability ``ls``."""
-    k = model.k
-    first, rest = F.col("e")[0], F.slice("e", 2, F.greatest(F.size("e"), F.lit(1)))
-    step = _row_step(model)
-    entry = F.array(
-        *[
-            F.struct(
-                F.array(*[F.lit(1.0 if i == j else 0.0) for j in range(k)]).alias("v"),
-                first["lp"][i].alias("ls"),
+        def emit(step: Column) -> Column:
+            logs = F.array(
+                *[
+                    em.log_density(step["obs"], self.emission_parameters(i))
+                    for i, em in enumerate(self.emissions)
+                ]
             )
-            for i in range(k)
-        ]
-    )
-    rows = F.aggregate(rest, entry, lambda acc, e: F.transform(acc, lambda row: step(row, e)))
-    return chunks.select(*KEYS, rows.alias("rows"), F.size("e").alias("n"))
 
+            def with_top(lp: Column) -> Column:
+                return let(
+                    F.array_max(lp),
+                    lambda m: F.struct(
+                        step["t"].alias("t"),
+                        lp.alias("lp"),
+                        m.alias("m"),
+                        F.transform(lp, lambda v: F.greatest(F.exp(v - m), F.lit(TINY))).alias("b"),
+                    ),
+                )
 
-def _ordered_matrices(matrices: DataFrame) -> DataFrame:
-    """One small matrix per chunk, a fixed fraction of the steps, brought together in order."""
-    return matrices.groupBy("seq_id").agg(
-        F.sort_array(F.collect_list(F.struct("chunk", "rows"))).alias("c"),
-        F.sum("n").alias("n_steps"),
-    )
+            return let(logs, with_top)
 
+        return F.transform("steps", emit)
 
-def _through(entry: Column, rows: Column, k: int) -> Column:
-    """Struct of the normalised exit vector and the log mass of passing a chunk."""
-    logs = F.array(*[F.when(entry[i] > 0, F.log(entry[i]) + rows[i]["ls"]) for i in range(k)])
+    @cached_property
+    def matrix(self) -> Column:
+        """For each entry state of a chunk: end state shares ``v`` and log probability ``ls``."""
+        k = self.k
 
-    def passed(lw: Column) -> Column:
-        return let(
-            F.array_max(lw),
-            lambda top: let(
-                F.array(
-                    *[
-                        total([F.coalesce(F.exp(lw[i] - top), F.lit(0.0)) * rows[i]["v"][j] for i in range(k)])
-                        for j in range(k)
-                    ]
-                ),
-                lambda raw: let(
-                    total(elements(raw, k)),
+        def step(row: Column, e: Column) -> Column:
+            raw = let(row["v"], lambda v: F.zip_with(self.moved(v), e["b"], lambda a, b: a * b))
+            return let(
+                raw,
+                lambda r: let(
+                    total(elements(r, k)),
                     lambda t: F.struct(
-                        F.transform(raw, lambda v: v / t).alias("exit"), (top + F.log(t)).alias("mass")
+                        F.transform(r, lambda v: v / t).alias("v"),
+                        (row["ls"] + e["m"] + F.log(t)).alias("ls"),
                     ),
                 ),
-            ),
+            )
+
+        entry = F.array(
+            *[
+                F.struct(
+                    literal_array([1.0 if i == j else 0.0 for j in range(k)]).alias("v"),
+                    F.col("e")[0]["lp"][i].alias("ls"),
+                )
+                for i in range(k)
+            ]
+        )
+        rest = F.slice("e", 2, F.size("e"))
+        return F.aggregate(rest, entry, lambda acc, e: F.transform(acc, lambda row: step(row, e)))
+
+    def passed(self, entry: Column, rows: Column) -> Column:
+        """Struct of the normalised exit vector and the log mass of passing a chunk."""
+        k = self.k
+        logs = F.transform(
+            F.arrays_zip(entry.alias("p"), rows.alias("r")),
+            lambda x: F.when(x["p"] > 0, F.log(x["p"]) + x["r"]["ls"]),
         )
 
-    return let(logs, passed)
+        def weigh(lw: Column) -> Column:
+            def exits(w: Column) -> Column:
+                raw = F.array(*[total([w[i] * rows[i]["v"][j] for i in range(k)]) for j in range(k)])
+                return let(
+                    raw,
+                    lambda r: let(
+                        total(elements(r, k)),
+                        lambda t: F.struct(
+                            F.transform(r, lambda v: v / t).alias("exit"),
+                            (F.array_max(lw) + F.log(t)).alias("mass"),
+                        ),
+                    ),
+                )
 
+            # weights relative to the likeliest entry state
+            return let(
+                F.transform(lw, lambda v: F.coalesce(F.exp(v - F.array_max(lw)), F.lit(0.0))), exits
+            )
 
-def chunk_ends(matrices: DataFrame, model: Hmm) -> DataFrame:
-    """Per sequence, the vectors each chunk needs at its two ends.
+        return let(logs, weigh)
 
-    ``entry`` is the state distribution before the chunk's first observation; ``ahead`` is
-    proportional to the probability of everything past the chunk, given the state of the
-    step that follows it (all ones, with ``is_last``, where nothing follows).
-    """
-    k = model.k
-    initial = F.array(*[F.lit(float(p)) for p in model.initial])
-    start = F.struct(initial.alias("entry"), initial.alias("next"))
-
-    def forward(now: Column, c: Column) -> Column:
-        return let(
-            _through(now["next"], c["rows"], k),
-            lambda p: F.struct(
-                now["next"].alias("entry"), F.array(*moved(p["exit"], model)).alias("next")
-            ),
-        )
+    @cached_property
+    def log_likelihood(self) -> Column:
+        """Of a sequence, from its ordered chunk matrices ``c``."""
 
-    ones = F.array(*[F.lit(1.0)] * k)
-    end = F.struct(
-        ones.alias("ahead"), F.lit(True).alias("is_last"),
-        ones.alias("next"), F.lit(True).alias("next_is_last"),
-    )
+        def forward(now: Column, c: Column) -> Column:
+            return let(
+                self.passed(now["entry"], c["rows"]),
+                lambda p: F.struct(
+                    self.moved(p["exit"]).alias("entry"), (now["ll"] + p["mass"]).alias("ll")
+                ),
+            )
 
-    def backward(now: Column, c: Column) -> Column:
-        rows = c["rows"]
-        top = F.array_max(F.transform(rows, lambda r: r["ls"]))
-        after = F.when(now["next_is_last"], now["next"]).otherwise(
-            F.array(*moved_back(now["next"], model))
-        )
+        start = F.struct(F.col(INITIAL).alias("entry"), F.lit(0.0).alias("ll"))
+        return F.aggregate("c", start, forward, lambda s: s["ll"])
 
-        def entered(beta: Column) -> Column:
-            return F.array(
-                *[
-                    F.greatest(
-                        F.exp(rows[i]["ls"] - top)
-                        * total([rows[i]["v"][j] * beta[j] for j in range(k)]),
-                        F.lit(TINY),
-                    )
-                    for i in range(k)
-                ]
+    @cached_property
+    def ends(self) -> Column:
+        """Per chunk of ``c``: the vectors at its two ends.
+
+        ``entry`` is the state distribution before the chunk's first observation; ``ahead``
+        is proportional to the probability of everything past the chunk, given the state of
+        the step that follows it (all ones, with ``is_last``, where nothing follows).
+        """
+        k = self.k
+        start = F.struct(F.col(INITIAL).alias("entry"), F.col(INITIAL).alias("next"))
+
+        def forward(now: Column, c: Column) -> Column:
+            return F.struct(
+                now["next"].alias("entry"),
+                let(self.passed(now["next"], c["rows"]), lambda p: self.moved(p["exit"])).alias("next"),
             )
 
-        return F.struct(
-            now["next"].alias("ahead"),
-            now["next_is_last"].alias("is_last"),
-            let(let(after, entered), lambda u: normalised(u, k)).alias("next"),
-            F.lit(False).alias("next_is_last"),
+        ones = literal_array([1.0] * k)
+        end = F.struct(
+            ones.alias("ahead"), F.lit(True).alias("is_last"),
+            ones.alias("next"), F.lit(True).alias("next_is_last"),
         )
 
-    return _ordered_matrices(matrices).select(
-        "seq_id",
-        "c",
-        scan(F.col("c"), start, forward).alias("fwd"),
-        F.reverse(scan(F.reverse("c"), end, backward)).alias("bwd"),
-    )
+        def backward(now: Column, c: Column) -> Column:
+            after = F.when(now["next_is_last"], now["next"]).otherwise(self.moved_back(now["next"]))
 
+            def entered(beta: Column) -> Column:
+                top = F.array_max(F.transform(c["rows"], lambda r: r["ls"]))
+                return F.transform(
+                    c["rows"],
+                    lambda r: F.greatest(
+                        F.exp(r["ls"] - top) * total([r["v"][j] * beta[j] for j in range(k)]),
+                        F.lit(TINY),
+                    ),
+                )
 
-def log_likelihoods(steps: DataFrame, model: Hmm, chunk_steps: int = CHUNK_STEPS) -> DataFrame:
-    """(seq_id, n_steps, log_likelihood) by the scaled forward recursion."""
-    k = model.k
-    chunks = with_densities(chunked(steps, chunk_steps), model)
-    matrices = chunk_matrices(chunks, model)
-    initial = F.struct(
-        F.array(*[F.lit(float(p)) for p in model.initial]).alias("entry"), F.lit(0.0).alias("ll")
-    )
+            return F.struct(
+                now["next"].alias("ahead"),
+                now["next_is_last"].alias("is_last"),
+                let(let(after, entered), lambda u: normalised(u, k)).alias("next"),
+                F.lit(False).alias("next_is_last"),
+            )
 
-    def forward(now: Column, c: Column) -> Column:
-        return let(
-            _through(now["entry"], c["rows"], k),
-            lambda p: F.struct(
-                F.array(*moved(p["exit"], model)).alias("entry"), (now["ll"] + p["mass"]).alias("ll")
+        fwd = scan(F.col("c"), start, forward)
+        bwd = F.reverse(scan(F.reverse("c"), end, backward))
+        return F.transform(
+            F.arrays_zip(F.col("c"), fwd.alias("f"), bwd.alias("b")),
+            lambda x: F.struct(
+                x["c"]["chunk"].alias("chunk"), x["f"]["entry"].alias("entry"),
+                x["b"]["ahead"].alias("ahead"), x["b"]["is_last"].alias("is_last"),
             ),
         )
 
-    return _ordered_matrices(matrices).select(
-        "seq_id",
-        "n_steps",
-        F.aggregate("c", initial, forward, lambda s: s["ll"]).alias("log_likelihood"),
-    )
-
-
-def chunks_with_ends(chunks: DataFrame, model: Hmm) -> DataFrame:
-    """Chunks with densities, ``entry``, ``ahead``, ``is_first`` and ``is_last``.
+    @cached_property
+    def alphas(self) -> Column:
+        """Per step of a chunk, the state distribution given everything up to it."""
+        k = self.k
+        first = F.struct(F.col("entry").alias("prior"), F.col("entry").alias("alpha"))
+
+        def forward(now: Column, e: Column) -> Column:
+            seen = F.zip_with(now["prior"], e["b"], lambda p, b: p * b)
+            return let(
+                let(seen, lambda s: normalised(s, k)),
+                lambda a: F.struct(self.moved(a).alias("prior"), a.alias("alpha")),
+            )
 
-    The chunk rows stay where their grouping put them; only the small end vectors move.
-    """
-    dense = with_densities(chunks, model)
+        return F.transform(scan(F.col("e"), first, forward), lambda s: s["alpha"])
 
-    def ends_of(cf: Column, b: Column) -> Column:
-        return F.struct(
-            cf["chunk"].alias("chunk"), cf["entry"].alias("entry"),
-            b["ahead"].alias("ahead"), b["is_last"].alias("is_last"),
+    @cached_property
+    def betas(self) -> Column:
+        """Per step of a chunk, the scaled probability of everything after it."""
+        k = self.k
+        after = F.when(F.col("is_last"), F.col("ahead")).otherwise(
+            let(self.moved_back(F.col("ahead")), lambda v: normalised(v, k))
         )
+        last = let(after, lambda a: F.struct(a.alias("beta"), a.alias("next")))
 
-    ends = chunk_ends(chunk_matrices(dense, model), model).select(
-        "seq_id",
-        F.col("c")[0]["chunk"].alias("first_chunk"),
-        F.explode(
-            F.zip_with(
-                F.zip_with(
-                    F.col("c"), F.col("fwd"),
-                    lambda c, f: F.struct(c["chunk"].alias("chunk"), f["entry"].alias("entry")),
-                ),
-                F.col("bwd"),
-                ends_of,
+        def backward(now: Column, e: Column) -> Column:
+            seen = F.zip_with(now["next"], e["b"], lambda p, b: p * b)
+            return F.struct(
+                now["next"].alias("beta"),
+                let(let(seen, self.moved_back), lambda v: normalised(v, k)).alias("next"),
             )
-        ).alias("x"),
-    ).select("seq_id", "x.*", (F.col("x.chunk") == F.col("first_chunk")).alias("is_first"))
-    return dense.join(ends, KEYS)
 
+        return F.reverse(F.transform(scan(F.reverse("e"), last, backward), lambda s: s["beta"]))
 
-def inside(model: Hmm) -> tuple[Column, Column]:
-    """Per step of a chunk: the filtered states, and what follows the step.
+    @cached_property
+    def gammas(self) -> Column:
+        """State distribution of every step given the whole sequence."""
+        k = self.k
 
-    Both are arrays over ``e`` of one normalised vector per step.
-    """
-    k = model.k
+        def combine(a: Column, b: Column) -> Column:
+            return let(F.zip_with(a, b, lambda x, y: x * y), lambda g: normalised(g, k))
 
-    def filtered(prior: Column, e: Column) -> Column:
-        return normalised(F.array(*[prior[i] * e["b"][i] for i in range(k)]), k)
+        return F.zip_with(F.col("alphas"), F.col("betas"), combine)
 
-    first = F.struct(F.col("entry").alias("prior"), F.col("entry").alias("alpha"))
+    @cached_property
+    def expected_moves(self) -> Column:
+        """Summed probabilities of each move out of the chunk's steps, k*k values."""
+        k = self.k
+        ahead = F.zip_with(
+            F.col("e"), F.col("betas"), lambda e, b: F.zip_with(e["b"], b, lambda x, y: x * y)
+        )
+        ahead = F.slice(ahead, 2, F.size("e"))
+        ahead = F.when(F.col("is_last"), ahead).otherwise(F.concat(ahead, F.array("ahead")))
 
-    def forward(now: Column, e: Column) -> Column:
-        return let(
-            filtered(now["prior"], e),
-            lambda a: F.struct(F.array(*moved(a, model)).alias("prior"), a.alias("alpha")),
+        def moves(a: Column, w: Column) -> Column:
+            raw = F.array(
+                *[a[i] * self.move(i, j) * w[j] for i in range(k) for j in range(k)]
+            )
+            return let(raw, lambda r: normalised(r, k * k))
+
+        # the last step of a sequence has nothing to move to
+        return self._summed(
+            let(
+                ahead,
+                lambda w: F.zip_with(F.slice(F.col("alphas"), F.lit(1), F.size(w)), w, moves),
+            ),
+            k * k,
         )
 
-    alphas = F.transform(scan(F.col("e"), first, forward), lambda s: s["alpha"])
+    @cached_property
+    def expected_terms(self) -> Column:
+        """Emission terms of every state, weighted by the state's share of each step."""
 
-    after = F.when(F.col("is_last"), F.col("ahead")).otherwise(
-        normalised(F.array(*moved_back(F.col("ahead"), model)), k)
-    )
-    last = let(after, lambda a: F.struct(a.alias("beta"), a.alias("next")))
+        def weighted(step: Column, g: Column) -> Column:
+            parts = []
+            for i, em in enumerate(self.emissions):
+                parts += [g[i] * t for t in em.terms(step["obs"], self.emission_parameters(i))]
+            return F.array(*parts)
 
-    def backward(now: Column, e: Column) -> Column:
-        seen = F.array(*[now["next"][j] * e["b"][j] for j in range(k)])
-        return F.struct(
-            now["next"].alias("beta"),
-            let(seen, lambda w: normalised(F.array(*moved_back(w, model)), k)).alias("next"),
+        width = sum(em.n_terms for em in self.emissions)
+        return self._summed(F.zip_with("steps", "g", weighted), width)
+
+    def _summed(self, vectors: Column, width: int) -> Column:
+        return F.aggregate(
+            vectors,
+            literal_array([0.0] * width),
+            lambda acc, v: F.zip_with(acc, v, lambda x, y: x + y),
         )
 
-    betas = F.reverse(F.transform(scan(F.reverse("e"), last, backward), lambda s: s["beta"]))
-    return alphas, betas
+
+def with_densities(chunks: DataFrame, model: Hmm, r: Recursions) -> DataFrame:
+    return with_model(chunks, model).withColumn("e", r.densities)
 
 
-def gammas(alphas: Column, betas: Column, k: int) -> Column:
-    return F.zip_with(
-        alphas, betas, lambda a, b: normalised(F.array(*[F.greatest(a[i] * b[i], F.lit(0.0)) for i in range(k)]), k)
+def sequence_matrices(dense: DataFrame, r: Recursions) -> DataFrame:
+    """(seq_id, c, n_steps): the ordered chunk matrices, a fixed fraction of the steps."""
+    matrices = dense.select(*KEYS, r.matrix.alias("rows"), F.size("e").alias("n"))
+    return matrices.groupBy("seq_id").agg(
+        F.sort_array(F.collect_list(F.struct("chunk", "rows"))).alias("c"),
+        F.sum("n").alias("n_steps"),
     )
 
 
-def log_or_floor(p: float) -> float:
-    """Logs of structural zeros, low enough never to win against any possible path."""
-    return math.log(p) if p > 0 else LOG_FLOOR * 1e6
+def log_likelihoods(steps: DataFrame, model: Hmm, chunk_steps: int = CHUNK_STEPS) -> DataFrame:
+    """(seq_id, n_steps, log_likelihood) by the scaled forward recursion."""
+    r = Recursions(model)
+    dense = with_densities(chunked(steps, chunk_steps), model, r)
+    return with_model(sequence_matrices(dense, r), model).select(
+        "seq_id", "n_steps", r.log_likelihood.alias("log_likelihood")
+    )
+
+
+def smoothed(chunks: DataFrame, model: Hmm, r: Recursions) -> DataFrame:
+    """Chunks with ``alphas``, ``betas`` and ``g`` per step, ``is_first`` and ``is_last``.
+
+    The chunk rows stay where their grouping put them; only the small end vectors move.
+    """
+    dense = with_densities(chunks, model, r)
+    ends = (
+        with_model(sequence_matrices(dense, r), model)
+        .select("seq_id", F.col("c")[0]["chunk"].alias("_first"), F.explode(r.ends).alias("x"))
+        .select("seq_id", "x.*", (F.col("x.chunk") == F.col("_first")).alias("is_first"))
+    )
+    joined = dense.join(ends, KEYS).withColumns({"alphas": r.alphas, "betas": r.betas})
+    return joined.withColumn("g", r.gammas)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardline.operators.hmm.chunks import CHUNK_STEPS, KEYS
-from wardline.operators.hmm.model import Mixture
+from wardline.operators.hmm.model import Mixture, literals
 
 
 def initial_states(labelled: DataFrame) -> DataFrame:
@@ -114,7 +114,7 @@ def fit_mixture_step(rows: DataFrame, mixture: Mixture, weight: str | None = Non
     Variances are taken around the old means.
     """
     w = F.col(weight) if weight else F.lit(1.0)
-    terms = mixture.terms(F.col("obs"))
+    terms = mixture.terms(F.col("obs"), literals(mixture))
     sums = rows.agg(*[F.sum(w * t).alias(f"s{i}") for i, t in enumerate(terms)])
     n = len(mixture.means)
     whole = sum((F.col(f"s{3 * c}") for c in range(1, n)), F.col("s0"))

@@ -1,8 +1,9 @@
 """Model parameters and emission densities.
 
-An emission knows three things: its log density as a column, the terms whose weighted sums
-a refit needs, and how to turn those sums into a new emission. Parameters are a few numbers
-per state and travel as literals in the plan.
+An emission knows its log density as a column expression, the terms whose weighted sums a
+refit needs, and how to turn those sums into a new emission. Expressions take the parameter
+values as columns, so one expression serves every round of a fit; the values are a few
+numbers per state and enter the plan as literals.
 """
 
 from __future__ import annotations
@@ -18,32 +19,67 @@ from pyspark.sql import functions as F
 
 # Log density of what a model holds impossible; keeps every step finite.
 LOG_FLOOR = -700.0
+# Log of a structural zero in a move or a start: below any possible path.
+LOG_NEVER = -7e8
 VARIANCE_FLOOR = 1e-6
 
 
 class Emission(Protocol):
-    def log_density(self, x: Column) -> Column: ...
+    @property
+    def shape(self) -> tuple: ...
+
+    @property
+    def n_terms(self) -> int: ...
+
+    def parameters(self) -> list[float]: ...
+
+    def log_density(self, x: Column, p: Sequence[Column]) -> Column: ...
 
-    def terms(self, x: Column) -> list[Column]: ...
+    def terms(self, x: Column, p: Sequence[Column]) -> list[Column]: ...
 
     def refit(self, sums: Sequence[float]) -> "Emission": ...
 
 
-def _log(p: float) -> float:
+def literals(emission: Emission) -> list[Column]:
+    return [F.lit(float(v)) for v in emission.parameters()]
+
+
+def log_floor(p: float) -> float:
     return max(math.log(p), LOG_FLOOR) if p > 0 else LOG_FLOOR
 
 
+def log_move(p: float) -> float:
+    return math.log(p) if p > 0 else LOG_NEVER
+
+
+def _sum(parts: Sequence[Column]) -> Column:
+    out = parts[0]
+    for part in parts[1:]:
+        out = out + part
+    return out
+
+
 @dataclass(frozen=True)
 class Table:
     """Probabilities of the integers 0..n-1."""
 
     probabilities: tuple[float, ...]
 
-    def log_density(self, x: Column) -> Column:
-        table = F.array(*[F.lit(_log(p)) for p in self.probabilities])
-        return F.coalesce(F.get(table, x.cast("int")), F.lit(LOG_FLOOR))
+    @property
+    def shape(self) -> tuple:
+        return (Table, len(self.probabilities))
+
+    @property
+    def n_terms(self) -> int:
+        return len(self.probabilities)
+
+    def parameters(self) -> list[float]:
+        return [log_floor(p) for p in self.probabilities]
 
-    def terms(self, x: Column) -> list[Column]:
+    def log_density(self, x: Column, p: Sequence[Column]) -> Column:
+        return F.coalesce(F.get(F.array(*p), x.cast("int")), F.lit(LOG_FLOOR))
+
+    def terms(self, x: Column, p: Sequence[Column]) -> list[Column]:
         return [F.when(x == v, 1.0).otherwise(0.0) for v in range(len(self.probabilities))]
 
     def refit(self, sums: Sequence[float]) -> "Table":
@@ -58,14 +94,20 @@ class Gaussian:
     mean: float
     variance: float
 
-    def log_density(self, x: Column) -> Column:
-        constant = -0.5 * math.log(2 * math.pi * self.variance)
-        d = x - F.lit(self.mean)
-        return F.greatest(F.lit(constant) - d * d / F.lit(2 * self.variance), F.lit(LOG_FLOOR))
+    n_terms = 3
+    shape = ("gaussian",)
+
+    def parameters(self) -> list[float]:
+        return [self.mean, 2 * self.variance, -0.5 * math.log(2 * math.pi * self.variance)]
 
-    def terms(self, x: Column) -> list[Column]:
+    def log_density(self, x: Column, p: Sequence[Column]) -> Column:
+        mean, twice_variance, constant = p
+        d = x - mean
+        return F.greatest(constant - d * d / twice_variance, F.lit(LOG_FLOOR))
+
+    def terms(self, x: Column, p: Sequence[Column]) -> list[Column]:
         # around the present mean, so that the variance does not cancel
-        d = x - F.lit(self.mean)
+        d = x - p[0]
         return [F.lit(1.0), d, d * d]
 
     def refit(self, sums: Sequence[float]) -> "Gaussian":
@@ -88,36 +130,51 @@ class Mixture:
         whole = sum(self.weights)
         object.__setattr__(self, "weights", tuple(w / whole for w in self.weights))
 
-    def _densities(self, x: Column) -> list[Column]:
+    @property
+    def shape(self) -> tuple:
+        return (Mixture, len(self.weights))
+
+    @property
+    def n_terms(self) -> int:
+        return 3 * len(self.weights)
+
+    def parameters(self) -> list[float]:
         out = []
         for w, m, v in zip(self.weights, self.means, self.variances):
-            d = x - F.lit(m)
-            out.append(F.lit(w / math.sqrt(2 * math.pi * v)) * F.exp(-(d * d) / F.lit(2 * v)))
+            out += [w / math.sqrt(2 * math.pi * v), m, 2 * v]
         return out
 
-    def log_density(self, x: Column) -> Column:
-        whole = sum(self._densities(x)[1:], self._densities(x)[0])
-        return F.coalesce(F.greatest(F.log(whole), F.lit(LOG_FLOOR)), F.lit(LOG_FLOOR))
+    def _densities(self, x: Column, p: Sequence[Column]) -> list[Column]:
+        out = []
+        for c in range(len(self.weights)):
+            scale, mean, twice_variance = p[3 * c : 3 * c + 3]
+            d = x - mean
+            out.append(scale * F.exp(-(d * d) / twice_variance))
+        return out
 
-    def terms(self, x: Column) -> list[Column]:
-        parts = self._densities(x)
-        whole = sum(parts[1:], parts[0])
+    def log_density(self, x: Column, p: Sequence[Column]) -> Column:
+        logs = F.log(_sum(self._densities(x, p)))
+        return F.coalesce(F.greatest(logs, F.lit(LOG_FLOOR)), F.lit(LOG_FLOOR))
+
+    def terms(self, x: Column, p: Sequence[Column]) -> list[Column]:
+        parts = self._densities(x, p)
+        whole = _sum(parts)
         out = []
-        for part, mean in zip(parts, self.means):
+        for c, part in enumerate(parts):
             share = F.when(whole > 0, part / whole).otherwise(F.lit(1.0 / len(parts)))
-            d = x - F.lit(mean)
+            d = x - p[3 * c + 1]
             out += [share, share * d, share * d * d]
         return out
 
     def refit(self, sums: Sequence[float]) -> "Mixture":
         parts = [sums[i : i + 3] for i in range(0, len(sums), 3)]
-        whole = sum(p[0] for p in parts)
-        if whole <= 0 or any(p[0] <= 0 for p in parts):
+        whole = sum(s[0] for s in parts)
+        if whole <= 0 or any(s[0] <= 0 for s in parts):
             return self
         return Mixture(
-            tuple(p[0] / whole for p in parts),
-            tuple(m + p[1] / p[0] for m, p in zip(self.means, parts)),
-            tuple(max(p[2] / p[0], VARIANCE_FLOOR) for p in parts),
+            tuple(s[0] / whole for s in parts),
+            tuple(m + s[1] / s[0] for m, s in zip(self.means, parts)),
+            tuple(max(s[2] / s[0], VARIANCE_FLOOR) for s in parts),
         )
 
 
@@ -129,29 +186,38 @@ class MultiGaussian:
     covariance: tuple[tuple[float, ...], ...]
     diagonal: bool = False
 
-    def _entries(self) -> list[tuple[int, int]]:
-        d = len(self.mean)
-        if self.diagonal:
-            return [(i, i) for i in range(d)]
-        return [(i, j) for i in range(d) for j in range(i, d)]
+    @property
+    def shape(self) -> tuple:
+        return (MultiGaussian, len(self.mean), self.diagonal)
+
+    @property
+    def n_terms(self) -> int:
+        return 1 + len(self.mean) + len(self._upper())
 
-    def log_density(self, x: Column) -> Column:
-        covariance = np.array(self.covariance)
+    def _upper(self) -> list[tuple[int, int]]:
         d = len(self.mean)
+        return [(i, j) for i in range(d) for j in range(i, d) if i == j or not self.diagonal]
+
+    def _lower(self) -> list[tuple[int, int]]:
+        return [(j, i) for i, j in self._upper()]
+
+    def parameters(self) -> list[float]:
         # rows of the inverse factor turn the vector into independent unit normals
-        factor = np.linalg.inv(np.linalg.cholesky(covariance))
-        constant = -0.5 * d * math.log(2 * math.pi) + float(np.log(np.diag(factor)).sum())
-        centred = [x[i] - F.lit(self.mean[i]) for i in range(d)]
-        squares = F.lit(0.0)
-        for i in range(d):
-            parts = [centred[j] * F.lit(float(factor[i, j])) for j in range(i + 1) if factor[i, j] != 0.0]
-            z = sum(parts[1:], parts[0])
-            squares = squares + z * z
-        return F.greatest(F.lit(constant) - squares / 2, F.lit(LOG_FLOOR))
-
-    def terms(self, x: Column) -> list[Column]:
-        centred = [x[i] - F.lit(m) for i, m in enumerate(self.mean)]
-        return [F.lit(1.0), *centred, *[centred[i] * centred[j] for i, j in self._entries()]]
+        factor = np.linalg.inv(np.linalg.cholesky(np.array(self.covariance)))
+        constant = -0.5 * len(self.mean) * math.log(2 * math.pi) + np.log(np.diag(factor)).sum()
+        return [float(constant), *self.mean, *[float(factor[i, j]) for i, j in self._lower()]]
+
+    def log_density(self, x: Column, p: Sequence[Column]) -> Column:
+        d = len(self.mean)
+        rows: dict[int, list[Column]] = {}
+        for at, (i, j) in enumerate(self._lower()):
+            rows.setdefault(i, []).append((x[j] - p[1 + j]) * p[1 + d + at])
+        units = [_sum(parts) for parts in rows.values()]
+        return F.greatest(p[0] - _sum([u * u for u in units]) / 2, F.lit(LOG_FLOOR))
+
+    def terms(self, x: Column, p: Sequence[Column]) -> list[Column]:
+        centred = [x[i] - p[1 + i] for i in range(len(self.mean))]
+        return [F.lit(1.0), *centred, *[centred[i] * centred[j] for i, j in self._upper()]]
 
     def refit(self, sums: Sequence[float]) -> "MultiGaussian":
         d, weight = len(self.mean), sums[0]
@@ -159,7 +225,7 @@ class MultiGaussian:
             return self
         shift = [s / weight for s in sums[1 : d + 1]]
         covariance = np.zeros((d, d))
-        for (i, j), s in zip(self._entries(), sums[d + 1 :]):
+        for (i, j), s in zip(self._upper(), sums[d + 1 :]):
             covariance[i, j] = covariance[j, i] = s / weight - shift[i] * shift[j]
         covariance[np.diag_indices(d)] = np.maximum(covariance.diagonal(), VARIANCE_FLOOR)
         return MultiGaussian(

@@ -10,6 +10,8 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wardline.functions.arrays import literal_array
+
 TOLERANCE = 1e-9
 
 
@@ -17,7 +19,7 @@ def _nearest(x: Column, centres: Sequence[Sequence[float]]) -> Column:
     """Index of the nearest centre; ties go to the lower index."""
     distances = []
     for centre in centres:
-        c = F.lit([float(v) for v in centre])
+        c = literal_array(centre)
         squares = F.zip_with(x, c, lambda a, b: (a - b) * (a - b))
         distances.append(F.aggregate(squares, F.lit(0.0), lambda t, v: t + v))
     d = F.array(*distances)

@@ -86,7 +86,7 @@ def _forward(model, observed: str) -> str:
 
 
 _BACK = (
-    "SELECT seq_id, n, 1.0 AS b0, 1.0 AS b1 FROM (SELECT seq_id, max(n) AS n FROM observed GROUP BY seq_id) "
+    "SELECT seq_id, n, 1.0::DOUBLE AS b0, 1.0::DOUBLE AS b1 FROM (SELECT seq_id, max(n) AS n FROM observed GROUP BY seq_id) "
     "UNION ALL SELECT seq_id, n, v0 / (v0 + v1), v1 / (v0 + v1) FROM ("
     "SELECT b.seq_id, b.n - 1 AS n, {a00} * o.d0 * b.b0 + {a01} * o.d1 * b.b1 AS v0, "
     "{a10} * o.d0 * b.b0 + {a11} * o.d1 * b.b1 AS v1 "
@@ -272,7 +272,7 @@ EXTRA: dict[str, tuple[str, tuple[str, ...]]] = {
         ("septic",),
     ),
     "raw_means": (
-        "SELECT c.subject_id, c.charttime AS at, c.itemid, avg(valuenum) AS avg_value FROM chart c JOIN d_items d "
+        "SELECT c.subject_id, c.charttime AS raw_time, c.itemid, avg(valuenum) AS avg_value FROM chart c JOIN d_items d "
         f"ON c.itemid = d.itemid WHERE c.itemid IN {_in(items.OLDER_SYSTEM)} "
         f"AND c.subject_id NOT IN {_in(items.OLDER_SYSTEM_EXCLUDED_SUBJECTS)} GROUP BY ALL",
         ("chart", "d_items"),
@@ -387,19 +387,19 @@ ORACLE: dict[str, str] = {
     "apache4_item_hourly_mean": _item_means(items.GCS_APACHE4),
     "temp_item_hourly_mean": _item_means(items.TEMPERATURE),
     "item_raw_mean": _sql(
-        "SELECT subject_id, date_trunc('hour', at) AS charttime, itemid, round(avg_value, 6) AS avg_value "
+        "SELECT subject_id, date_trunc('hour', raw_time) AS charttime, itemid, round(avg_value, 6) AS avg_value "
         "FROM raw_means WHERE avg_value IS NOT NULL",
         "raw_means",
     ),
     "top_rows": _sql(
-        "SELECT subject_id, date_trunc('hour', at) AS charttime, itemid, round(avg_value, 6) AS avg_value "
+        "SELECT subject_id, date_trunc('hour', raw_time) AS charttime, itemid, round(avg_value, 6) AS avg_value "
         "FROM raw_means WHERE avg_value IS NOT NULL "
         "ORDER BY subject_id, charttime, itemid, round(avg_value, 6) LIMIT 1000000",
         "raw_means",
     ),
     "labelled_raw_mean": _sql(
-        "SELECT subject_id, date_trunc('hour', at) AS charttime, item_desc, round(avg_value, 6) AS avg_value FROM ("
-        "SELECT c.subject_id, c.charttime AS at, d.label AS item_desc, avg(valuenum) AS avg_value "
+        "SELECT subject_id, date_trunc('hour', raw_time) AS charttime, item_desc, round(avg_value, 6) AS avg_value FROM ("
+        "SELECT c.subject_id, c.charttime AS raw_time, d.label AS item_desc, avg(valuenum) AS avg_value "
         f"FROM chart c JOIN d_items d ON c.itemid = d.itemid WHERE c.itemid IN {_in(items.LONG_FORM)} GROUP BY ALL)",
         "chart", "d_items",
     ),
@@ -426,14 +426,14 @@ ORACLE: dict[str, str] = {
     "wide_features": _sql(f"SELECT {_STAY_HOUR}, {_round(VITALS)}, age FROM wide", "wide"),
     "temp_cf_full_join": _sql(
         "SELECT coalesce(c.icustay_id, f.icustay_id) AS icustay_id, coalesce(c.charttime, f.charttime) AS charttime, "
-        "c.subject_id AS c_subject_id, round(c.v, 6) AS temp_c, f.subject_id AS f_subject_id, round(f.v, 6) AS temp_f "
+        "c.subject_id::DOUBLE AS c_subject_id, round(c.v, 6) AS temp_c, f.subject_id::DOUBLE AS f_subject_id, round(f.v, 6) AS temp_f "
         f"FROM (SELECT {_STAY_HOUR}, avg(valuenum) AS v FROM matched WHERE itemid = 223762 GROUP BY ALL) c "
         f"FULL JOIN (SELECT {_STAY_HOUR}, avg(valuenum) AS v FROM matched WHERE itemid = 223761 GROUP BY ALL) f "
         "ON c.icustay_id = f.icustay_id AND c.charttime = f.charttime",
         "matched",
     ),
     "hourly_grid": _sql("SELECT * FROM grid", "grid"),
-    "grid_features": _sql(f"SELECT {_STAY_HOUR}, {_round(VITALS)}, age FROM grid_wide", "grid_wide"),
+    "grid_features": _sql(f"SELECT {_STAY_HOUR}, {_round(VITALS)}, age::DOUBLE AS age FROM grid_wide", "grid_wide"),
     "grid_labels": _sql(
         "SELECT g.*, CASE WHEN o.icustay_id IS NULL THEN 0 ELSE 1 END AS label FROM grid g LEFT JOIN onsets o "
         "ON g.subject_id = o.subject_id AND g.icustay_id = o.icustay_id AND g.charttime = o.charttime",

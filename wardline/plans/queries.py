@@ -90,7 +90,14 @@ def _top_rows(w: Ward) -> DataFrame:
 
 
 def _grid_features(w: Ward) -> DataFrame:
-    return rounded(grid.on_grid(grid.hourly_grid(w.bounds), w.features), *items.VITALS)
+    rows = rounded(grid.on_grid(grid.hourly_grid(w.bounds), w.features), *items.VITALS)
+    return rows.withColumn("age", F.col("age").cast("double"))
+
+
+def _temperature_pair(w: Ward) -> DataFrame:
+    pair = rounded(features.temperature_pair(w.chart, w.adults), "temp_c", "temp_f")
+    # either side may be missing
+    return pair.withColumns({c: F.col(c).cast("double") for c in ("c_subject_id", "f_subject_id")})
 
 
 def _grid_labels(w: Ward) -> DataFrame:
@@ -392,9 +399,7 @@ QUERIES: dict[str, Query] = {
     "stay_bounds": _bounds(older=False),
     "older_stay_bounds": _bounds(older=True),
     "wide_features": _wide,
-    "temp_cf_full_join": lambda w: rounded(
-        features.temperature_pair(w.chart, w.adults), "temp_c", "temp_f"
-    ),
+    "temp_cf_full_join": _temperature_pair,
     # grid
     "hourly_grid": lambda w: grid.hourly_grid(w.bounds),
     "grid_features": _grid_features,
