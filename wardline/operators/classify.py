@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -24,6 +25,15 @@ def _assembled(matrix: DataFrame, features: Sequence[str]) -> DataFrame:
     return rows.withColumn("label", F.col("label").cast("double"))
 
 
+def _fit(lr: LogisticRegression, rows: DataFrame) -> LogisticRegressionModel:
+    """A fit passes over its input more than once; keep the input, not the plan behind it."""
+    training = rows.select("label", "features").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return lr.fit(training)
+    finally:
+        training.unpersist()
+
+
 def fit_elastic_net(matrix: DataFrame, features: Sequence[str] = FEATURES) -> LogisticRegressionModel:
     """Ten iterations, no standardisation, low threshold; without a penalty the mix is idle."""
     lr = LogisticRegression(
@@ -32,7 +42,7 @@ def fit_elastic_net(matrix: DataFrame, features: Sequence[str] = FEATURES) -> Lo
         standardization=False,
         threshold=BATCH_THRESHOLD,
     )
-    return lr.fit(_assembled(matrix, features).select("label", "features"))
+    return _fit(lr, _assembled(matrix, features))
 
 
 def coefficients(model: LogisticRegressionModel, rows: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
@@ -50,7 +60,6 @@ def sgd_probabilities(
         maxIter=SGD_PASSES, elasticNetParam=ELASTIC_NET_MIX, regParam=SGD_PENALTY, standardization=False
     )
     rows = _assembled(matrix, features)
-    model = lr.fit(rows.select("label", "features"))
-    scored = model.transform(rows)
+    scored = _fit(lr, rows).transform(rows)
     p = vector_to_array(F.col("probability"))
     return scored.select(*keys, p[0].alias("p0"), p[1].alias("p1"))
