@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from wardline.functions.arrays import elements, let, literal_array, normalised, scan, total
 from wardline.operators.hmm.model import Hmm, log_move
+from wardline.session import shuffle_partitions
 
 CHUNK_STEPS = 128
 TINY = 1e-300
@@ -28,10 +29,15 @@ LOG_INITIAL, LOG_MOVES = "_log_initial", "_log_moves"
 
 
 def chunked(steps: DataFrame, chunk_steps: int = CHUNK_STEPS) -> DataFrame:
-    """(seq_id, chunk, steps): at most ``chunk_steps`` ordered (t, obs) per row."""
+    """(seq_id, chunk, steps): at most ``chunk_steps`` ordered (t, obs) per row.
+
+    The number of partitions is fixed: the recursions cost far more than the bytes suggest,
+    so adaptive execution must not merge partitions by size.
+    """
     step = F.struct("t", "obs")
     return (
         steps.withColumn("chunk", F.floor(F.col("t") / chunk_steps))
+        .repartition(shuffle_partitions(steps.sparkSession), *KEYS)
         .groupBy(*KEYS)
         .agg(F.sort_array(F.collect_list(step)).alias("steps"))
     )

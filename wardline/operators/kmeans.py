@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,29 +38,55 @@ def first_distinct(points: DataFrame, column: str, order: Sequence[str], k: int)
     return [list(r[column]) for r in rows]
 
 
+def _partial_sums(centres: Sequence[Sequence[float]]):
+    """Task function: size and vector sum of each cluster over the task's points."""
+    held = np.asarray(centres, dtype=float)
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        k, d = held.shape
+        sums = np.zeros((k, d + 1))
+        for batch in batches:
+            points = batch.column(0)
+            x = points.flatten().to_numpy(zero_copy_only=False).reshape(len(points), d)
+            distances = np.stack([((x - c) ** 2).sum(axis=1) for c in held], axis=1)
+            nearest = distances.argmin(axis=1)
+            sums[:, 0] += np.bincount(nearest, minlength=k)
+            for c in range(k):
+                sums[c, 1:] += x[nearest == c].sum(axis=0)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(range(k), pa.int32()), pa.array(list(sums), pa.list_(pa.float64()))],
+            names=["cluster", "s"],
+        )
+
+    return fold
+
+
 def kmeans(
     points: DataFrame, column: str, order: Sequence[str], k: int, max_iterations: int = 100
 ) -> list[list[float]]:
     """Centres after moving points to the nearest centre until the centres stand still.
 
-    Each round returns k mean vectors to the driver. A centre without points stays.
+    Tasks fold their points into one sum per cluster; only those sums are shuffled, and each
+    round returns k vectors to the driver. A centre without points stays.
     """
     points = points.select(column, *order).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         centres = first_distinct(points, column, order, k)
         for _ in range(max_iterations):
-            means = (
-                points.select(
-                    _nearest(F.col(column), centres).alias("cluster"),
-                    array_to_vector(F.col(column)).alias("v"),
-                )
-                .groupBy("cluster")
-                .agg(vector_to_array(Summarizer.mean(F.col("v"))).alias("m"))
+            cells = (
+                points.select(column)
+                .mapInArrow(_partial_sums(centres), "cluster int, s array<double>")
+                .select("cluster", F.posexplode("s").alias("p", "v"))
+                .groupBy("cluster", "p")
+                .agg(F.sum("v").alias("v"))
                 .collect()
             )
-            moved = [list(c) for c in centres]
-            for r in means:
-                moved[r["cluster"]] = list(r["m"])
+            sums = np.zeros((len(centres), len(centres[0]) + 1))
+            for r in cells:
+                sums[r["cluster"], r["p"]] = r["v"]
+            moved = [
+                list(s[1:] / s[0]) if s[0] > 0 else list(c) for s, c in zip(sums, centres)
+            ]
             shift = max(abs(a - b) for c, m in zip(centres, moved) for a, b in zip(c, m))
             centres = moved
             if shift <= TOLERANCE:

@@ -37,19 +37,21 @@ def sample_strata(
     The others are drawn per *stay* at (n * rate - sampled septic) / n with n their number
     of stays, never below zero, so a subject with many stays is likelier to be drawn.
     """
-    septic = labels.select("subject_id").distinct()
-    sampled = septic.where(drawn(F.col("subject_id"), rate=rate, seed=seed))
-    other_stays = stays.join(septic, "subject_id", "left_anti").select("subject_id", "icustay_id")
-    # two scalar counts, read by the plan as subqueries
-    n_sampled = sampled.agg(F.count(F.lit(1)).cast("double")).scalar()
-    n_others = other_stays.agg(F.count(F.lit(1)).cast("double")).scalar()
-    other_rate = F.greatest((n_others * rate - n_sampled) / F.nullif(n_others, F.lit(0.0)), F.lit(0.0))
-    others = (
-        other_stays.where(drawn(F.col("subject_id"), F.col("icustay_id"), rate=other_rate, seed=seed))
-        .select("subject_id")
-        .distinct()
+    septic = labels.select("subject_id").distinct().withColumn("septic", F.lit(1))
+    rows = stays.select("subject_id", "icustay_id").join(septic, "subject_id", "full")
+    rows = rows.withColumn("septic", F.coalesce("septic", F.lit(0)))
+    is_septic = F.col("septic") == 1
+    taken = is_septic & drawn(F.col("subject_id"), rate=rate, seed=seed)
+
+    n_others = F.count(F.when(~is_septic, 1)).cast("double")
+    n_sampled = F.count_distinct(F.when(taken, F.col("subject_id"))).cast("double")
+    fill = F.greatest((n_others * rate - n_sampled) / F.nullif(n_others, F.lit(0.0)), F.lit(0.0))
+    # one number, read by the plan as a subquery
+    other_rate = rows.agg(fill).scalar()
+    filled = ~is_septic & drawn(
+        F.col("subject_id"), F.col("icustay_id"), rate=other_rate, seed=seed
     )
-    return sampled.withColumn("septic", F.lit(1)).unionByName(others.withColumn("septic", F.lit(0)))
+    return rows.where(taken | filled).select("subject_id", "septic").distinct()
 
 
 def stratum_counts(stays: DataFrame, labels: DataFrame) -> DataFrame:

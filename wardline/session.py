@@ -5,6 +5,10 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# A side of a join is broadcast on request only below this number of short rows.
+BROADCAST_ROWS = 500_000
 
 
 def builder(app: str = "wardline") -> SparkSession.Builder:
@@ -14,6 +18,8 @@ def builder(app: str = "wardline") -> SparkSession.Builder:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # the sequence models build long expressions; tracing each one's call site is slow
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
 
 
@@ -38,3 +44,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise to the checkpoint folder, so that a lost executor costs no recomputation."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
+    """Broadcast a table of known length when it is short, else leave the join to the planner."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
+def shuffle_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
