@@ -1,0 +1,145 @@
+from __future__ import annotations
+
+import random
+from datetime import datetime, timedelta
+from itertools import combinations
+
+import pytest
+from pyspark.sql import functions as F
+
+from wardline.functions import items
+from wardline.functions.arrays import euclidean, vector_add, vector_scale, vector_subtract
+from wardline.operators import features, stays
+from wardline.operators.features import feature_table, item_hourly_mean, wide_features
+
+START = datetime(2020, 1, 1, 10)
+STAY = "subject_id long, icustay_id long, intime timestamp_ntz, outtime timestamp_ntz, dbsource string"
+CHART = "subject_id long, charttime timestamp_ntz, itemid int, valuenum double"
+
+
+def one_stay(spark, hours=5, stay=100):
+    return spark.createDataFrame(
+        [(1, stay, START, START + timedelta(hours=hours), "metavision")], STAY
+    )
+
+
+def chart(spark, rows):
+    return spark.createDataFrame(rows, CHART)
+
+
+@pytest.mark.parametrize(
+    "ladder",
+    [items.DIASTOLIC, items.SYSTOLIC, items.EYE, items.EYE_WIDE, items.VERBAL, items.MOTOR],
+)
+def test_ladder_takes_the_most_preferred_item_of_every_subset(spark, ladder):
+    subsets = [c for n in range(1, len(ladder) + 1) for c in combinations(ladder, n)]
+    rows, expected = [], {}
+    for h, subset in enumerate(subsets):
+        at = START + timedelta(hours=h)
+        rows += [(1, at, i, float(i)) for i in subset]
+        expected[at] = subset[0]
+    wide_stay = one_stay(spark, hours=len(subsets) + 1)
+    for seed in (0, 1):
+        random.Random(seed).shuffle(rows)
+        got = feature_table(chart(spark, rows), wide_stay, ladder, "value", with_item=True).collect()
+        assert {r["charttime"]: r["itemid"] for r in got} == expected
+        assert all(r["value"] == float(r["itemid"]) for r in got)
+
+
+def test_zero_and_null_means_are_skipped(spark):
+    rows = [(1, START, 220180, 0.0), (1, START, 220051, None), (1, START, 220060, 70.0),
+            (1, START, 220060, 74.0)]
+    got = feature_table(chart(spark, rows), one_stay(spark), items.DIASTOLIC, with_item=True).collect()
+    assert [(r["itemid"], r["value"]) for r in got] == [(220060, 72.0)]
+
+
+def test_hour_with_only_zeros_has_no_row(spark):
+    rows = [(1, START, 220180, 1.0), (1, START, 220180, -1.0)]
+    assert feature_table(chart(spark, rows), one_stay(spark), items.DIASTOLIC).count() == 0
+
+
+def test_temperature_converts_by_value_and_keeps_one_id(spark):
+    rows = [
+        (1, START, 223761, 98.6), (1, START, 223762, 37.0),
+        (1, START + timedelta(hours=1), 223762, 99.0),
+        (1, START + timedelta(hours=2), 223761, 36.0),
+    ]
+    got = feature_table(chart(spark, rows), one_stay(spark), items.TEMPERATURE, with_item=True)
+    values = [(round(r["value"], 6), r["itemid"]) for r in got.orderBy("charttime").collect()]
+    assert values == [(98.6, 223761), (99.0, 223761), (96.8, 223761)]
+
+
+def test_containment_is_inclusive_on_raw_bounds_and_overlaps_repeat(spark):
+    first = (1, 100, START + timedelta(minutes=20), START + timedelta(hours=30), "metavision")
+    second = (1, 101, START + timedelta(hours=20), START + timedelta(hours=50), "metavision")
+    ends = (1, 102, START + timedelta(hours=60), START + timedelta(hours=59), "metavision")
+    unknown = (1, 103, START, None, "metavision")
+    rows = [(1, START + timedelta(minutes=m), 220045, 60.0) for m in (19, 20, 30 * 60, 30 * 60 + 1)]
+    rows.append((2, START + timedelta(hours=1), 220045, 60.0))
+    got = stays.in_stay(chart(spark, rows), spark.createDataFrame([first, second, ends, unknown], STAY))
+    found = sorted((r["icustay_id"], (r["charttime"] - START).total_seconds() / 60) for r in got.collect())
+    assert found == [(100, 20.0), (100, 1800.0), (101, 1800.0), (101, 1801.0)]
+
+
+def test_adult_filter_and_ages(spark):
+    stay = one_stay(spark).unionByName(
+        spark.createDataFrame([(2, 200, START, START, "metavision"), (3, 300, START, START, "metavision")], STAY)
+    )
+    patients = spark.createDataFrame(
+        [(1, datetime(1980, 1, 1)), (2, datetime(2010, 1, 1)), (3, datetime(1719, 1, 1))],
+        "subject_id long, dob timestamp_ntz",
+    )
+    adults = stays.adult_stays(stay, patients)
+    assert sorted(r["subject_id"] for r in adults.collect()) == [1, 3]
+    wide = wide_features(chart(spark, [(1, START, 220045, 80.0)]), adults).collect()
+    # the shifted age is dropped, and the age is rounded to a whole year
+    assert [(r["subject_id"], r["heart_rate"], r["age"]) for r in wide] == [(1, 80.0, 40)]
+
+
+def test_adult_stay_without_events_keeps_one_empty_row(spark):
+    patients = spark.createDataFrame([(1, datetime(1980, 1, 1))], "subject_id long, dob timestamp_ntz")
+    wide = wide_features(chart(spark, []), stays.adult_stays(one_stay(spark), patients)).collect()
+    assert [(r["subject_id"], r["icustay_id"], r["charttime"], r["bp_dia"]) for r in wide] == [(1, 100, None, None)]
+
+
+def test_raw_mean_keeps_several_rows_of_an_hour(spark):
+    rows = [(1, START, 211, 80.0), (1, START + timedelta(minutes=5), 211, 90.0), (499, START, 211, 1.0)]
+    d_items = spark.createDataFrame([(211, "Heart", "x")], "itemid int, label string, category string")
+    got = features.item_raw_mean(
+        chart(spark, rows), d_items, items.OLDER_SYSTEM, items.OLDER_SYSTEM_EXCLUDED_SUBJECTS
+    ).collect()
+    assert sorted((r["charttime"], r["avg_value"]) for r in got) == [(START, 80.0), (START, 90.0)]
+    labelled = features.labelled_raw_mean(chart(spark, rows), d_items, [211]).collect()
+    assert {r["item_desc"] for r in labelled} == {"Heart"} and len(labelled) == 3
+
+
+def test_unknown_items_are_dropped(spark):
+    d_items = spark.createDataFrame([(211, "a", "x")], "itemid int, label string, category string")
+    rows = [(1, START, 211, 80.0), (1, START, 618, 18.0)]
+    got = features.known_items(chart(spark, rows), d_items, items.OLDER_SYSTEM).collect()
+    assert [r["itemid"] for r in got] == [211]
+
+
+def test_hot_subject_on_one_day_is_counted_whole(spark):
+    """A third of all events fall on one subject and day."""
+    n = 20_000
+    events = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") + 10).alias("subject_id"),
+        F.expr("timestamp_ntz'2020-01-01 10:00:00' + make_dt_interval(0, cast(id % 4 as int))").alias("charttime"),
+        F.lit(220045).alias("itemid"), (F.col("id") % 7 + 1).cast("double").alias("valuenum"),
+    )
+    got = item_hourly_mean(events, one_stay(spark), items.EASY_VITALS).collect()
+    means: dict[int, list[float]] = {}
+    for i in range(0, n, 3):
+        means.setdefault(i % 4, []).append(float(i % 7 + 1))
+    assert {(r["charttime"] - START).seconds // 3600: round(r["avg_value"], 9) for r in got} == {
+        h: round(sum(v) / len(v), 9) for h, v in means.items()
+    }
+
+
+def test_vector_helpers(spark):
+    row = spark.createDataFrame([([1.0, 2.0], [4.0, 6.0])], "a array<double>, b array<double>").select(
+        vector_add(F.col("a"), F.col("b")), vector_subtract(F.col("a"), F.col("b")),
+        vector_scale(F.col("a"), 2.0), euclidean(F.col("a"), F.col("b")),
+    ).first()
+    assert list(row) == [[5.0, 8.0], [-3.0, -4.0], [2.0, 4.0], 5.0]
