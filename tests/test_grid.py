@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 from datetime import datetime, timedelta
 
 from wardline.functions.items import VITALS
@@ -76,3 +77,32 @@ def test_matrix_labels_exact_hour_sums_coma_score_and_drops_incomplete(spark):
     assert {r["gcs"] for r in got} == {7.0 + 8.0 + 9.0}
     assert {r["icustay_id"] for r in got} == {10}
     assert {r["label"] for r in grid.labelled_matrix(features, bounds).collect()} == {0}
+
+
+def test_matrix_equals_its_steps_and_repeats_hours_of_repeated_labels(spark):
+    rnd = random.Random(3)
+    rows, bounds, labels = [], [], []
+    for stay in range(30):
+        start = T + timedelta(hours=rnd.randint(0, 5), minutes=30 * (stay % 7 == 0))
+        n = rnd.randint(0, 30)
+        bounds.append((1, stay, start, start + timedelta(hours=n, minutes=rnd.choice([0, 10]))))
+        for h in sorted(rnd.sample(range(-3, n + 4), rnd.randint(0, n + 4))):
+            values = [rnd.choice([None, None, float(h)]) for _ in VITALS]
+            rows.append((1, stay, start + timedelta(hours=h, minutes=rnd.choice([0, 0, 0, 15])), *values, 50))
+        for _ in range(rnd.randint(0, 3)):
+            label = (1, stay, start + timedelta(hours=rnd.randint(-2, n + 2)))
+            labels += [label] * rnd.randint(1, 3)
+    features = spark.createDataFrame(rows, WIDE)
+    b = spark.createDataFrame(bounds, BOUNDS)
+    lab = spark.createDataFrame(labels, "subject_id long, icustay_id long, charttime timestamp_ntz")
+    columns = [*VITALS, "age"]
+    for given in (lab, None):
+        long_way = grid.complete_rows(
+            grid.fill_both(grid.with_labels(grid.on_grid(grid.hourly_grid(b), features), given), columns), columns
+        )
+        want = long_way.selectExpr(
+            "icustay_id", "charttime", "label", "bp_dia", "spo2", "eye_opening + verbal + motor as gcs", "age"
+        )
+        got = grid.labelled_matrix(features, b, given).select(*want.columns)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+        assert want.count() > 50
