@@ -19,29 +19,26 @@ def to_fahrenheit(value: Column) -> Column:
     return F.when(value < 50, value * 9.0 / 5.0 + 32).otherwise(value)
 
 
-def item_mean(itemid: Column, value: Column, item: int) -> Column:
+def _item_mean(item: int, itemid: str, value: str) -> str:
     """Mean of one item inside a group, null when absent or zero."""
-    mean = F.avg(F.when(itemid == item, value))
-    return F.when(mean != 0, mean)
+    return f"nullif(avg({value}) FILTER (WHERE {itemid} = {item}), 0D)"
 
 
-def ladder_value(itemid: Column, value: Column, ladder: Sequence[int]) -> Column:
+def ladder_value(ladder: Sequence[int], itemid: str = "itemid", value: str = "valuenum") -> Column:
     """Aggregate: mean of the most preferred item present in the group."""
-    return F.coalesce(*[item_mean(itemid, value, i) for i in ladder])
+    return F.expr("coalesce(" + ", ".join(_item_mean(i, itemid, value) for i in ladder) + ")")
 
 
-def ladder_item(itemid: Column, value: Column, ladder: Sequence[int]) -> Column:
+def ladder_item(ladder: Sequence[int], itemid: str = "itemid", value: str = "valuenum") -> Column:
     """Aggregate: id behind :func:`ladder_value`."""
-    return F.coalesce(
-        *[F.when(item_mean(itemid, value, i).isNotNull(), F.lit(i)) for i in ladder]
-    )
+    arms = " ".join(f"WHEN {_item_mean(i, itemid, value)} IS NOT NULL THEN {i}" for i in ladder)
+    return F.expr(f"CASE {arms} END")
 
 
-def temperature_value(itemid: Column, value: Column, ladder: Sequence[int]) -> Column:
-    return to_fahrenheit(ladder_value(itemid, value, ladder))
+def temperature_value(ladder: Sequence[int], itemid: str = "itemid", value: str = "valuenum") -> Column:
+    return to_fahrenheit(ladder_value(ladder, itemid, value))
 
 
-def temperature_item(itemid: Column, value: Column, ladder: Sequence[int]) -> Column:
+def temperature_item(ladder: Sequence[int], itemid: str = "itemid", value: str = "valuenum") -> Column:
     """Temperatures are always reported under the Fahrenheit id."""
-    found = ladder_value(itemid, value, ladder)
-    return F.when(found.isNotNull(), F.lit(FAHRENHEIT_ID))
+    return F.when(ladder_value(ladder, itemid, value).isNotNull(), F.lit(FAHRENHEIT_ID))

@@ -59,13 +59,12 @@ def feature_table(
 ) -> DataFrame:
     """One reading per stay and hour, chosen by ladder; one shuffle after the stay join."""
     rows = stay_hours(chart.where(F.col("itemid").isin(*ladder)), stays)
-    item, value = F.col("itemid"), F.col("valuenum")
     is_temperature = set(ladder) <= set(TEMPERATURE) and len(ladder) > 1
     pick_value = folds.temperature_value if is_temperature else folds.ladder_value
     pick_item = folds.temperature_item if is_temperature else folds.ladder_item
-    picked = [pick_value(item, value, ladder).alias(name)]
+    picked = [pick_value(ladder).alias(name)]
     if with_item:
-        picked.insert(0, pick_item(item, value, ladder).alias("itemid"))
+        picked.insert(0, pick_item(ladder).alias("itemid"))
     return rows.groupBy(*STAY_HOUR).agg(*picked).where(F.col(name).isNotNull())
 
 
@@ -81,11 +80,10 @@ def wide_hours(
     """
     ids = sorted({i for ladder in features.values() for i in ladder})
     rows = stay_hours(chart.where(F.col("itemid").isin(*ids)), stays)
-    item, value = F.col("itemid"), F.col("valuenum")
     picked = []
     for name, ladder in features.items():
         pick = folds.temperature_value if name == "temp_f" else folds.ladder_value
-        picked.append(pick(item, value, ladder).alias(name))
+        picked.append(pick(ladder).alias(name))
     hours = rows.groupBy(*STAY_HOUR).agg(*picked)
     return hours.where(F.coalesce(*[F.col(n) for n in features]).isNotNull())
 
@@ -186,8 +184,7 @@ def first_raw_readings(
         .orderBy(*keys, "itemid")
         .limit(n)
     )
-    item, value = F.col("itemid"), F.col("mean")
     return first.groupBy(*keys).agg(
-        folds.ladder_item(item, value, ladder).alias("itemid"),
-        folds.ladder_value(item, value, ladder).alias("value"),
+        folds.ladder_item(ladder, value="mean").alias("itemid"),
+        folds.ladder_value(ladder, value="mean").alias("value"),
     )
