@@ -25,9 +25,6 @@ VARIANCE_FLOOR = 1e-6
 
 
 class Emission(Protocol):
-    @property
-    def shape(self) -> tuple: ...
-
     @property
     def n_terms(self) -> int: ...
 
@@ -65,10 +62,6 @@ class Table:
 
     probabilities: tuple[float, ...]
 
-    @property
-    def shape(self) -> tuple:
-        return (Table, len(self.probabilities))
-
     @property
     def n_terms(self) -> int:
         return len(self.probabilities)
@@ -95,7 +88,6 @@ class Gaussian:
     variance: float
 
     n_terms = 3
-    shape = ("gaussian",)
 
     def parameters(self) -> list[float]:
         return [self.mean, 2 * self.variance, -0.5 * math.log(2 * math.pi * self.variance)]
@@ -130,10 +122,6 @@ class Mixture:
         whole = sum(self.weights)
         object.__setattr__(self, "weights", tuple(w / whole for w in self.weights))
 
-    @property
-    def shape(self) -> tuple:
-        return (Mixture, len(self.weights))
-
     @property
     def n_terms(self) -> int:
         return 3 * len(self.weights)
@@ -186,10 +174,6 @@ class MultiGaussian:
     covariance: tuple[tuple[float, ...], ...]
     diagonal: bool = False
 
-    @property
-    def shape(self) -> tuple:
-        return (MultiGaussian, len(self.mean), self.diagonal)
-
     @property
     def n_terms(self) -> int:
         return 1 + len(self.mean) + len(self._upper())

@@ -11,7 +11,12 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.functions.clock import hour_number, hour_of
+from wardline.functions.clock import hour_number
+from wardline.functions.items import CULTURE_SPECIMENS
+from wardline.operators import onset
+from wardline.operators.features import wide_features
+from wardline.operators.grid import labelled_matrix
+from wardline.operators.stays import adult_stays, stay_bounds
 from wardline.session import use_utc
 
 # Every event is charted under the items of its type; the reading is shifted by the item id.
@@ -95,8 +100,6 @@ class Ward:
 
     @cached_property
     def adults(self) -> DataFrame:
-        from wardline.operators.stays import adult_stays
-
         return adult_stays(self.stays, self.patients)
 
     @cached_property
@@ -131,8 +134,6 @@ class Ward:
     @cached_property
     def cultures(self) -> DataFrame:
         """Errors; a reading below 5 has no organism, one specimen in nine is not a listed one."""
-        from wardline.functions.items import CULTURE_SPECIMENS
-
         specimens = F.array(*[F.lit(s) for s in (*CULTURE_SPECIMENS, 70001)])
         return self.events.where(F.col("event_type") == "error").select(
             F.col("user_id").alias("subject_id"), F.col("ts").alias("charttime"),
@@ -209,28 +210,20 @@ class Ward:
 
     @cached_property
     def features(self) -> DataFrame:
-        from wardline.operators.features import wide_features
-
         return wide_features(self.chart, self.adults)
 
     @cached_property
     def bounds(self) -> DataFrame:
-        from wardline.operators.stays import stay_bounds
-
         return stay_bounds(self.stays.where(F.col("dbsource") == "metavision"))
 
     @cached_property
     def windows(self) -> DataFrame:
-        from wardline.operators import onset
-
         return onset.infection_windows(
             onset.antibiotic_starts(self.inputs, self.drug_items), onset.suspected_cultures(self.cultures)
         )
 
     @cached_property
     def stay_windows(self) -> DataFrame:
-        from wardline.operators import onset
-
         return onset.infection_windows(
             onset.antibiotic_starts(self.inputs, self.drug_items, self.stays),
             onset.suspected_cultures(self.cultures),
@@ -245,14 +238,10 @@ class Ward:
 
     @cached_property
     def labels(self) -> DataFrame:
-        from wardline.operators import onset
-
         return onset.onset(self.stay_windows, self.adult_scores, ("subject_id", "icustay_id"))
 
     @cached_property
     def matrix(self) -> DataFrame:
-        from wardline.operators.grid import labelled_matrix
-
         return labelled_matrix(self.features, self.bounds, self.labels)
 
 
@@ -352,25 +341,3 @@ SQL_TABLES: dict[str, tuple[str, tuple[str, ...]]] = {
         (),
     ),
 }
-
-
-def sql(body: str, *tables: str, extra: dict[str, tuple[str, tuple[str, ...]]] | None = None) -> str:
-    """``body`` behind the WITH list of everything it reads."""
-    known = {**SQL_TABLES, **(extra or {})}
-    ordered: list[str] = []
-
-    def need(name: str) -> None:
-        for n in known[name][1]:
-            need(n)
-        if name not in ordered:
-            ordered.append(name)
-
-    for t in tables:
-        need(t)
-    if not ordered:
-        return body
-    return "WITH " + ", ".join(f"{n} AS ({known[n][0]})" for n in ordered) + " " + body
-
-
-def hour(column: str) -> Column:
-    return hour_of(F.col(column))

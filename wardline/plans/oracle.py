@@ -14,6 +14,7 @@ from wardline.plans.queries import (
     SEQUENCE_COLUMNS,
     SIMILAR,
     TABLE_MODEL,
+    WALK_STEPS,
 )
 
 VITALS = items.VITALS
@@ -160,6 +161,53 @@ _full_join = " FULL JOIN ".join(
     for k, n in enumerate(VITALS)
 )
 
+def _walk_tables() -> dict[str, tuple[str, tuple[str, ...]]]:
+    """The walk written out, one pair of tables per round trip."""
+    out = {
+        "code_sizes": ("SELECT code, count(*) AS n FROM held GROUP BY ALL", ("held",)),
+        "walk_0": ("SELECT min(patient_id) AS patient_id, 1.0::DOUBLE AS rank FROM held", ("held",)),
+    }
+    for i in range(1, WALK_STEPS // 2 + 1):
+        out[f"reach_{i}"] = (
+            f"SELECT h.code, sum(p.rank / s.n) * 0.85 AS rank FROM held h JOIN walk_{i - 1} p "
+            "ON h.patient_id = p.patient_id JOIN sizes s ON s.patient_id = h.patient_id GROUP BY h.code",
+            ("held", "sizes", f"walk_{i - 1}"),
+        )
+        out[f"walk_{i}"] = (
+            "SELECT patient_id, sum(part) AS rank FROM (SELECT h.patient_id, r.rank / s.n * 0.85 AS part "
+            f"FROM held h JOIN reach_{i} r ON h.code = r.code JOIN code_sizes s ON s.code = h.code "
+            "UNION ALL SELECT min(patient_id), 0.15 FROM held) GROUP BY patient_id",
+            ("held", "code_sizes", f"reach_{i}"),
+        )
+    return out
+
+
+def _round_of_training() -> str:
+    a = _a(REAL_MODEL)
+    w = {f"{i}{j}": f"f.a{i} * {a[f'a{i}{j}']} * o.d{j} * b.b{j}" for i in (0, 1) for j in (0, 1)}
+    whole = " + ".join(w.values())
+    moves = ", ".join(f"sum(({v}) / ({whole})) AS w{k}" for k, v in w.items())
+    parts = [
+        f"SELECT 'initial' AS parameter, {i} AS state, 0 AS position, avg(p{i}) AS value FROM "
+        "(SELECT seq_id, arg_min(p0, t) AS p0, arg_min(p1, t) AS p1 FROM gammas GROUP BY seq_id)"
+        for i in (0, 1)
+    ]
+    parts += [
+        f"SELECT 'transition', {i}, {j}, w{i}{j} / (w{i}0 + w{i}1) FROM (SELECT {moves} FROM fwd f "
+        "JOIN observed o ON o.seq_id = f.seq_id AND o.n = f.n + 1 JOIN bwd b ON b.seq_id = f.seq_id AND b.n = f.n + 1)"
+        for i in (0, 1)
+        for j in (0, 1)
+    ]
+    for i in (0, 1):
+        means = f"SELECT sum(p{i} * obs) / sum(p{i}) AS m FROM gammas JOIN steps USING (seq_id, t)"
+        parts.append(f"SELECT 'mean', {i}, 0, m FROM ({means})")
+        parts.append(
+            f"SELECT 'variance', {i}, 0, sum(p{i} * (obs - m) * (obs - m)) / sum(p{i}) "
+            f"FROM gammas JOIN steps USING (seq_id, t), ({means})"
+        )
+    return "SELECT parameter, state, position, round(value, 6) AS value FROM (" + " UNION ALL ".join(parts) + ")"
+
+
 EXTRA: dict[str, tuple[str, tuple[str, ...]]] = {
     "matched": (_matched("adults"), ("chart", "adults")),
     "means": (_MEANS.format(rows="matched"), ("matched",)),
@@ -261,6 +309,7 @@ EXTRA: dict[str, tuple[str, tuple[str, ...]]] = {
     ),
     "held": ("SELECT DISTINCT patient_id, code FROM facts", ("facts",)),
     "sizes": ("SELECT patient_id, count(*) AS n FROM held GROUP BY ALL", ("held",)),
+    **_walk_tables(),
     "cohorts": (
         "SELECT subject_id, max(c = 'predicted') AS predicted, max(c = 'martin') AS martin, "
         "max(c = 'angus') AS angus, max(c = 'explicit') AS explicit FROM ("
@@ -558,6 +607,12 @@ ORACLE: dict[str, str] = {
         "ORDER BY t.similarity DESC, t.patient_id LIMIT 10",
         "held", "sizes",
     ),
+    "random_walk": _sql(
+        f"SELECT patient_id, round(rank, 9) AS rank FROM walk_{WALK_STEPS // 2} "
+        "WHERE patient_id != (SELECT min(patient_id) FROM held)",
+        f"walk_{WALK_STEPS // 2}",
+    ),
+    "baum_welch_step": _sql(_round_of_training(), "gammas", "steps"),
     "transition_counts": _sql(
         "SELECT state, next_state, count(*) AS n FROM (SELECT state, lead(state) OVER (PARTITION BY seq_id ORDER BY t) "
         "AS next_state FROM labelled_steps) WHERE next_state IS NOT NULL GROUP BY ALL",

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardline.functions import items
@@ -14,7 +16,7 @@ from wardline.functions.arrays import (
     vector_scale,
     vector_subtract,
 )
-from wardline.functions.clock import hour_number, hour_of
+from wardline.functions.clock import hour_number
 from wardline.operators import (
     classify,
     cohorts,
@@ -31,6 +33,7 @@ from wardline.operators.hmm import decode, fit, train
 from wardline.operators.hmm.model import Gaussian, Hmm, Mixture, Table
 from wardline.operators.stays import stay_bounds
 from wardline.plans.bindings import Ward
+from wardline.session import cut_lineage
 from wardline.sources import text
 
 Query = Callable[[Ward], DataFrame]
@@ -45,6 +48,7 @@ TABLE_MODEL = Hmm(
 MIXTURE = Mixture((0.6, 0.4), (30.0, 90.0), (500.0, 2500.0))
 SIMILAR = 0.05
 SAMPLE_RATE = 0.3
+WALK_STEPS = 20
 SEQUENCE_COLUMNS = ("bp_dia", "bp_sys", "heart_rate", "resp_rate", "temp_f", "spo2", "gcs", "age")
 
 
@@ -226,7 +230,7 @@ def _top_similar(w: Ward) -> DataFrame:
 
 def _random_walk(w: Ward) -> DataFrame:
     start = w.facts.agg(F.min("patient_id")).first()[0]
-    return graph.random_walk(w.facts, start, iterations=20)
+    return rounded(graph.random_walk(w.facts, start, iterations=WALK_STEPS), "rank", places=9)
 
 
 def _clusters(w: Ward) -> DataFrame:
@@ -247,9 +251,6 @@ def _fit_multi(w: Ward) -> DataFrame:
 def _vector_arithmetic(w: Ward) -> DataFrame:
     """Each vector against its label's mean: sum, difference and distance."""
     vec = w.table("embeddings").select("vec_id", "label", F.col("embedding").cast("array<double>").alias("x"))
-    from pyspark.ml.functions import array_to_vector, vector_to_array
-    from pyspark.ml.stat import Summarizer
-
     centre = vec.groupBy("label").agg(
         vector_to_array(Summarizer.mean(array_to_vector(F.col("x")))).alias("c")
     )
@@ -281,6 +282,25 @@ def _baum_welch(w: Ward) -> DataFrame:
     return _hmm_rows(w, train.baum_welch(w.steps, train.gaussian_start(w.steps)))
 
 
+def _baum_welch_step(w: Ward) -> DataFrame:
+    """One round from a fixed model, which plain SQL can follow."""
+    return rounded(_hmm_rows(w, train.baum_welch(w.steps, REAL_MODEL, iterations=1)), "value")
+
+
+def _vector_hmm_predict(w: Ward) -> DataFrame:
+    """Two-state vector model on the six vitals and age, then the states of every hour."""
+    columns = (*grid.MATRIX_VITALS, "age")
+    steps = cut_lineage(
+        w.matrix.select(
+            F.col("icustay_id").alias("seq_id"),
+            hour_number(F.col("charttime")).alias("t"),
+            F.array(*[F.col(c).cast("double") for c in columns]).alias("obs"),
+        )
+    )
+    model = train.baum_welch(steps, train.vector_start(steps, len(columns)), iterations=5)
+    return decode.posterior(steps, model)
+
+
 def _baum_welch_table(w: Ward) -> DataFrame:
     return _hmm_rows(w, train.baum_welch(w.type_steps, TABLE_MODEL))
 
@@ -290,9 +310,8 @@ def _hmm_kmeans(w: Ward) -> DataFrame:
 
 
 def _gaussian_hmm_predict(w: Ward) -> DataFrame:
-    steps = w.steps.persist()
-    model = train.baum_welch(steps, train.gaussian_start(steps), iterations=25)
-    return decode.posterior(steps, model)
+    model = train.baum_welch(w.steps, train.gaussian_start(w.steps), iterations=25)
+    return decode.posterior(w.steps, model)
 
 
 def _kmeans(w: Ward) -> DataFrame:
@@ -473,8 +492,10 @@ QUERIES: dict[str, Query] = {
     "posterior_mass": lambda w: rounded(decode.posterior_mass(w.steps, REAL_MODEL), "mass", places=4),
     "model_gap": lambda w: rounded(decode.model_gap(w.steps, REAL_MODEL, OTHER_MODEL), "gap"),
     "baum_welch": _baum_welch,
+    "baum_welch_step": _baum_welch_step,
     "baum_welch_table": _baum_welch_table,
     "gaussian_hmm_predict": _gaussian_hmm_predict,
+    "vector_hmm_predict": _vector_hmm_predict,
     "hmm_kmeans": _hmm_kmeans,
     "kmeans": _kmeans,
     # classifiers

@@ -15,6 +15,8 @@ PART_FILE = r"part-\d{0,5}$"
 # Fixed positions in a saved labelled row, split on commas.
 LABEL_AT, STAY_AT, TIME_AT = 3, 5, 6
 VITALS_FROM, VITALS_TO, GCS_AT, AGE_AT = 7, 13, 13, 14
+# Fixed value: name written before the inner tuple of a saved labelled row.
+ROW_NAME = "SummedGCSPatient"
 DATASET_BUCKETS = 64
 SINGLE_FILE_LINES = 1_000_000
 
@@ -40,7 +42,7 @@ def labelled_lines(rows: DataFrame) -> DataFrame:
     return rows.select(
         F.concat(
             F.lit("(("), keys, F.lit("),("), time, F.lit(","), F.col("label").cast("string"),
-            F.lit(",SummedGCSPatient("), inner, F.lit(")))"),
+            F.lit(f",{ROW_NAME}("), inner, F.lit(")))"),
         ).alias("line")
     )
 
