@@ -126,3 +126,16 @@ def test_culture_and_antibiotic_filters(spark):
     assert onset.antibiotic_starts(inputs, d_items).count() == 2
     # a subject with two stays still counts once
     assert onset.antibiotic_starts(inputs, d_items, stays).count() == 1
+
+
+def test_score_history_matches_brute_force(spark):
+    rnd = random.Random(8)
+    scores = [
+        (s, s, T + timedelta(minutes=10 * rnd.randint(0, 300)), rnd.randint(0, 20))
+        for s in (1 if rnd.random() < 0.4 else rnd.randint(2, 5) for _ in range(300))
+    ]
+    df = spark.createDataFrame(scores, "subject_id long, icustay_id long, starttime timestamp_ntz, score int")
+    got = {r["subject_id"]: (r["max_score"], r["min_score"], r["rise"]) for r in onset.score_history(df).collect()}
+    for s in range(1, 6):
+        values = [v for _, _, v in sorted((t, st, v) for sid, st, t, v in scores if sid == s)]
+        assert got[s] == (max(values), min(values), brute_rise(values))

@@ -27,15 +27,20 @@ def _nearest(x: Column, centres: Sequence[Sequence[float]]) -> Column:
 
 
 def first_distinct(points: DataFrame, column: str, order: Sequence[str], k: int) -> list[list[float]]:
-    """The k distinct points that come first by ``order``."""
-    rows = (
-        points.groupBy(column)
-        .agg(F.min(F.struct(*order)).alias("_at"))
-        .orderBy("_at")
-        .limit(k)
-        .collect()
-    )
-    return [list(r[column]) for r in rows]
+    """The k distinct points that come first by ``order``.
+
+    One pass per point, each reduced to a single row inside the tasks, so neither copies nor
+    the number of points matter.
+    """
+    found: list[list[float]] = []
+    left = points
+    while len(found) < k:
+        row = left.agg(F.min_by(column, F.struct(*order)).alias("x")).first()
+        if row["x"] is None:
+            break
+        found.append(list(row["x"]))
+        left = left.where(F.col(column) != literal_array(found[-1]))
+    return found
 
 
 def _partial_sums(centres: Sequence[Sequence[float]]):

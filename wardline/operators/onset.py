@@ -99,6 +99,38 @@ def max_rise(ordered_scores: Column) -> Column:
     return F.aggregate(ordered_scores, start, step, lambda state: state["rise"])
 
 
+def _hourly(scores: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Lowest and highest score and largest rise of every (keys, _hour)."""
+    return (
+        running_rise(scores, [*keys, "_hour"], order)
+        .groupBy(*keys, "_hour")
+        .agg(F.min("score").alias("low"), F.max("score").alias("high"), F.max("rise").alias("rise"))
+    )
+
+
+def _across_hours(pieces: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Summary of ordered hour pieces: a rise lies inside a piece or ends in a later one."""
+    before = Window.partitionBy(*keys).orderBy("_hour").rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        pieces.withColumn("_across", _rise(F.col("high"), F.min("low").over(before)))
+        .groupBy(*keys)
+        .agg(
+            F.max("high").alias("max_score"),
+            F.min("low").alias("min_score"),
+            F.max(F.greatest("rise", "_across")).alias("rise"),
+        )
+    )
+
+
+def score_history(scores: DataFrame, keys: Sequence[str] = ("subject_id", "icustay_id")) -> DataFrame:
+    """Highest and lowest score and largest rise over the whole history of each key.
+
+    Scores are ordered inside their hour only; a key's window then sees one row per hour.
+    """
+    hours = scores.where(F.col("score").isNotNull()).withColumn("_hour", hour_of(F.col("starttime")))
+    return _across_hours(_hourly(hours, keys, ["starttime", "icustay_id", "score"]), keys)
+
+
 def _pieces(scores: DataFrame, windows: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Score summaries of whole hours, and of the cut hour in which each window ends."""
     hour = hour_of(F.col("starttime")).alias("_hour")
@@ -110,11 +142,7 @@ def _pieces(scores: DataFrame, windows: DataFrame, keys: Sequence[str]) -> tuple
         F.lit(None).cast("int").alias("score"), F.lit(1).alias("_end"),
     ).distinct()
 
-    whole = (
-        running_rise(marked, [*keys, "_hour"], ["starttime", "_stay", "score"])
-        .groupBy(*keys, "_hour")
-        .agg(F.min("score").alias("low"), F.max("score").alias("high"), F.max("rise").alias("rise"))
-    )
+    whole = _hourly(marked, keys, ["starttime", "_stay", "score"])
     # An end mark sorts after the scores of its own instant, so its running summary covers them.
     within = (
         Window.partitionBy(*keys, "_hour")
@@ -155,17 +183,7 @@ def score_windows(
     last = windows.where(F.col("charttime") <= end_hour).join(cut, [*keys, "starttime"]).select(
         *window_keys, "_hour", "low", "high", "rise"
     )
-    before = Window.partitionBy(*window_keys).orderBy("_hour").rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        inner.unionByName(last)
-        .withColumn("_across", _rise(F.col("high"), F.min("low").over(before)))
-        .groupBy(*window_keys)
-        .agg(
-            F.max("high").alias("max_score"),
-            F.min("low").alias("min_score"),
-            F.max(F.greatest("rise", "_across")).alias("rise"),
-        )
-    )
+    return _across_hours(inner.unionByName(last), window_keys)
 
 
 def onset(

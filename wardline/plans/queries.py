@@ -138,14 +138,6 @@ def _bounds(older: bool) -> Query:
     return run
 
 
-def _score_max_rise(w: Ward) -> DataFrame:
-    """Largest rise of each stay's scores over its whole history."""
-    risen = onset.running_rise(w.scores, ["subject_id", "icustay_id"], ["starttime", "score"])
-    return risen.groupBy("subject_id", "icustay_id").agg(
-        F.max("rise").alias("rise"), F.max("score").alias("max_score"), F.min("score").alias("min_score")
-    )
-
-
 def _stay_scores(w: Ward) -> DataFrame:
     return w.stays.select("subject_id", "icustay_id").join(
         w.scores.drop("subject_id"), "icustay_id"
@@ -430,7 +422,7 @@ QUERIES: dict[str, Query] = {
     # onset
     "infection_pairs": lambda w: w.windows,
     "score_windows": lambda w: onset.score_windows(w.windows, w.scores),
-    "score_max_rise": _score_max_rise,
+    "score_max_rise": lambda w: onset.score_history(w.scores),
     "onset_by_subject": lambda w: onset.onset(w.windows, w.scores),
     "onset_by_stay": lambda w: w.labels,
     "stay_scores": _stay_scores,
