@@ -9,9 +9,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wardline.llm.numbering import number
+
 #: Rows of a shard are numbered in this many buckets, so no task orders a whole shard.
 SLOT_BUCKETS = 4096
 
@@ -61,26 +63,6 @@ def place(key: Column, node: Node) -> Column:
     return F.element_at(F.array(*[place(key, c) for c in node.children]), won + 1)
 
 
-def slots(rows: DataFrame, order: list[str], shard_col: str = "shard", name: str = "slot", buckets: int = SLOT_BUCKETS) -> DataFrame:
-    """Number the rows of each shard from 0 without gaps.
-
-    Rows are ordered inside buckets of their ``order`` columns' hash and shifted by the rows of
-    the shard's earlier buckets. The offsets are at most shards x buckets rows, so they are
-    broadcast. Equal rows get different slots, in any order.
-    """
-    hashed = rows.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)))
-    sizes = hashed.groupBy(shard_col, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(shard_col).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(shard_col, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    inside = Window.partitionBy(shard_col, "_bucket").orderBy(*order)
-    return (
-        hashed.withColumn("_row", F.row_number().over(inside))
-        .join(F.broadcast(offsets), [shard_col, "_bucket"])
-        .withColumn(name, F.col("_offset") + F.col("_row") - 1)
-        .drop("_bucket", "_row", "_offset")
-    )
-
-
 def shard(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, size, text_crc32, law, shard, slot, grown_shard) of every row, by the law ``key``.
 
@@ -98,4 +80,6 @@ def shard(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str =
         place(key, layout(shards)).alias("shard"),
         place(key, layout(shards + 1)).alias("grown_shard"),
     )
-    return slots(placed, [id_col, "text_crc32", "size"]).select(id_col, "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+    # shards x buckets offsets: bounded, so they are broadcast
+    numbered = number(placed, "shard", [id_col, "text_crc32", "size"], "slot", SLOT_BUCKETS, broadcast=True)
+    return numbered.select(id_col, "size", "text_crc32", "law", "shard", "slot", "grown_shard")

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wardline.llm import bands, decontaminate, hash_tree, warc
+from wardline.llm import bands, bottomk, decontaminate, hash_tree, packing, secrets, toxicity, warc
 from wardline.llm.scratch import new_folder
 
 
@@ -33,8 +34,30 @@ def op4_hash_tree(spark: SparkSession, folder: str) -> DataFrame:
     return hash_tree.shard(_table(spark, folder, "documents"), 8)
 
 
+def op6_counterfactual_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, _table(spark, folder, "labels"))
+    return toxicity.score(docs, model).select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+def op7_bottomk_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return bottomk.near_duplicates(_table(spark, folder, "documents"), words=3, percent=85)
+
+
+def op9_secret_forest(spark: SparkSession, folder: str) -> DataFrame:
+    judged = secrets.scan(_table(spark, folder, "documents"))
+    return judged.select(F.col("id").alias("doc_id"), "nth", F.sha2("value", 256).alias("value_sha256"), "probability", "is_secret")
+
+
+def op10_cutting_stock(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_warc_chunks, op2_compression_bands, op3_decontamination, op4_hash_tree)
+    f.__name__: f for f in (
+        op1_warc_chunks, op2_compression_bands, op3_decontamination, op4_hash_tree, op6_counterfactual_toxicity,
+        op7_bottomk_duplicates, op9_secret_forest, op10_cutting_stock,
+    )
 }
 
 _DIGEST = """
