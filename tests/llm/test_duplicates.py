@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import random
 
+import pytest
+
 from tests.llm import brute
-from wardline.llm import bottomk
+from wardline.llm import bottomk, bwt
 from wardline.llm.components import components
 
 FOLDER = "/root/testdata/sf0.001"
@@ -70,3 +72,49 @@ def test_components(spark):
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame([*edges, (None, 1), (2, 2)], "a long, b long")).collect()}
     assert got == {x: find(x) for x in got} and len(got) >= 150
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def _passages(seed: int) -> list[tuple]:
+    rng = random.Random(seed)
+    shared = [" ".join(f"p{rng.randrange(10**5)}é" for _ in range(30)) for _ in range(6)]
+    rows = []
+    for i in range(120):
+        parts = [" ".join(f"u{rng.randrange(10**6)}" for _ in range(rng.randrange(40))) for _ in range(3)]
+        for _ in range(rng.randrange(3)):
+            p = rng.choice(shared)
+            a = rng.randrange(len(p) // 2)
+            parts.insert(rng.randrange(4), p[a : a + rng.randrange(20, 160)])
+        rows.append((7000 + i, "".join(parts)))
+    return rows
+
+
+def _cuts(df):
+    return {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in df.collect()}
+
+
+@pytest.mark.parametrize("block", [bwt.BLOCK, 16])
+def test_repeated_bytes_equal_brute_force(spark, block):
+    rows = documents(spark) + ODD + _passages(5) + [(8000, "ab" * 90), (8001, "ab" * 25), (8002, "x" * 49), (8003, "x" * 50), (8004, "x" * 51 + "y"), (8005, "x" * 200)]
+    got = _cuts(bwt.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), block=block))
+    want = brute.repeated_bytes(rows)
+    assert {d: (got[d], want[d]) for d in want if got[d] != want[d]} == {}
+    assert sum(n for _, n, *_ in want.values()) > 5000
+
+
+def test_suffixes_of_a_block_are_sorted():
+    rng = random.Random(2)
+    texts = ["".join(rng.choice("ab") for _ in range(rng.randrange(8, 20))).encode() for _ in range(40)]
+    owner, start, common = bwt.sort_contexts(texts, 6)
+    got = [texts[o][s:] for o, s in zip(owner, start, strict=True)]
+    assert got == sorted(got) and len(got) == sum(len(t) - 5 for t in texts)
+    assert [c >= 6 for c in common[1:]] == [a[:6] == b[:6] for a, b in zip(got, got[1:], strict=False)]
+
+
+def test_repeats_with_missing_and_repeated_ids(spark):
+    p = "a passage that is long enough to count as a repeated one here " * 2
+    rows = [(1, p), (1, "x" + p), (2, "y" + p), (None, p), (None, None), (3, None), (4, ""), (2, "y" + p)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as h", "'a' as tag")
+    got = sorted((str(r["doc_id"]), r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept_text"])) for r in bwt.remove_repeats(df).collect())
+    n = len(p)
+    assert got == sorted([("1", n, 0, 0, p.encode()), ("1", n + 1, 0, 0, b"x" + p.encode()), ("2", n + 1, n, 1, b"y"), ("2", n + 1, n, 1, b"y"), ("None", n, 0, 0, p.encode()), ("None", 0, 0, 0, b""), ("3", 0, 0, 0, b""), ("4", 0, 0, 0, b"")])
+    assert bwt.remove_repeats(df.limit(0)).count() == 0

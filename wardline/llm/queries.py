@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import bands, bottomk, decontaminate, hash_tree, packing, secrets, toxicity, warc
+from wardline.llm import bands, bottomk, bwt, decontaminate, hash_tree, packing, secrets, toxicity, warc
 from wardline.llm.scratch import new_folder
 
 
@@ -44,6 +44,10 @@ def op7_bottomk_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return bottomk.near_duplicates(_table(spark, folder, "documents"), words=3, percent=85)
 
 
+def op8_columnwise_bwt(spark: SparkSession, folder: str) -> DataFrame:
+    return bwt.remove_repeats(_table(spark, folder, "documents"), with_text=False).drop("kept_text")
+
+
 def op9_secret_forest(spark: SparkSession, folder: str) -> DataFrame:
     judged = secrets.scan(_table(spark, folder, "documents"))
     return judged.select(F.col("id").alias("doc_id"), "nth", F.sha2("value", 256).alias("value_sha256"), "probability", "is_secret")
@@ -56,7 +60,7 @@ def op10_cutting_stock(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_warc_chunks, op2_compression_bands, op3_decontamination, op4_hash_tree, op6_counterfactual_toxicity,
-        op7_bottomk_duplicates, op9_secret_forest, op10_cutting_stock,
+        op7_bottomk_duplicates, op8_columnwise_bwt, op9_secret_forest, op10_cutting_stock,
     )
 }
 

@@ -13,6 +13,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wardline.llm.scratch import written
+
 #: Words of the corpus that count as a dictionary, by falling number of documents.
 DICTIONARY_WORDS = 2_000
 #: Labelled findings that training reads at most, by rising hash.
@@ -140,5 +142,6 @@ def classify(found: DataFrame, labelled: DataFrame, max_rows: int = MAX_TRAINING
 
 def scan(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
     """All candidates of all texts, judged. ``labelled`` findings default to those of the rules."""
-    found = features(candidates(docs), dictionary(docs))
+    # read by each round of the forest, so it is written once
+    found = written(features(candidates(docs), dictionary(docs)), "candidates")
     return classify(found, findings_by_rule(found) if labelled is None else labelled)
