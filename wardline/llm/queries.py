@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import bands, bottomk, bwt, decontaminate, hash_tree, packing, secrets, toxicity, warc
+from wardline.llm import align, bands, bottomk, bwt, decontaminate, hash_tree, packing, secrets, toxicity, warc
 from wardline.llm.scratch import new_folder
 
 
@@ -34,6 +34,14 @@ def op4_hash_tree(spark: SparkSession, folder: str) -> DataFrame:
     return hash_tree.shard(_table(spark, folder, "documents"), 8)
 
 
+def op5_patience_lines(spark: SparkSession, folder: str) -> DataFrame:
+    done = align.dedup(_table(spark, folder, "documents").select("doc_id", "text"))
+    return done.select(
+        F.col("row.doc_id").alias("doc_id"), "n_lines", F.size("removed").cast("long").alias("n_removed"),
+        F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
 def op6_counterfactual_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     model = toxicity.train(docs, _table(spark, folder, "labels"))
@@ -59,7 +67,7 @@ def op10_cutting_stock(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_warc_chunks, op2_compression_bands, op3_decontamination, op4_hash_tree, op6_counterfactual_toxicity,
+        op1_warc_chunks, op2_compression_bands, op3_decontamination, op4_hash_tree, op5_patience_lines, op6_counterfactual_toxicity,
         op7_bottomk_duplicates, op8_columnwise_bwt, op9_secret_forest, op10_cutting_stock,
     )
 }
