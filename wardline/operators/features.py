@@ -172,18 +172,15 @@ def labelled_raw_mean(chart: DataFrame, d_items: DataFrame, items: Sequence[int]
 
 
 def first_raw_readings(
-    chart: DataFrame, stays: DataFrame, ladder: Sequence[int], n: int
+    chart: DataFrame, stays: DataFrame, ladder: Sequence[int], n: int | None = None
 ) -> DataFrame:
-    """Ladder reading at raw time over the first ``n`` item means in key order."""
+    """Ladder reading at raw time over the item means, or over the first ``n`` of them in key order."""
     keys = ("subject_id", "icustay_id", "charttime")
     bounds = stays.select("subject_id", "icustay_id", "intime", "outtime")
     rows = in_stay(chart.where(F.col("itemid").isin(*ladder)), bounds)
-    first = (
-        rows.groupBy(*keys, "itemid")
-        .agg(F.avg("valuenum").alias("mean"))
-        .orderBy(*keys, "itemid")
-        .limit(n)
-    )
+    first = rows.groupBy(*keys, "itemid").agg(F.avg("valuenum").alias("mean"))
+    if n is not None:
+        first = first.orderBy(*keys, "itemid").limit(n)
     return first.groupBy(*keys).agg(
         folds.ladder_item(ladder, value="mean").alias("itemid"),
         folds.ladder_value(ladder, value="mean").alias("value"),

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardline.operators.hmm.chunks import CHUNK_STEPS, KEYS
@@ -50,63 +50,65 @@ def fit_table(rows: DataFrame, weight: str | None = None) -> DataFrame:
 
 
 def fit_gaussian(rows: DataFrame, weight: str | None = None) -> DataFrame:
-    """(state, mean, variance): weighted mean and population variance of ``obs``."""
-    w = F.col(weight) if weight else F.lit(1.0)
-    x = F.col("obs")
-    sums = rows.groupBy("state").agg(
-        F.sum(w).alias("_w"), F.sum(w * x).alias("_x"), F.sum(w * x * x).alias("_xx")
-    )
-    mean = F.col("_x") / F.col("_w")
-    return sums.select("state", mean.alias("mean"), (F.col("_xx") / F.col("_w") - mean * mean).alias("variance"))
+    """(state, mean, variance): weighted mean and population variance of ``obs``.
+
+    Squares are summed around the state's mean, so large values lose no digits.
+    """
+    weighed = rows.select("state", F.col("obs").alias("x"), (F.col(weight) if weight else F.lit(1.0)).alias("w"))
+    means = weighed.groupBy("state").agg((F.sum(F.col("w") * F.col("x")) / F.sum("w")).alias("mean"))
+    off = F.col("x") - F.col("mean")
+    return weighed.join(means, "state").groupBy("state", "mean").agg((F.sum(F.col("w") * off * off) / F.sum("w")).alias("variance"))
 
 
 def fit_multi(rows: DataFrame) -> DataFrame:
     """(state, i, j, mean_i, mean_j, covariance) of the vectors in ``obs``, j from i upwards.
 
-    Each task folds its rows into one moment matrix per state; only those are shuffled.
+    Each task folds its rows into count, mean and centred products per state; only those are
+    shuffled. Moments are merged around their means, so large values lose no digits.
     """
 
     def moments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[int, np.ndarray] = {}
+        held: dict[int, tuple[float, np.ndarray, np.ndarray]] = {}
         for batch in batches:
             for state, part in batch.groupby("state"):
                 x = np.stack(part["obs"].to_numpy())
-                x = np.hstack([np.ones((len(x), 1)), x])
-                held[state] = held.get(state, 0) + x.T @ x
+                n, mean = float(len(x)), x.mean(axis=0)
+                products = (x - mean).T @ (x - mean)
+                if state in held:
+                    n0, mean0, products0 = held[state]
+                    shift, whole = mean - mean0, n0 + n
+                    products += products0 + np.outer(shift, shift) * (n0 * n / whole)
+                    n, mean = whole, mean0 + shift * (n / whole)
+                held[state] = (n, mean, products)
         if held:
             yield pd.DataFrame(
-                {"state": list(held), "d": [m.shape[0] for m in held.values()],
-                 "m": [m.ravel() for m in held.values()]}
-            )
+                {"state": list(held), "n": [n for n, _, _ in held.values()], "mean": [m for _, m, _ in held.values()],
+                 "c": [c.ravel() for _, _, c in held.values()]}
+            )
 
     partial = rows.select(F.col("state").cast("long").alias("state"), "obs").mapInPandas(
-        moments, "state long, d int, m array<double>"
+        moments, "state long, n double, mean array<double>, c array<double>"
     )
+    i, j = F.floor(F.col("p") / F.size("mean")).cast("int"), (F.col("p") % F.size("mean")).cast("int")
     cells = (
-        partial.select("state", "d", F.posexplode("m").alias("p", "v"))
-        .groupBy("state", F.floor(F.col("p") / F.col("d")).alias("i"), (F.col("p") % F.col("d")).alias("j"))
-        .agg(F.sum("v").alias("v"))
-    )
-    # row 0 holds the count and the sums
-    sums = cells.where("i = 0").groupBy("state").agg(
-        F.max(F.when(F.col("j") == 0, F.col("v"))).alias("n"),
-        F.map_from_entries(F.collect_list(F.struct("j", "v"))).alias("s"),
-    )
-    mean_i = F.col("s")[F.col("i").cast("int")] / F.col("n")
-    mean_j = F.col("s")[F.col("j").cast("int")] / F.col("n")
-    return (
-        cells.where("i >= 1 and j >= i")
-        .join(sums, "state")
-        .select(
-            "state",
-            (F.col("i") - 1).cast("int").alias("i"),
-            (F.col("j") - 1).cast("int").alias("j"),
-            mean_i.alias("mean_i"),
-            mean_j.alias("mean_j"),
-            (F.col("v") / F.col("n") - mean_i * mean_j).alias("covariance"),
-        )
+        partial.select("state", "n", "mean", F.posexplode("c").alias("p", "c"))
+        .select("state", i.alias("i"), j.alias("j"), F.struct("n", F.get("mean", i).alias("mi"), F.get("mean", j).alias("mj"), "c").alias("part"))
+        .where("j >= i")
     )
 
+    def merge(a: Column, b: Column) -> Column:
+        n = a["n"] + b["n"]
+        di, dj = b["mi"] - a["mi"], b["mj"] - a["mj"]
+        return F.struct(
+            n.alias("n"), (a["mi"] + di * b["n"] / n).alias("mi"), (a["mj"] + dj * b["n"] / n).alias("mj"),
+            (a["c"] + b["c"] + di * dj * a["n"] * b["n"] / n).alias("c"),
+        )
+
+    # one part for each task and state
+    start = F.struct(*[F.lit(0.0).alias(x) for x in ("n", "mi", "mj", "c")])
+    whole = cells.groupBy("state", "i", "j").agg(F.aggregate(F.collect_list("part"), start, merge).alias("m"))
+    return whole.select("state", "i", "j", F.col("m.mi").alias("mean_i"), F.col("m.mj").alias("mean_j"), (F.col("m.c") / F.col("m.n")).alias("covariance"))
+
 
 def fit_mixture_step(rows: DataFrame, mixture: Mixture, weight: str | None = None) -> DataFrame:
     """(component, weight, mean, variance) after one expectation step over ``obs``.

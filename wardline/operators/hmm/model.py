@@ -95,7 +95,7 @@ class Gaussian:
     def log_density(self, x: Column, p: Sequence[Column]) -> Column:
         mean, twice_variance, constant = p
         d = x - mean
-        return F.greatest(constant - d * d / twice_variance, F.lit(LOG_FLOOR))
+        return constant - d * d / twice_variance
 
     def terms(self, x: Column, p: Sequence[Column]) -> list[Column]:
         # around the present mean, so that the variance does not cancel
@@ -197,7 +197,7 @@ class MultiGaussian:
         for at, (i, j) in enumerate(self._lower()):
             rows.setdefault(i, []).append((x[j] - p[1 + j]) * p[1 + d + at])
         units = [_sum(parts) for parts in rows.values()]
-        return F.greatest(p[0] - _sum([u * u for u in units]) / 2, F.lit(LOG_FLOOR))
+        return p[0] - _sum([u * u for u in units]) / 2
 
     def terms(self, x: Column, p: Sequence[Column]) -> list[Column]:
         centred = [x[i] - p[1 + i] for i in range(len(self.mean))]

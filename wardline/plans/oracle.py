@@ -458,8 +458,8 @@ ORACLE: dict[str, str] = {
         f"round(arg_min(m, list_position({_list(items.DIASTOLIC)}, itemid)), 6) AS value FROM ("
         "SELECT c.subject_id, a.icustay_id, c.charttime, c.itemid, avg(valuenum) AS m FROM chart c JOIN adults a "
         "ON c.subject_id = a.subject_id AND c.charttime BETWEEN a.intime AND a.outtime "
-        f"WHERE c.itemid IN {_in(items.DIASTOLIC)} GROUP BY ALL "
-        "ORDER BY 1, 2, 3, 4 LIMIT 10) WHERE m != 0 GROUP BY 1, 2, 3",
+        f"WHERE c.itemid IN {_in(items.DIASTOLIC)} GROUP BY ALL"
+        ") WHERE m != 0 GROUP BY 1, 2, 3",
         "chart", "adults",
     ),
     "adult_stays": _sql(

@@ -48,7 +48,7 @@ TABLE_MODEL = Hmm(
 MIXTURE = Mixture((0.6, 0.4), (30.0, 90.0), (500.0, 2500.0))
 SIMILAR = 0.05
 SAMPLE_RATE = 0.3
-WALK_STEPS = 20
+WALK_STEPS = 50
 SEQUENCE_COLUMNS = ("bp_dia", "bp_sys", "heart_rate", "resp_rate", "temp_f", "spo2", "gcs", "age")
 
 
@@ -376,7 +376,7 @@ def _parse_bracketed(w: Ward) -> DataFrame:
 
 
 def _first_raw(w: Ward) -> DataFrame:
-    return rounded(features.first_raw_readings(w.chart, w.adults, items.DIASTOLIC, 10), "value")
+    return rounded(features.first_raw_readings(w.chart, w.adults, items.DIASTOLIC), "value")
 
 
 def _labelled_raw_mean(w: Ward) -> DataFrame:

@@ -18,7 +18,6 @@ VITALS_FROM, VITALS_TO, GCS_AT, AGE_AT = 7, 13, 13, 14
 # Fixed value: name written before the inner tuple of a saved labelled row.
 ROW_NAME = "SummedGCSPatient"
 DATASET_BUCKETS = 64
-SINGLE_FILE_LINES = 1_000_000
 
 
 def read_lines(spark: SparkSession, path: str, parts_only: bool = False) -> DataFrame:
@@ -208,11 +207,12 @@ def write_lines(lines: DataFrame, path: str) -> None:
     lines.select("line").write.mode("overwrite").text(path)
 
 
-def write_single_file(lines: DataFrame, path: str, max_lines: int = SINGLE_FILE_LINES) -> None:
-    """One output file, for small results only: larger ones belong in :func:`write_lines`."""
-    if lines.limit(max_lines + 1).count() > max_lines:
-        raise ValueError(f"more than {max_lines} lines; write them as part files")
-    lines.select("line").coalesce(1).write.mode("overwrite").text(path)
+def write_single_file(lines: DataFrame, path: str) -> None:
+    """All lines in one output file, in no set order: the last step alone runs as one task.
+
+    The file is written at one task's speed, whatever its size; :func:`write_lines` has no such step.
+    """
+    lines.select("line").repartition(1).write.mode("overwrite").text(path)
 
 
 def save_dataset(matrix: DataFrame, path: str, buckets: int = DATASET_BUCKETS) -> None:
