@@ -118,3 +118,10 @@ def test_repeats_with_missing_and_repeated_ids(spark):
     n = len(p)
     assert got == sorted([("1", n, 0, 0, p.encode()), ("1", n + 1, 0, 0, b"x" + p.encode()), ("2", n + 1, n, 1, b"y"), ("2", n + 1, n, 1, b"y"), ("None", n, 0, 0, p.encode()), ("None", 0, 0, 0, b""), ("3", 0, 0, 0, b""), ("4", 0, 0, 0, b"")])
     assert bwt.remove_repeats(df.limit(0)).count() == 0
+
+
+def test_contexts_of_repetitive_texts_stay_short(spark):
+    rows = [(1, "reon. " * 3000), (2, "x" + "reon. " * 2000), (3, "ab" * 2000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert bwt.anchor_rows(df, 50, 16).agg({"bytes": "max"}).first()[0] <= 84
+    assert _cuts(bwt.remove_repeats(df, block=32)) == brute.repeated_bytes(rows)
