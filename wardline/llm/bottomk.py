@@ -9,8 +9,13 @@ smallest values of their union, and fewer than half of them never in practice (b
 k = 64; not at all where sketches are whole sets). So two such classes still meet if each is
 entered only under the rarest half of its values, plus one. Values that occur once fill most of
 those places, and a value in a third of all documents is used only by classes that hold little
-else. Within a list, classes are first linked to the list's smallest class alone; only classes
-that are then still in different components are paired.
+else. Within a list, classes are first linked to one class alone, the one with the largest share
+of values that others have too: among edited copies, the one nearest to what they were made from.
+
+Lists whose classes are then in several components stay open. In these, a class is paired by its
+whole set: shingles that no other component's open class holds cannot be in a link, so they take
+the first places of its prefix, and the smaller of two sets needs a shorter prefix. A pair is made
+only if what both sets still hold from a shared shingle on can reach the threshold.
 """
 
 from __future__ import annotations
@@ -102,7 +107,9 @@ def _estimate(a: Column, b: Column, k: int) -> tuple[Column, Column]:
 
 
 def inverted_lists(classes: DataFrame) -> DataFrame:
-    """(value, id, n) of classes (id, n, sketch): each under the rarest half of its values.
+    """(value, id, n, common) of classes (id, n, sketch): each under the rarest half of its values.
+
+    ``common`` is the share of the class's values that other classes hold too.
 
     Values that only one class holds are left out, after they have taken their places.
     """
@@ -111,10 +118,47 @@ def inverted_lists(classes: DataFrame) -> DataFrame:
     shared = postings.join(lists, "value").groupBy("id", "n", "kept").agg(F.array_sort(F.collect_list(F.struct("holders", "value"))).alias("ranked"))
     places = F.col("kept") - F.ceil(F.col("kept") / 2).cast("int") + 1
     left = places - (F.col("kept") - F.size("ranked"))
-    return shared.where(left > 0).select(F.explode(F.slice("ranked", F.lit(1), left)).alias("p"), "id", "n").select("p.value", "id", "n")
+    common = (F.size("ranked") / F.col("kept")).alias("common")
+    return shared.where(left > 0).select(F.explode(F.slice("ranked", F.lit(1), left)).alias("p"), "id", "n", common).select("p.value", "id", "n", "common")
+
+
+def sets_of(ids: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+    """(id, grams) of the documents that ``ids`` names; an id with several texts has several sets."""
+    wanted = docs.join(ids.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
+    return written(_full_sets(wanted.select("doc_id", "text"), words).where(F.size("grams") > 0).distinct(), "sets")
 
 
-def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int, k: int) -> DataFrame:
+def prefix_pairs(sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): every pair of rows (id, component, grams) of different components that may reach the threshold.
+
+    Of sets of x and y >= x shingles that reach it, the smaller shares at least 2tx / (1 + t) of its
+    shingles and the larger at least ty, so prefixes of the rest plus one, in one order, meet.
+    """
+    each = sets.select("id", "component", F.xxhash64("grams").alias("one"), F.size("grams").cast("long").alias("n"), F.explode("grams").alias("value"))
+    held = each.groupBy("value").agg(F.count(F.lit(1)).alias("holders"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+    across = held.where("lo < hi").select("value", "holders")
+    ranked = each.join(across, "value").groupBy("id", "component", "one", "n").agg(F.array_sort(F.collect_list(F.struct("holders", "value"))).alias("ranked"))
+    size = F.size("ranked")
+    places = (size - F.ceil(F.col("n") * percent / 100) + 1).cast("int")
+    indexed = F.col("at") < size - F.ceil(F.col("n") * 2 * percent / (100 + percent)) + 1
+    entries = (
+        ranked.where(places > 0)
+        .select("id", "component", "one", "n", "ranked", F.posexplode(F.slice("ranked", F.lit(1), places)).alias("at", "p"))
+        .select("p.value", "id", "component", "one", "n", (size - F.col("at")).alias("rest"), indexed.alias("indexed"))
+    )
+    entries = written(entries, "entries")
+    lists = entries.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min(F.when(F.col("indexed"), F.col("n"))).alias("least"))
+    reaches = lambda rest, sizes: rest * (100 + percent) >= sizes * percent
+    useful = F.col("indexed") | reaches(F.col("rest"), F.col("n") + F.col("least"))
+    entries = entries.join(lists.where("lo < hi and least is not null"), "value").where(useful).drop("lo", "hi", "least")
+    x, y = (entries.select("value", *[F.col(c).alias(f"{c}_{s}") for c in ("id", "component", "one", "n", "rest", "indexed")]) for s in "ab")
+    fits = reaches(F.least("rest_a", "rest_b"), F.col("n_a") + F.col("n_b")) & (F.col("n_b") * 100 >= F.col("n_a") * percent)
+    smaller = F.col("indexed_b") & ((F.col("n_b") < F.col("n_a")) | ((F.col("n_b") == F.col("n_a")) & (F.col("one_b") < F.col("one_a"))))
+    met = x.join(y, "value").where(smaller & (F.col("component_a") != F.col("component_b")) & fits)
+    return met.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
+
+
+def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int, k: int, sets: DataFrame | None = None) -> DataFrame:
     """The pairs (a, b) whose full sets reach the threshold, after the estimate from their sketches."""
     sides = [classes.select(F.col("id").alias(c), F.col("sketch").alias(f"{c}_sketch")) for c in ("a", "b")]
     share, size = _estimate(F.col("a_sketch"), F.col("b_sketch"), k)
@@ -122,11 +166,9 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int,
     near = written(
         pairs.join(sides[0], "a").join(sides[1], "b").where(share >= t - SLACK * F.sqrt(F.lit(t * (1 - t)) / size)).select("a", "b"), "near"
     )
-    wanted = near.select(F.col("a").alias("id")).union(near.select("b")).distinct()
     # rows that repeat an id with other texts: the class has the text of the set it stands for
-    sets = written(
-        _full_sets(docs.join(wanted.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi").select("doc_id", "text"), words).distinct(), "sets"
-    )
+    if sets is None:
+        sets = sets_of(near.select(F.col("a").alias("id")).union(near.select("b")).distinct(), docs, words)
     both = near.join(sets.withColumnsRenamed({"id": "a", "grams": "a_grams"}), "a").join(sets.withColumnsRenamed({"id": "b", "grams": "b_grams"}), "b")
     shared = F.size(F.array_intersect("a_grams", "b_grams"))
     union = F.size("a_grams") + F.size("b_grams") - shared
@@ -150,17 +192,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     lists = written(inverted_lists(classes), "lists")
 
-    hubs = lists.groupBy("value").agg(F.min("id").alias("hub"), F.min_by("n", "id").alias("hub_n"))
+    central = F.struct("common", -F.col("id"))
+    hubs = lists.groupBy("value").agg(F.max_by("id", central).alias("hub"), F.max_by("n", central).alias("hub_n"))
     fits = lambda a, b: F.least(a, b) * 100 >= F.greatest(a, b) * percent
     stars = lists.join(hubs, "value").where(F.col("id") != F.col("hub")).where(fits(F.col("n"), F.col("hub_n")))
     links = verified(stars.select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct(), classes, source, words, percent, k)
 
     grouped = lists.join(components(links).withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     open_ = grouped.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("value")
-    grouped = written(grouped.join(open_, "value"), "open")
-    x, y = (grouped.select("value", *[F.col(c).alias(f"{c}_{s}") for c in ("id", "n", "component")]) for s in "ab")
-    across = x.join(y, "value").where((F.col("id_a") < F.col("id_b")) & (F.col("component_a") != F.col("component_b")) & fits(F.col("n_a"), F.col("n_b")))
-    links = links.unionByName(verified(across.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct(), classes, source, words, percent, k))
+    named = written(grouped.join(open_, "value").select("id", "component").distinct(), "open")
+    whole = sets_of(named, source, words)
+    candidates = prefix_pairs(whole.join(named, "id"), percent)
+    links = links.unionByName(verified(candidates, classes, source, words, percent, k, whole))
 
     # a document whose id stands for another of its texts, or for no class at all, hangs on its classes
     members = sets.select("doc_id", "digest").join(classes.select("digest", "id"), "digest").where(F.col("doc_id") != F.col("id")).select(F.col("id").alias("a"), F.col("doc_id").alias("b"))
