@@ -25,6 +25,13 @@ def _small_star(links: DataFrame) -> DataFrame:
     return rest.unionByName(mins.select("u", F.col("m").alias("v"))).distinct()
 
 
+def _done(links: DataFrame) -> bool:
+    """True if every node links to one node, and that one to none."""
+    ends = links.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("top"))
+    ends = ends.unionByName(links.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("top")))
+    return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("top").alias("top")).where("up + top > 1").isEmpty()
+
+
 def components(edges: DataFrame, label: str = "components") -> DataFrame:
     """(node, component) of every node of ``edges`` (a, b); the component is its smallest node.
 
@@ -33,12 +40,8 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     edges the result is empty.
     """
     links = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    seen = None
-    while True:
+    links = written(_small_star(_large_star(links)), label)
+    while not _done(links):
         links = written(_small_star(_large_star(links)), label)
-        now = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == seen:
-            break
-        seen = now
     named = links.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return named.unionByName(named.select(F.col("component").alias("node"), "component").distinct())
