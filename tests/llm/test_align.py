@@ -67,3 +67,44 @@ def test_clean_keeps_columns(spark):
     got = align.clean(df)
     assert got.columns == df.columns and sorted(r["doc_id"] for r in got.collect()) == [1, 3, 4]
     assert align.clean(df.limit(0)).count() == 0
+
+
+def test_a_block_whose_lines_first_occur_elsewhere(spark):
+    own = [[f"own line of document {d} and no other, number {i}" for i in range(3)] for d in range(40)]
+    short = [f"block of the two, {i}" for i in range(4)]  # 18 bytes each, so three make a block
+    block = [*short, *LINES[:2]]
+    rows = [(d, "\n".join([own[d][0], block[d], *own[d][1:]])) for d in range(6)]  # each line alone first
+    rows += [(6, "\n".join([*own[6], *block])), (7, "\n".join([*block, *own[7]]))]
+    # the first holder has the runs in another order, the second one in the same
+    p, q = LINES[10:14], LINES[20:22]
+    rows += [(8, "\n".join([*q, own[8][0], *p])), (9, "\n".join([*p, own[9][0], *q])), (10, "\n".join([*p, own[10][0], *q]))]
+    rows += [(d, "\n".join(own[d])) for d in range(11, 40)]
+    got = dict(_dedup(spark, rows))
+    assert got[7] == "\n".join(own[7])
+    assert got[10] == own[10][0]
+
+
+def test_windows_cover_blocks():
+    rng = random.Random(3)
+    for _ in range(200):
+        lines = [rng.randrange(30) for _ in range(40)]
+        sizes, words = [10 + x % 25 for x in lines], [x % 7 for x in lines]
+        weights = {x: (x % 5) / 8 for x in range(28)}
+        found = align.windows(lines, sizes, words, weights)
+        for a in range(40):
+            for b in range(a, 40):
+                part = lines[a : b + 1]
+                if any(sizes[i] >= 16 and lines[i] not in weights for i in range(a, b + 1)) or sum(sizes[a : b + 1]) < 40:
+                    continue
+                if sum(weights.get(x, 0) for x in set(part)) >= 0.5 + 1e-9:
+                    inside = [w for w in found if a <= w[0] and w[1] <= b]
+                    assert {i for x, y in inside for i in range(x, y + 1)} == set(range(a, b + 1))
+
+
+def test_all_earlier_holders_of_a_rare_line_are_met(spark):
+    own = [f"a line of document {d} and of no other document" for d in range(120)]
+    common = "this line stands in so many documents that it makes no pair"
+    rows = [(d, f"{own[d]}\n{common}\n{own[d]} end") for d in range(60)] + [(d, own[d]) for d in range(60, 100)]
+    rows += [(100, f"{LINES[0]}\n{own[100]}"), (101, f"{own[101]}\n{LINES[0]}\nnext\n{common}"), (102, f"{LINES[0]}\n{own[102]}\n{common}")]
+    got = dict(_dedup(spark, rows))
+    assert got[102] == own[102] and got[59] == rows[59][1]

@@ -1,14 +1,17 @@
 """Line dedup by pairwise alignment.
 
-Documents that overlap are found through shared rare lines: each line that a document holds once
-leads to the first document with that line, and the lines' rarity adds up over the pair. A pair
-that reaches the weight is aligned by patience diff, and the common blocks go from the later
-document.
+Documents that overlap are found in three ways. Exact copies lead to the first document with
+their text. Each line that a document holds once leads to the first document with that line, and
+the lines' rarity adds up over the pair. Each run of shared lines that is rare or long enough to
+make a pair alone leads to the first document with that run and, as long as alignment leaves a
+line of it in place, to the later ones that come before the document. A document with a shared
+block still in place then meets every earlier holder of that block with which it shares a rare
+line. Pairs are aligned by patience diff, and the common blocks go from the later document.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -22,15 +25,17 @@ from wardline.llm.scratch import written
 
 #: Shorter lines find no pairs; in a common block they go with the rest.
 MIN_LINE_BYTES = 16
-#: Rarity that a pair's shared lines must add up to. A line that two documents hold has nearly 1,
-#: one that a share x of all documents holds has log(1 / x) / log(documents).
+#: Rarity that a pair's shared lines must add up to. A line that two texts hold has nearly 1, one that
+#: a share x of all texts holds has log(1 / x) / log(texts). Exact copies count as one text.
 MIN_WEIGHT = 0.5
 #: Common blocks of fewer bytes stay.
 MIN_BLOCK_BYTES = 40
+#: Rounds in which a run that is still in place tries one more holder; then it tries all others.
+SINGLE_ROUNDS = 4
 
 
 def line_table(docs: DataFrame) -> DataFrame:
-    """(doc_id, version, lines, sizes) of rows (doc_id, version, text): hashes and bytes by line."""
+    """(doc_id, version, lines, sizes, words) of rows (doc_id, version, text): hashes, bytes and words by line."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -38,36 +43,123 @@ def line_table(docs: DataFrame) -> DataFrame:
                 found = text.lines(s)
                 hashes = text.Hasher(s.data).ranges(found.start, found.end).view(np.int64)
                 sizes = (found.end - found.start).astype(np.int32)
+                starts = text.runs(s, text.SPACED[s.data]).start
+                words = (np.searchsorted(starts, found.end) - np.searchsorted(starts, found.start)).astype(np.int32)
                 offsets = pa.array(np.searchsorted(found.row, np.arange(s.rows + 1)).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(s.first, s.rows), batch.column(1).slice(s.first, s.rows),
-                        pa.ListArray.from_arrays(offsets, pa.array(hashes)), pa.ListArray.from_arrays(offsets, pa.array(sizes)),
+                        *[pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (hashes, sizes, words)],
                     ],
-                    names=["doc_id", "version", "lines", "sizes"],
+                    names=["doc_id", "version", "lines", "sizes", "words"],
                 )
 
-    return docs.mapInArrow(run, "doc_id long, version long, lines array<long>, sizes array<int>")
+    return docs.mapInArrow(run, "doc_id long, version long, lines array<long>, sizes array<int>, words array<int>")
 
 
-def pairs(lines: DataFrame, min_weight: float = MIN_WEIGHT, min_line_bytes: int = MIN_LINE_BYTES) -> DataFrame:
-    """(doc_id, version, first): later documents and the earlier ones that they overlap.
+def windows(
+    lines: list[int], sizes: list[int], words: list[int], weights: dict[int, float],
+    min_weight: float = MIN_WEIGHT, min_line_bytes: int = MIN_LINE_BYTES, min_block_bytes: int = MIN_BLOCK_BYTES,
+) -> list[tuple[int, int]]:
+    """First and last positions of the least runs of shared lines that make a pair alone.
 
-    Each line leads to one earlier document only, so a line that very many documents hold brings
-    one row for each of them, and little weight. A pair also overlaps if it shares two lines or
-    more that make up half of the later document's, however common they are.
+    ``weights`` has the lines that other documents hold too; shorter lines may stand between them.
+    A run counts with enough bytes and either the rarity or the words. From each line the least
+    run forward and backward is taken, so each line of a longer common block is in one of them,
+    and what is taken of a block does not depend on the lines around it.
+    """
+    out: set[tuple[int, int]] = set()
+    n, a = len(lines), 0
+    while a < n:
+        b = a
+        while b < n and (sizes[b] < min_line_bytes or lines[b] in weights):
+            b += 1
+        ends: list[int] = []
+        held: Counter[int] = Counter()
+        size = count = 0
+        weight = 0.0
+        e = a
+        for i in range(a, b):
+            while e < b and not (size >= min_block_bytes and weight >= min_weight):
+                size, count = size + sizes[e], count + words[e]
+                held[lines[e]] += 1
+                if held[lines[e]] == 1:
+                    weight += weights.get(lines[e], 0.0)
+                e += 1
+            if not (size >= min_block_bytes and weight >= min_weight):
+                break
+            ends.append(e - 1)
+            out.add((i, e - 1))
+            size, count = size - sizes[i], count - words[i]
+            held[lines[i]] -= 1
+            if held[lines[i]] == 0:
+                weight -= weights.get(lines[i], 0.0)
+        if ends:
+            out.update((a + bisect_right(ends, k) - 1, k) for k in range(ends[0], b))
+        a = b + 1
+    return sorted(out)
+
+
+def meetings(lines: DataFrame, min_weight: float = MIN_WEIGHT, min_line_bytes: int = MIN_LINE_BYTES) -> DataFrame:
+    """(doc_id, version, firsts, rare, runs) of the texts that share a line, one row for exact copies.
+
+    ``firsts`` are the earlier documents that the text's lines lead to with enough rarity in all,
+    or with two shared lines or more that make up half of the text's, or with all of them. Each
+    line leads to one of them only, so a line that very many documents hold brings one row for
+    each. ``rare`` are the lines that make a pair alone. ``runs`` are the text's windows: (run,
+    start, end, alone) with the hash of the lines; those that are not ``alone`` have the bytes of
+    a block only.
     """
     one = F.filter(F.arrays_zip("lines", "sizes"), lambda x: x["sizes"] >= min_line_bytes)
     told = lines.select("doc_id", "version", F.array_distinct(F.transform(one, lambda x: x["lines"])).alias("own"))
-    each = told.select("doc_id", "version", F.size("own").alias("n_own"), F.explode("own").alias("line"))
+    each = told.select("doc_id", "version", F.explode("own").alias("line"))
     held = each.groupBy("line").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count(F.lit(1)).alias("holders"))
     total = lines.agg(F.greatest(F.count(F.lit(1)), F.lit(3)).alias("documents"))
     rare = held.where("first < last").crossJoin(F.broadcast(total))  # one row
     weighed = rare.select("line", "first", (F.ln(F.col("documents") / F.col("holders")) / F.ln("documents")).alias("weight"))
-    met = each.join(weighed, "line").where("doc_id > first")
-    summed = met.groupBy("doc_id", "version", "first", "n_own").agg(F.sum("weight").alias("weight"), F.count(F.lit(1)).alias("shared"))
-    mostly = (F.col("shared") > 1) & (F.col("shared") * 2 >= F.col("n_own"))
-    return summed.where((F.col("weight") >= min_weight) | mostly).select("doc_id", "version", "first")
+    met = each.join(weighed, "line").groupBy("doc_id", "version").agg(F.collect_list(F.struct("line", "first", "weight")).alias("met"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            firsts, rares, at, keys, starts, ends, alone = [], [], [0], [], [], [], []
+            for i in range(batch.num_rows):
+                own, sizes, words = (batch.column(c)[i].values.to_numpy(zero_copy_only=False) for c in ("lines", "sizes", "words"))
+                shared = batch.column("met")[i].values
+                line, first, weight = (shared.field(c).to_pylist() for c in ("line", "first", "weight"))
+                doc = batch.column("doc_id")[i].as_py()
+                sums: dict[int, float] = {}
+                for f, w in zip(first, weight, strict=True):
+                    sums[f] = sums.get(f, 0.0) + w
+                times = Counter(first)
+                n_own = len(np.unique(own[sizes >= min_line_bytes]))
+                enough = [f for f in sums if f < doc and (sums[f] >= min_weight or (times[f] > 1 and times[f] * 2 >= n_own))]
+                firsts.append(enough)
+                rares.append([x for x, w in zip(line, weight, strict=True) if w >= min_weight])
+                of_doc = own.tolist(), sizes.tolist(), words.tolist(), dict(zip(line, weight, strict=True))
+                strong = set(windows(*of_doc, min_weight, min_line_bytes))
+                found = sorted(strong.union(windows(*of_doc, 0.0, min_line_bytes)))
+                if found:
+                    alone.append(np.array([x in strong for x in found]))
+                    start, end = np.array(found).T
+                    keys.append(text.run_hashes(own.view(np.uint64), start, end + 1).view(np.int64))
+                    starts.append(start)
+                    ends.append(end)
+                at.append(at[-1] + len(found))
+            runs = pa.StructArray.from_arrays(
+                [pa.array(np.concatenate([np.zeros(0, t), *x]).astype(t)) for x, t in ((keys, np.int64), (starts, np.int32), (ends, np.int32), (alone, bool))],
+                names=["run", "start", "end", "alone"],
+            )
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id"), batch.column("version"), pa.array(firsts, pa.list_(pa.int64())), pa.array(rares, pa.list_(pa.int64())),
+                    pa.ListArray.from_arrays(pa.array(at, pa.int32()), runs),
+                ],
+                names=["doc_id", "version", "firsts", "rare", "runs"],
+            )
+
+    return met.join(lines, ["doc_id", "version"]).select("doc_id", "version", "lines", "sizes", "words", "met").mapInArrow(
+        run, "doc_id long, version long, firsts array<long>, rare array<long>, runs array<struct<run:long,start:int,end:int,alone:boolean>>"
+    )
 
 
 def _rising(values: list[int]) -> list[int]:
@@ -151,11 +243,60 @@ def removed_lines(lines: DataFrame, found: DataFrame, min_block_bytes: int = MIN
                 [batch.column("doc_id"), batch.column("version"), pa.array(gone, pa.list_(pa.int32()))], names=["doc_id", "version", "gone"]
             )
 
-    later = found.join(lines, ["doc_id", "version"])
+    later = found.join(lines.select("doc_id", "version", "lines", "sizes"), ["doc_id", "version"])
     # every text of the earlier document counts
     both = later.join(lines.select(F.col("doc_id").alias("first"), F.col("lines").alias("earlier")), "first")
     each = both.select("doc_id", "version", "lines", "sizes", "earlier").mapInArrow(run, "doc_id long, version long, gone array<int>")
-    return each.where(F.size("gone") > 0).groupBy("doc_id", "version").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("gone")))).alias("removed"))
+    return _united(each.where(F.size("gone") > 0).withColumnRenamed("gone", "removed"))
+
+
+def _united(gone: DataFrame) -> DataFrame:
+    return gone.groupBy("doc_id", "version").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("removed")))).alias("removed"))
+
+
+def overlaps(lines: DataFrame) -> DataFrame:
+    """(doc_id, version, removed) over all documents that an earlier one overlaps."""
+    first_of = lines.groupBy("version").agg(F.min("doc_id").alias("first"))
+    copies = written(lines.select("doc_id", "version").join(first_of, "version").where("doc_id > first"), "copies")
+    texts = lines.join(copies, ["doc_id", "version"], "left_anti")
+    met = written(meetings(texts), "meetings")
+    runs = met.select("doc_id", "version", F.inline("runs"))
+    held = runs.groupBy("run").agg(F.min("doc_id").alias("tried"), F.max("doc_id").alias("last")).where("tried < last").drop("last")
+    shared = written(runs.join(held, "run"), "runs")
+    open_runs = shared.where("alone and doc_id > tried")
+    by_line = met.select("doc_id", "version", F.explode("firsts").alias("first"))
+    by_run = open_runs.select("doc_id", "version", F.col("tried").alias("first"))
+    found = written(by_line.unionByName(by_run).distinct(), "pairs")
+    gone = written(removed_lines(lines, copies.select("doc_id", "version", "first").unionByName(found)), "removed")
+    rounds, tries_left = 0, True
+    while tries_left and rounds <= SINGLE_ROUNDS:
+        left = _in_place(open_runs, gone)
+        holders = shared.where("alone").select("run", F.col("doc_id").alias("first"))
+        holders = holders.join(left.groupBy("run").agg(F.min("tried").alias("before")), "run").where("first > before")
+        holders = holders.groupBy("run").agg(F.min("first").alias("first")) if rounds < SINGLE_ROUNDS else holders.select("run", "first").distinct()
+        open_runs = written(left.join(holders, "run").where("first < doc_id").drop("tried").withColumnRenamed("first", "tried"), "runs")
+        more = open_runs.select("doc_id", "version", F.col("tried").alias("first")).distinct()
+        tries_left = not open_runs.isEmpty()
+        if tries_left:
+            gone = written(_united(gone.unionByName(removed_lines(lines, more))), "removed")
+            found = found.unionByName(more)
+        rounds += 1
+    # a rare line has few holders, so these pairs are few
+    left = written(_in_place(shared.where("doc_id > tried"), gone).select("doc_id", "version", "run"), "runs")
+    rare = met.select("doc_id", "version", F.explode("rare").alias("line"))
+    later = rare.join(left.select("doc_id", "version").distinct(), ["doc_id", "version"], "left_semi")
+    earlier = rare.select("line", F.col("doc_id").alias("first")).distinct()
+    by_rare = later.join(earlier, "line").where("first < doc_id").select("doc_id", "version", "first").distinct()
+    by_rare = by_rare.join(found, ["doc_id", "version", "first"], "left_anti")
+    of_first = shared.select("run", F.col("doc_id").alias("first"))
+    more = by_rare.join(left, ["doc_id", "version"]).join(of_first, ["run", "first"], "left_semi").select("doc_id", "version", "first").distinct()
+    return _united(gone.unionByName(removed_lines(lines, written(more, "pairs"))))
+
+
+def _in_place(runs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The runs with a line that does not go."""
+    stays = F.expr("removed is null or exists(sequence(start, end), i -> not array_contains(removed, i))")
+    return runs.join(gone, ["doc_id", "version"], "left").where(stays).drop("removed")
 
 
 def _version(body: Column) -> Column:
@@ -176,7 +317,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     keyed = rows.select("row", F.col("row")[id_col].cast("long").alias("doc_id"), _version(body).alias("version"))
     source = docs.select(docs[f"`{id_col}`"].cast("long").alias("doc_id"), docs[f"`{text_col}`"].alias("text")).where("doc_id is not null and text is not null")
     lines = written(line_table(source.select("doc_id", _version(F.col("text")).alias("version"), "text")).dropDuplicates(["doc_id", "version"]), "lines")
-    gone = removed_lines(lines, written(pairs(lines), "pairs"))
+    gone = overlaps(lines)
     split = F.split(body, "\n", -1)
     rest = F.array_join(F.filter(split, lambda x, i: ~F.array_contains("removed", i)), "\n")
     return keyed.join(gone, ["doc_id", "version"], "left").select(

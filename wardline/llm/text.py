@@ -143,5 +143,12 @@ def grams(hashes: np.ndarray, row: np.ndarray, n: int) -> tuple[np.ndarray, np.n
     return at, h[at]
 
 
+def run_hashes(hashes: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of any ranges of consecutive hashes."""
+    sums = np.zeros(len(hashes) + 1, dtype=_U)
+    np.cumsum(mix(hashes) * _power(_BASE, len(hashes)), out=sums[1:])
+    return mix((sums[end] - sums[start]) * _power(_INVERSE, len(hashes) + 1)[start] + (end - start).astype(_U) * _U(0xD6E8FEB86659FD93))
+
+
 def per_row(rows: int, row: np.ndarray, weight: np.ndarray | None = None) -> np.ndarray:
     return np.bincount(row, weight, minlength=rows).astype(np.int64)
