@@ -84,6 +84,22 @@ def test_a_block_whose_lines_first_occur_elsewhere(spark):
     assert got[10] == own[10][0]
 
 
+def test_long_runs_and_copies_go_however_common(spark):
+    line = " ".join(f"word{i}" for i in range(51))
+    run = [" ".join(f"part{j} {i}" for i in range(6)) for j in range(5)]
+    own = [f"a line of document {d} and of no other document" for d in range(200)]
+    alone = "the only line of these documents"  # under the least block
+    copy = "the only line of these other documents, which are copies"
+    rows = [(d, f"{own[d]}\n{line}\nthen\n" + "\n".join(run) + f"\nand last {d}") for d in range(100)]
+    rows += [(d, f"{run[0]}\n{own[d]}") for d in range(100, 150)]
+    rows += [(d, copy) for d in range(150, 200)] + [(d, alone) for d in range(200, 202)]
+    rows += [(202, f"{copy}\n{own[1]} or nearly so"), (203, f"{own[2]} again\n{line}")]
+    got = dict(_dedup(spark, rows))
+    assert got[0] == rows[0][1] and all(got[d] == f"{own[d]}\nand last {d}" for d in range(1, 100))
+    assert got[150] == copy and all(got[d] == "" for d in range(151, 200)) and got[201] == alone
+    assert got[203] == f"{own[2]} again"
+
+
 def test_windows_cover_blocks():
     rng = random.Random(3)
     for _ in range(200):

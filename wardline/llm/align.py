@@ -25,9 +25,11 @@ from wardline.llm.scratch import written
 
 #: Shorter lines find no pairs; in a common block they go with the rest.
 MIN_LINE_BYTES = 16
-#: Rarity that a pair's shared lines must add up to. A line that two texts hold has nearly 1, one that
+#: Rarity that a pair's shared lines must add up to. A line that two texts hold has 1, one that
 #: a share x of all texts holds has log(1 / x) / log(texts). Exact copies count as one text.
 MIN_WEIGHT = 0.5
+#: A run of more words makes a pair however many documents hold it.
+MAX_WORDS = 50
 #: Common blocks of fewer bytes stay.
 MIN_BLOCK_BYTES = 40
 #: Rounds in which a run that is still in place tries one more holder; then it tries all others.
@@ -80,13 +82,13 @@ def windows(
         weight = 0.0
         e = a
         for i in range(a, b):
-            while e < b and not (size >= min_block_bytes and weight >= min_weight):
+            while e < b and not (size >= min_block_bytes and (weight >= min_weight or count > MAX_WORDS)):
                 size, count = size + sizes[e], count + words[e]
                 held[lines[e]] += 1
                 if held[lines[e]] == 1:
                     weight += weights.get(lines[e], 0.0)
                 e += 1
-            if not (size >= min_block_bytes and weight >= min_weight):
+            if not (size >= min_block_bytes and (weight >= min_weight or count > MAX_WORDS)):
                 break
             ends.append(e - 1)
             out.add((i, e - 1))
@@ -116,7 +118,8 @@ def meetings(lines: DataFrame, min_weight: float = MIN_WEIGHT, min_line_bytes: i
     held = each.groupBy("line").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count(F.lit(1)).alias("holders"))
     total = lines.agg(F.greatest(F.count(F.lit(1)), F.lit(3)).alias("documents"))
     rare = held.where("first < last").crossJoin(F.broadcast(total))  # one row
-    weighed = rare.select("line", "first", (F.ln(F.col("documents") / F.col("holders")) / F.ln("documents")).alias("weight"))
+    others = F.col("holders") - 1
+    weighed = rare.select("line", "first", (F.ln(F.col("documents") / others) / F.ln("documents")).alias("weight"))
     met = each.join(weighed, "line").groupBy("doc_id", "version").agg(F.collect_list(F.struct("line", "first", "weight")).alias("met"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,7 +135,7 @@ def meetings(lines: DataFrame, min_weight: float = MIN_WEIGHT, min_line_bytes: i
                     sums[f] = sums.get(f, 0.0) + w
                 times = Counter(first)
                 n_own = len(np.unique(own[sizes >= min_line_bytes]))
-                enough = [f for f in sums if f < doc and (sums[f] >= min_weight or (times[f] > 1 and times[f] * 2 >= n_own))]
+                enough = [f for f in sums if f < doc and (sums[f] >= min_weight or times[f] == n_own or (times[f] > 1 and times[f] * 2 >= n_own))]
                 firsts.append(enough)
                 rares.append([x for x, w in zip(line, weight, strict=True) if w >= min_weight])
                 of_doc = own.tolist(), sizes.tolist(), words.tolist(), dict(zip(line, weight, strict=True))
