@@ -38,6 +38,29 @@ def test_bands_reject_repetition_and_noise(spark):
     assert not got[2]["base_failed"] and got[3]["n_bad_chunks"] > 0
 
 
+def test_noise_of_several_alphabets_fails_at_each_length(spark):
+    import random
+    import string
+
+    rng = random.Random(5)
+
+    def noise(alphabet, n):
+        return " ".join("".join(rng.choices(alphabet, k=rng.randint(3, 10))) for _ in range(n // 6))[:n]
+
+    letters_digits = string.ascii_letters + string.digits
+    # from 4 KB random lower-case letters, from 32 KB hex digits too
+    cases = [(a, n) for a in (letters_digits, string.printable[:94]) for n in (450, 700, 1000, 1500, 3000, 6000, 20000, 40000)]
+    cases += [(string.ascii_lowercase, n) for n in (6000, 20000, 40000)] + [("0123456789abcdef", 40000)]
+    rows = [(i, noise(a, n)) for i, (a, n) in enumerate(cases)]
+    prose = [r["text"] for r in documents(spark).where("n_chars > 3500").collect()]
+    part = " ".join(prose)[:20000]
+    rows += [(100, part + noise(letters_digits, 9000))]  # a third of it
+    rows += [(200, part), (201, part[:4097])]  # a last chunk of one byte says nothing
+    got = {r["doc_id"]: r for r in bands.assess(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [c for i, c in enumerate(cases) if got[i]["kept"]] == [] and not got[100]["kept"]
+    assert not any(got[i]["base_failed"] for i in range(len(cases))) and got[200]["kept"] and got[201]["kept"]
+
+
 def test_bands_keep_columns_and_empty_tables(spark):
     df = spark.createDataFrame([(1, "w " * 60 + "some more", 7, True)], "doc_id long, text string, n_words int, kept boolean")
     assert bands.keep(df).columns == df.columns
