@@ -226,7 +226,7 @@ def _random_walk(w: Ward) -> DataFrame:
 
 
 def _clusters(w: Ward) -> DataFrame:
-    return graph.power_iteration_clusters(graph.jaccard_pairs(w.facts, SIMILAR))
+    return graph.power_iteration_clusters(graph.jaccard_pairs(w.graph_facts, SIMILAR))
 
 
 def _path_loglik(w: Ward) -> DataFrame:
