@@ -315,3 +315,19 @@ def test_multivariate_fit(spark):
 
 def test_uniform_start(spark):
     assert uniform([Gaussian(0, 1)] * 4).transitions[2] == (0.25,) * 4
+
+
+def test_fits_are_not_cut_short(spark, monkeypatch):
+    from wardline.plans import queries
+    from wardline.plans.bindings import Ward
+
+    rng = np.random.default_rng(2)
+    df = steps(spark, {s: (rng.normal(0, 1, 40) + s % 2).tolist() for s in range(4)})
+    with pytest.raises(RuntimeError, match="1 rounds"):
+        train.kmeans_learn(df, Gaussian(0.0, 1.0), 2, max_iterations=1)
+    asked = {}
+    monkeypatch.setattr(train, "baum_welch", lambda steps, model, iterations: asked.update(rounds=iterations) or model)
+    monkeypatch.setattr(train, "kmeans_learn", lambda steps, model, k, max_iterations=None: asked.update(bound=max_iterations) or REAL)
+    queries._vector_hmm_predict(Ward(spark, "/root/testdata/sf0.001"))
+    queries._hmm_kmeans(Ward(spark, "/root/testdata/sf0.001"))
+    assert asked == {"rounds": 50, "bound": None}

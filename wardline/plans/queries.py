@@ -49,6 +49,7 @@ MIXTURE = Mixture((0.6, 0.4), (30.0, 90.0), (500.0, 2500.0))
 SIMILAR = 0.05
 SAMPLE_RATE = 0.3
 WALK_STEPS = 50
+VECTOR_ROUNDS = 50
 SEQUENCE_COLUMNS = ("bp_dia", "bp_sys", "heart_rate", "resp_rate", "temp_f", "spo2", "gcs", "age")
 
 
@@ -289,7 +290,7 @@ def _vector_hmm_predict(w: Ward) -> DataFrame:
             F.array(*[F.col(c).cast("double") for c in columns]).alias("obs"),
         )
     )
-    model = train.baum_welch(steps, train.vector_start(steps, len(columns)), iterations=5)
+    model = train.baum_welch(steps, train.vector_start(steps, len(columns)), iterations=VECTOR_ROUNDS)
     return decode.posterior(steps, model)
 
 
@@ -298,7 +299,7 @@ def _baum_welch_table(w: Ward) -> DataFrame:
 
 
 def _hmm_kmeans(w: Ward) -> DataFrame:
-    return _hmm_rows(w, train.kmeans_learn(w.steps, Gaussian(0.0, 1.0), k=2, max_iterations=10))
+    return _hmm_rows(w, train.kmeans_learn(w.steps, Gaussian(0.0, 1.0), k=2))
 
 
 def _gaussian_hmm_predict(w: Ward) -> DataFrame:
