@@ -126,3 +126,13 @@ def test_column_generation_meets_demand_near_its_bound():
     assert bound <= sum(use for _, use in patterns) + 1e-6 <= 1.05 * bound + 1
     whole = packing.plan(demand, 512)
     assert {s: sum(p.get(s, 0) * t for p, t in whole) for s in demand} == demand and packing.plan({}) == []
+
+
+def test_values_in_a_secrets_place_are_candidates(spark):
+    from wardline.llm import secrets
+
+    text = "password = \"hunter2!\"\napi_key: abcdefghijk\npwd='sh!rt'\nurl http://bob:p@ss:w$rd@host/x and token => a&b$c\nplain: none"
+    found = secrets.candidates(spark.createDataFrame([(1, text, "a.py")], "doc_id long, text string, source string"))
+    rows = secrets.features(found, []).orderBy("nth").collect()
+    assert [r["value"] for r in rows] == ["hunter2!", "abcdefghijk", "sh!rt", "p@ss:w$rd", "a&b$c"]
+    assert all(r["secret_word"] == 1 and r["assigned"] == 1 for r in rows) and rows[3]["plain_word"] == 0

@@ -31,20 +31,31 @@ FEATURES = (
     "slashes", "dots", "assigned", "quoted", "secret_word", "plain_word", "in_code_path",
 )
 
+#: A name of a secret with its sign of assignment and quote. Names end where the sign stands.
+_NAMED = r"(?i:api[_-]?key|access[_-]?key|auth|credentials?|passw(?:or)?d|passphrase|private[_-]?key|pwd|secret|token)[A-Za-z0-9_\-]{0,20}[\"'`]?[ \t]{0,3}(?::=|=>|=|:)[ \t]{0,3}"
+#: Values by their place, of any length and characters: quoted or bare after such a name, or the password of an address.
+PLACED = (
+    # the short look back spares the long ones
+    r"(?<=[=:>][ \t]{0,3}[\"'`]?)(?:"
+    rf'(?<={_NAMED}")[^"\r\n]++(?=")|(?<={_NAMED}\')[^\'\r\n]++(?=\')|(?<={_NAMED}`)[^`\r\n]++(?=`)'
+    rf"|(?<={_NAMED})[^\s\"'`=>][^\s\"'`]*+|(?<=[a-z]://[^\s/:@]{{0,30}}:)[^\s/]+(?=@))"
+)
+FOUND = f"{PLACED}|{RUN}"
+
 
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source") -> DataFrame:
-    """(id, path, nth, left, value, right): each run of key characters, with its surroundings.
+    """(id, path, nth, left, value, right): each run of key characters and each value in a secret's place.
 
     ``left`` and ``right`` are the 40 and 24 characters beside it, up to the next run. ``nth``
     counts a row's runs from 0, so repeats of a value in a text are findings of their own. Null
     and empty texts have none; a null path counts as empty. No other column is read.
     """
     body = F.coalesce(docs[f"`{text_col}`"], F.lit(""))
-    rows = docs.where(body.rlike(RUN)).select(
+    rows = docs.where(body.rlike(FOUND)).select(
         docs[f"`{id_col}`"].alias("id"),
         F.coalesce(docs[f"`{path_col}`"].cast("string"), F.lit("")).alias("path"),
-        F.regexp_extract_all(body, F.lit(RUN), F.lit(0)).alias("found"),
-        F.transform(F.split(body, RUN, -1), lambda g: F.struct(F.right(g, F.lit(_LEFT)).alias("end"), F.left(g, F.lit(_RIGHT)).alias("start"))).alias("gaps"),
+        F.regexp_extract_all(body, F.lit(FOUND), F.lit(0)).alias("found"),
+        F.transform(F.split(body, FOUND, -1), lambda g: F.struct(F.right(g, F.lit(_LEFT)).alias("end"), F.left(g, F.lit(_RIGHT)).alias("start"))).alias("gaps"),
     )
     one = F.transform(
         "found",
@@ -79,6 +90,7 @@ def features(found: DataFrame, words: list[str]) -> DataFrame:
     covered = F.aggregate(F.array_intersect(letters, F.array(*map(F.lit, words)) if words else F.array().cast("array<string>")), F.lit(0), lambda a, w: a + F.length(w))
     longest = F.coalesce(F.array_max(F.transform(F.regexp_extract_all(v, F.lit("[A-Za-z]+"), F.lit(0)), F.length)), F.lit(0))
     near = F.substring_index("left", "\n", -1)
+    in_address = near.rlike(r"[a-z]://[^\s/:@]{0,30}:$")
     made = {
         "length": n,
         "digit_share": _share(_without(v, "0-9"), n),
@@ -90,10 +102,10 @@ def features(found: DataFrame, words: list[str]) -> DataFrame:
         "longest_letters": longest,
         "slashes": F.length(_without(v, "/")),
         "dots": F.length(_without(v, ".")),
-        "assigned": near.rlike(r"[=:]\s*[\"'`]?$"),
+        "assigned": near.rlike(r"[=:>]\s*[\"'`]?$"),
         "quoted": near.rlike("[\"'`]$") & F.col("right").rlike("^[\"'`]"),
-        "secret_word": near.rlike(SECRET_WORDS),
-        "plain_word": near.rlike(PLAIN_WORDS) | F.col("right").rlike("^@"),
+        "secret_word": near.rlike(SECRET_WORDS) | in_address,
+        "plain_word": (near.rlike(PLAIN_WORDS) | F.col("right").rlike("^@")) & ~in_address,
         "in_code_path": F.col("path").rlike(r"(?i)(\.(py|js|java|go|env|ya?ml|json|cfg|ini|sh)$|/(config|secrets?)/)"),
     }
     return found.withColumns({k: F.coalesce(made[k].cast("double"), F.lit(0.0)) for k in FEATURES})
