@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import align, bands, bottomk, bwt, decontaminate, hash_tree, packing, secrets, toxicity, warc
+from wardline.llm import align, bands, bottomk, bwt, decontaminate, filter_audit, hash_tree, html_blocks, packing, ranked, secrets, toxicity, warc
 from wardline.llm.scratch import new_folder
 
 
@@ -65,10 +65,23 @@ def op10_cutting_stock(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_table(spark, folder, "documents"))
 
 
+def op11_document_terms(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.audit(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
+def op12_flat_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    return html_blocks.extract(_table(spark, folder, "pages").select("page_id", "url", "html"))
+
+
+def op13_no_random_access(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked.rank(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_warc_chunks, op2_compression_bands, op3_decontamination, op4_hash_tree, op5_patience_lines, op6_counterfactual_toxicity,
-        op7_bottomk_duplicates, op8_columnwise_bwt, op9_secret_forest, op10_cutting_stock,
+        op7_bottomk_duplicates, op8_columnwise_bwt, op9_secret_forest, op10_cutting_stock, op11_document_terms, op12_flat_blocks,
+        op13_no_random_access,
     )
 }
 
@@ -111,4 +124,54 @@ ORACLE: dict[str, str] = {
             sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM low LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)
     """,
+    "op11_document_terms": r"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t, coalesce(lang, '') AS part FROM documents),
+        w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words, min(doc_id) OVER (PARTITION BY t) AS first FROM d),
+        good AS (SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic FROM labels GROUP BY doc_id),
+        f AS (SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+                (CASE WHEN len(words) < 100 THEN 1 ELSE 0 END)
+                + (CASE WHEN 100 * len(list_distinct(words)) < 80 * len(words) THEN 2 ELSE 0 END)
+                + (CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) THEN 4 ELSE 0 END)
+                + (CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END)
+                + (CASE WHEN w.doc_id > first THEN 16 ELSE 0 END) AS bits
+            FROM w LEFT JOIN good ON good.doc_id = w.doc_id),
+        c AS (SELECT part, bits, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM f GROUP BY part, bits),
+        letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x, unnest([1, 2, 4, 8, 16]) AS bit),
+        orders AS (SELECT a.x || b.x || e.x || g.x || h.x AS filter_order, [a.bit, b.bit, e.bit, g.bit, h.bit] AS own
+            FROM letters a, letters b, letters e, letters g, letters h
+            WHERE a.bit + b.bit + e.bit + g.bit + h.bit = 31 AND (a.bit | b.bit | e.bit | g.bit | h.bit) = 31),
+        steps AS (SELECT filter_order, CAST(s AS INTEGER) AS step, own[s] AS own, CAST(coalesce(list_sum(own[1 : s - 1]), 0) AS INTEGER) AS before
+            FROM orders, range(1, 6) AS r(s)),
+        parts AS (SELECT DISTINCT part FROM d),
+        sums AS (SELECT part, filter_order, step, own,
+                sum(CASE WHEN bits & (own | before) = 0 THEN n ELSE 0 END) AS kept,
+                sum(CASE WHEN bits & own > 0 AND bits & before = 0 THEN n ELSE 0 END) AS removed,
+                sum(CASE WHEN bits & own > 0 AND bits & before > 0 THEN n ELSE 0 END) AS redundant,
+                sum(CASE WHEN bits = own THEN n ELSE 0 END) AS unique_fails,
+                sum(CASE WHEN bits & own > 0 AND bits & before = 0 THEN good ELSE 0 END) AS good_lost,
+                sum(CASE WHEN bits & own > 0 AND bits & before = 0 THEN toxic ELSE 0 END) AS toxic_lost
+            FROM parts JOIN c USING (part), steps GROUP BY part, filter_order, step, own)
+        SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+            CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+            CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+        FROM sums
+    """,
+    "op13_no_random_access": r"""
+        WITH low AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+        items AS (SELECT DISTINCT item_id, coalesce(text, '') AS body FROM benchmark),
+        terms AS (SELECT item_id, body, term, count(*) AS repeats FROM (SELECT item_id, body, unnest(regexp_extract_all(
+                translate(body, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS term FROM items) GROUP BY ALL),
+        totals AS (SELECT count(*) FILTER (len(w) > 0) AS big_n, CAST(sum(len(w)) AS BIGINT) AS big_l FROM low),
+        times AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM low) WHERE term IN (SELECT term FROM terms) GROUP BY ALL),
+        weights AS (SELECT term, CAST(floor(1000 * ln((2 * big_n + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM times, totals GROUP BY term, big_n),
+        sizes AS (SELECT r, doc_id, 25 + (75 * len(w) * big_n) // big_l AS m FROM low, totals WHERE len(w) > 0),
+        scored AS (SELECT item_id, body, r, CAST(sum(repeats * weight * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+            FROM terms JOIN times USING (term) JOIN weights USING (term) JOIN sizes USING (r) GROUP BY item_id, body, r),
+        best AS (SELECT item_id, row_number() OVER (PARTITION BY item_id, body ORDER BY score DESC, doc_id) AS rank, doc_id, score
+            FROM scored JOIN sizes USING (r) WHERE score > 0)
+        SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM best WHERE rank <= 10
+    """,
 }

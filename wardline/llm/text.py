@@ -116,6 +116,29 @@ def runs(s: Slice, inside: np.ndarray) -> Runs:
     return Runs(np.searchsorted(s.offsets, start, side="right") - 1, start, end)
 
 
+def pieces(s: Slice, table: np.ndarray, most: int = SLICE_BYTES) -> Iterator[Slice]:
+    """A slice as it is, or one long text cut where words end, so that no word is in two pieces."""
+    if s.rows != 1:
+        yield s
+        return
+    at, n = 0, len(s.data)
+    while at < n or at == 0:
+        gap = np.flatnonzero(~table[s.data[at + most : at + 2 * most]]) if n - at > most else []
+        # a word that is longer than a piece ends the cutting
+        end = at + most + int(gap[0]) if len(gap) else n
+        yield Slice(s.first, s.data[at:end], np.array([0, end - at]))
+        at = max(end, 1)
+
+
+def word_array(s: Slice, table: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """The row and the bytes of each word, in order."""
+    inside = table[s.data]
+    found = runs(s, inside)
+    ends = np.zeros(len(found.row) + 1, dtype=np.int64)
+    np.cumsum(found.end - found.start, out=ends[1:])
+    return found.row, pa.Array.from_buffers(pa.large_binary(), len(found.row), [None, pa.py_buffer(ends), pa.py_buffer(s.data[inside])])
+
+
 def lines(s: Slice) -> Runs:
     r"""The \n-split lines of each row; a row has one more line than line ends, an empty one too."""
     ends = np.flatnonzero(s.data == 10)
