@@ -17,11 +17,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardline.llm import text
-from wardline.llm.numbering import number
 from wardline.llm.scratch import written
 
 FILTERS = "ABCDE"
@@ -30,8 +30,8 @@ MIN_DISTINCT_PERCENT = 80
 MAX_UPPER_PERCENT = 10
 #: Bytes of text in a shard; a longer text is a shard of its own, counted in pieces of this size.
 SHARD_BYTES = 4 << 20
-#: The dictionary is numbered in this many buckets.
-DICTIONARY_BUCKETS = 1024
+#: The dictionary is numbered in this many buckets of words.
+DICTIONARY_BUCKETS = 8192
 
 _UPPER = np.isin(np.arange(256), list(range(ord("A"), ord("Z") + 1)))
 _SYMBOL = np.isin(np.arange(256), list(b"#$%&*|"))
@@ -41,12 +41,12 @@ _SHARD = pa.schema(
     [
         ("ids", pa.list_(pa.int64())), ("parts", pa.list_(pa.string())), ("digests", pa.list_(pa.binary())),
         ("flags", pa.list_(pa.int32())), ("indptr", pa.list_(pa.int64())), ("indices", pa.list_(pa.int32())),
-        ("counts", pa.list_(pa.int64())), ("words", pa.list_(pa.binary())),
+        ("counts", pa.list_(pa.int64())), ("words", pa.list_(pa.binary())), ("buckets", pa.list_(pa.int32())),
     ]
 )
 _SHARD_DDL = (
     "ids array<long>, parts array<string>, digests array<binary>, flags array<int>, indptr array<long>, "
-    "indices array<int>, counts array<long>, words array<binary>"
+    "indices array<int>, counts array<long>, words array<binary>, buckets array<int>"
 )
 
 
@@ -56,38 +56,55 @@ def _row_sums(mask: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return sums[offsets[1:]] - sums[offsets[:-1]]
 
 
-def _word_counts(s: text.Slice) -> tuple[np.ndarray, pa.Array, np.ndarray]:
-    """(row, word, times) of the distinct words of each row, by row."""
-    row_of, words = text.word_array(s, text.SPACED)
+def _word_counts(s: text.Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+    """(row, number, times) of the distinct words of each row, and the words by number."""
+    row, words = text.word_array(s, text.SPACED)
     coded = words.dictionary_encode()
-    known = coded.dictionary
-    key, times = np.unique(row_of * max(len(known), 1) + coded.indices.to_numpy(), return_counts=True)
-    return key // max(len(known), 1), known.take(pa.array(key % max(len(known), 1))), times
+    size = max(len(coded.dictionary), 1)
+    key, times = np.unique(row * size + coded.indices.to_numpy(), return_counts=True)
+    return key // size, key % size, times, coded.dictionary
+
+
+def _joined(counts: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+    """The counts of a long text's pieces as one."""
+    coded = pa.concat_arrays([known.take(pa.array(number)) for _, number, _, known in counts]).dictionary_encode()
+    size = max(len(coded.dictionary), 1)
+    key, back = np.unique(np.concatenate([row for row, *_ in counts]) * size + coded.indices.to_numpy(), return_inverse=True)
+    times = np.bincount(back, np.concatenate([n for _, _, n, _ in counts]), minlength=len(key)).astype(np.int64)
+    return key // size, key % size, times, coded.dictionary
+
+
+def _buckets(words: pa.Array) -> np.ndarray:
+    offsets = np.frombuffer(words.buffers()[1], dtype=np.int64)[words.offset : words.offset + len(words) + 1]
+    raw = words.buffers()[2]
+    data = np.frombuffer(raw, dtype=np.uint8)[: offsets[-1]] if raw is not None and raw.size else np.zeros(0, dtype=np.uint8)
+    return (text.Hasher(data).ranges(offsets[:-1], offsets[1:]) % np.uint64(DICTIONARY_BUCKETS)).astype(np.int32)
 
 
 def _shard(s: text.Slice, most: int) -> dict:
     """One shard's matrix and flags, as one row's values."""
-    rows, words, times = [], [], []
+    counts = []
     upper, points, symbols = (np.zeros(s.rows, dtype=np.int64) for _ in range(3))
     for piece in text.pieces(s, text.SPACED, most):
-        row, word, n = _word_counts(piece)
-        rows.append(row)
-        words.append(word)
-        times.append(n)
+        counts.append(_word_counts(piece))
         for sums, table in ((upper, _UPPER), (points, _POINT), (symbols, _SYMBOL)):
             sums += _row_sums(table[piece.data], piece.offsets)
-    coded = pa.concat_arrays(words).dictionary_encode()
-    size = max(len(coded.dictionary), 1)
-    key, back = np.unique(np.concatenate(rows) * size + coded.indices.to_numpy(), return_inverse=True)
+    row, number, times, known = counts[0] if len(counts) == 1 else _joined(counts)
+    # by bucket and word, as the dictionary is
+    buckets = _buckets(known)
+    order = pc.sort_indices(pa.table({"b": buckets, "w": known}), sort_keys=[("b", "ascending"), ("w", "ascending")])
+    place = np.empty(len(known), dtype=np.int32)
+    place[order.to_numpy()] = np.arange(len(known), dtype=np.int32)
     raw = s.data.tobytes()
     flags = (100 * upper > MAX_UPPER_PERCENT * points) * 4 + (symbols > 0) * 8
     return {
         "digests": [hashlib.sha256(raw[a:b]).digest() for a, b in zip(s.offsets[:-1].tolist(), s.offsets[1:].tolist(), strict=True)],
         "flags": flags.astype(np.int32),
-        "indptr": np.searchsorted(key // size, np.arange(s.rows + 1)),
-        "indices": (key % size).astype(np.int32),
-        "counts": np.bincount(back, np.concatenate(times), minlength=len(key)).astype(np.int64),
-        "words": coded.dictionary,
+        "indptr": np.searchsorted(row, np.arange(s.rows + 1)),
+        "indices": place[number],
+        "counts": times,
+        "words": known.take(order),
+        "buckets": buckets[order.to_numpy()],
     }
 
 
@@ -97,10 +114,11 @@ def _one_row(value, kind: pa.ListType) -> pa.Array:
 
 
 def local_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_col: str = "lang", shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """(shard, ids, parts, digests, flags, indptr, indices, counts, words): matrices with their own words.
+    """(shard, ids, parts, digests, flags, indptr, indices, counts, words, buckets): matrices with their own words.
 
     Row r of a shard has the entries indptr[r] to indptr[r + 1]; ``words`` are numbered from 0 by their
-    place. ``flags`` holds 4 where C fails and 8 where D does, ``digests`` the SHA-256 of the text.
+    place, which goes by bucket and word. ``flags`` holds 4 where C fails and 8 where D does, ``digests``
+    the SHA-256 of the text.
     """
     source = docs.select(
         docs[f"`{id_col}`"].cast("long").alias("id"),
@@ -121,20 +139,19 @@ def local_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def document_term_matrix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_col: str = "lang", shard_bytes: int = SHARD_BYTES) -> tuple[DataFrame, DataFrame]:
     """The matrix in shards whose ``indices`` are word numbers, and the dictionary (word, word_id).
 
-    Numbers run from 0 without gaps over all words of the corpus. What moves are each shard's
-    distinct words and its matrix, never texts or single occurrences; a word meets itself once
-    per shard, and only sums of tasks are grouped. Both tables are in the shared folder.
+    A word's number is its bucket and its rank in the bucket. The words of a shard are in the same
+    order, so their numbers, sorted, are the numbers of its places. What moves are each shard's distinct
+    words, their numbers and its matrix, never texts or single occurrences; a word meets itself once
+    per shard, in a window that spills. The matrix of local numbers is in the shared folder.
     """
     local = written(local_shards(docs, id_col, text_col, part_col, shard_bytes), "matrix")
-    held = local.select("shard", F.posexplode("words").alias("place", "word"))
-    distinct = held.select("word").distinct().withColumn("_all", F.lit(0))
-    dictionary = written(
-        number(distinct, "_all", ["word"], "word_id", DICTIONARY_BUCKETS, broadcast=True).select("word", "word_id"), "dictionary"
-    )
-    coded = held.join(dictionary, "word").groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("place", "word_id"))).alias("coded"))
-    joined = local.drop("words").join(
-        coded.select(F.col("shard").alias("_shard"), F.col("coded.word_id").alias("word_ids")), F.col("shard") == F.col("_shard"), "left"
-    )
+    held = local.select("shard", F.explode(F.arrays_zip("buckets", "words")).alias("w")).select("shard", F.col("w.buckets").alias("bucket"), F.col("w.words").alias("word"))
+    rank = F.dense_rank().over(Window.partitionBy("bucket").orderBy("word"))
+    numbered = held.select("shard", "word", (F.shiftleft(F.col("bucket").cast("long"), 32) + rank).alias("word_id"))
+    dictionary = numbered.select("word", "word_id").distinct()
+    # dealt by shard as plain rows: gathering lists before would sort them first
+    coded = numbered.select("shard", "word_id").repartition("shard").groupBy("shard").agg(F.sort_array(F.collect_list("word_id")).alias("word_ids"))
+    joined = local.drop("words", "buckets").join(coded, "shard", "left")
     names = ["shard", "ids", "parts", "digests", "flags", "indptr", "indices", "counts", "word_ids"]
 
     def turn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
