@@ -18,6 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,39 +40,46 @@ _POINT = (np.arange(256) & 0xC0) != 0x80  # the first byte of a character
 
 _SHARD = pa.schema(
     [
-        ("ids", pa.list_(pa.int64())), ("parts", pa.list_(pa.string())), ("digests", pa.list_(pa.binary())),
-        ("flags", pa.list_(pa.int32())), ("indptr", pa.list_(pa.int64())), ("indices", pa.list_(pa.int32())),
-        ("counts", pa.list_(pa.int64())), ("words", pa.list_(pa.binary())), ("buckets", pa.list_(pa.int32())),
+        ("ids", pa.list_(pa.int64())), ("parts", pa.list_(pa.string())), ("digests", pa.list_(pa.binary())), ("flags", pa.list_(pa.int32())),
+        ("indptr", pa.binary()), ("indices", pa.binary()), ("counts", pa.binary()), ("words", pa.list_(pa.binary())), ("buckets", pa.list_(pa.int32())),
     ]
 )
 _SHARD_DDL = (
-    "ids array<long>, parts array<string>, digests array<binary>, flags array<int>, indptr array<long>, "
-    "indices array<int>, counts array<long>, words array<binary>, buckets array<int>"
+    "ids array<long>, parts array<string>, digests array<binary>, flags array<int>, "
+    "indptr binary, indices binary, counts binary, words array<binary>, buckets array<int>"
 )
 
 
+def pack(values: np.ndarray) -> bytes:
+    """Whole numbers as bytes: differences, their bytes by place, compressed."""
+    steps = np.diff(values.astype("<i8"), prepend=0)
+    return zstandard.compress(np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T), 1)
+
+
+def unpack(packed: bytes) -> np.ndarray:
+    """The numbers that ``pack`` was given."""
+    planes = np.frombuffer(zstandard.decompress(packed), dtype=np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).reshape(-1).view("<i8"))
+
+
 def _row_sums(mask: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     sums = np.zeros(len(mask) + 1, dtype=np.int64)
     np.cumsum(mask, out=sums[1:])
     return sums[offsets[1:]] - sums[offsets[:-1]]
 
 
-def _word_counts(s: text.Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
-    """(row, number, times) of the distinct words of each row, and the words by number."""
-    row, words = text.word_array(s, text.SPACED)
-    coded = words.dictionary_encode()
-    size = max(len(coded.dictionary), 1)
-    key, times = np.unique(row * size + coded.indices.to_numpy(), return_counts=True)
-    return key // size, key % size, times, coded.dictionary
+def _distinct(words: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The distinct words of one text's piece and how often each occurs."""
+    counted = words.value_counts()
+    return counted.field("values"), counted.field("counts").to_numpy()
 
 
-def _joined(counts: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
-    """The counts of a long text's pieces as one."""
-    coded = pa.concat_arrays([known.take(pa.array(number)) for _, number, _, known in counts]).dictionary_encode()
-    size = max(len(coded.dictionary), 1)
-    key, back = np.unique(np.concatenate([row for row, *_ in counts]) * size + coded.indices.to_numpy(), return_inverse=True)
-    times = np.bincount(back, np.concatenate([n for _, _, n, _ in counts]), minlength=len(key)).astype(np.int64)
-    return key // size, key % size, times, coded.dictionary
+def _counted(keys: np.ndarray, times: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys in order, and how often each occurs, each occurrence as often as ``times`` says."""
+    if times is None:
+        return np.unique(keys, return_counts=True)
+    known, back = np.unique(keys, return_inverse=True)
+    return known, np.bincount(back, times, minlength=len(known)).astype(np.int64)
 
 
 def _buckets(words: pa.Array) -> np.ndarray:
@@ -83,32 +91,44 @@ def _buckets(words: pa.Array) -> np.ndarray:
 
 def _shard(s: text.Slice, most: int) -> dict:
     """One shard's matrix and flags, as one row's values."""
-    counts = []
+    found = []
     upper, points, symbols = (np.zeros(s.rows, dtype=np.int64) for _ in range(3))
     for piece in text.pieces(s, text.SPACED, most):
-        counts.append(_word_counts(piece))
+        row, words = text.word_array(piece, text.SPACED)
+        found.append((row, words, None) if len(s.data) <= most else (row[:0], *_distinct(words)))
         for sums, table in ((upper, _UPPER), (points, _POINT), (symbols, _SYMBOL)):
             sums += _row_sums(table[piece.data], piece.offsets)
-    row, number, times, known = counts[0] if len(counts) == 1 else _joined(counts)
+    if len(found) == 1:
+        row, words, times = found[0]
+    else:
+        words, times = pa.concat_arrays([w for _, w, _ in found]), np.concatenate([n for *_, n in found])
+    if times is not None:  # one text
+        row = np.zeros(len(words), dtype=np.int64)
+    coded = words.dictionary_encode()
+    known = coded.dictionary
     # by bucket and word, as the dictionary is
     buckets = _buckets(known)
     order = pc.sort_indices(pa.table({"b": buckets, "w": known}), sort_keys=[("b", "ascending"), ("w", "ascending")])
-    place = np.empty(len(known), dtype=np.int32)
-    place[order.to_numpy()] = np.arange(len(known), dtype=np.int32)
+    place = np.empty(len(known), dtype=np.int64)
+    place[order.to_numpy()] = np.arange(len(known))
+    size = max(len(known), 1)
+    key, counts = _counted(row * size + place[coded.indices.to_numpy()], times)
     raw = s.data.tobytes()
     flags = (100 * upper > MAX_UPPER_PERCENT * points) * 4 + (symbols > 0) * 8
     return {
         "digests": [hashlib.sha256(raw[a:b]).digest() for a, b in zip(s.offsets[:-1].tolist(), s.offsets[1:].tolist(), strict=True)],
         "flags": flags.astype(np.int32),
-        "indptr": np.searchsorted(row, np.arange(s.rows + 1)),
-        "indices": place[number],
-        "counts": times,
+        "indptr": pack(np.searchsorted(key // size, np.arange(s.rows + 1))),
+        "indices": pack(key % size),
+        "counts": pack(counts),
         "words": known.take(order),
         "buckets": buckets[order.to_numpy()],
     }
 
 
-def _one_row(value, kind: pa.ListType) -> pa.Array:
+def _one_row(value, kind: pa.DataType) -> pa.Array:
+    if isinstance(value, bytes):
+        return pa.array([value], kind)
     values = value.cast(kind.value_type) if isinstance(value, pa.Array) else pa.array(value, kind.value_type)
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
@@ -116,9 +136,9 @@ def _one_row(value, kind: pa.ListType) -> pa.Array:
 def local_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_col: str = "lang", shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """(shard, ids, parts, digests, flags, indptr, indices, counts, words, buckets): matrices with their own words.
 
-    Row r of a shard has the entries indptr[r] to indptr[r + 1]; ``words`` are numbered from 0 by their
-    place, which goes by bucket and word. ``flags`` holds 4 where C fails and 8 where D does, ``digests``
-    the SHA-256 of the text.
+    Row r of a shard has the entries indptr[r] to indptr[r + 1], in order of their words; the three
+    lists of numbers are packed. ``words`` are numbered from 0 by their place, which goes by bucket and
+    word. ``flags`` holds 4 where C fails and 8 where D does, ``digests`` the SHA-256 of the text.
     """
     source = docs.select(
         docs[f"`{id_col}`"].cast("long").alias("id"),
@@ -140,7 +160,8 @@ def document_term_matrix(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """The matrix in shards whose ``indices`` are word numbers, and the dictionary (word, word_id).
 
     A word's number is its bucket and its rank in the bucket. The words of a shard are in the same
-    order, so their numbers, sorted, are the numbers of its places. What moves are each shard's distinct
+    order, so their numbers, sorted, are the numbers of its places. The matrix also has the sum and the
+    number of entries of each row (n_words, n_distinct). What moves are each shard's distinct
     words, their numbers and its matrix, never texts or single occurrences; a word meets itself once
     per shard, in a window that spills. The matrix of local numbers is in the shared folder.
     """
@@ -152,40 +173,39 @@ def document_term_matrix(docs: DataFrame, id_col: str = "doc_id", text_col: str
     # dealt by shard as plain rows: gathering lists before would sort them first
     coded = numbered.select("shard", "word_id").repartition("shard").groupBy("shard").agg(F.sort_array(F.collect_list("word_id")).alias("word_ids"))
     joined = local.drop("words", "buckets").join(coded, "shard", "left")
-    names = ["shard", "ids", "parts", "digests", "flags", "indptr", "indices", "counts", "word_ids"]
+    carried = ["shard", "ids", "parts", "digests", "flags", "indptr", "counts"]
 
     def turn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1)
+                at, places, counts = (unpack(row.column(c)[0].as_py()) for c in ("indptr", "indices", "counts"))
                 ids = row.column("word_ids").flatten().to_numpy()
-                indices = ids[row.column("indices").flatten().to_numpy()] if len(ids) else ids
-                columns = [_one_row(indices, pa.list_(pa.int64())) if c == "indices" else row.column(c) for c in names[:-1]]
-                yield pa.RecordBatch.from_arrays(columns, names=names[:-1])
-
-    ddl = "shard long, ids array<long>, parts array<string>, digests array<binary>, flags array<int>, indptr array<long>, indices array<long>, counts array<long>"
-    return joined.select(*names).mapInArrow(turn, ddl), dictionary
+                total = np.concatenate([[0], np.cumsum(counts)])
+                made = {"indices": pack(ids[places] if len(ids) else places), "n_words": total[at[1:]] - total[at[:-1]], "n_distinct": np.diff(at)}
+                kinds = {"indices": pa.binary(), "n_words": pa.list_(pa.int64()), "n_distinct": pa.list_(pa.int64())}
+                columns = [row.column(c) for c in carried] + [_one_row(v, kinds[c]) for c, v in made.items()]
+                yield pa.RecordBatch.from_arrays(columns, names=[*carried, *made])
+
+    ddl = (
+        "shard long, ids array<long>, parts array<string>, digests array<binary>, flags array<int>, indptr binary, counts binary, "
+        "indices binary, n_words array<long>, n_distinct array<long>"
+    )
+    return joined.select(*carried, "indices", "word_ids").mapInArrow(turn, ddl), dictionary
 
 
 def matrix_rows(matrix: DataFrame) -> DataFrame:
-    """(id, part, digest, failed, n_words, n_distinct) of each document, from its matrix row.
+    """(id, part, digest, failed, n_words, n_distinct) of each document, from the sums of its matrix row.
 
     ``failed`` holds 1, 2, 4 and 8 where A, B, C and D fail.
     """
-    names = ["id", "part", "digest", "failed", "n_words", "n_distinct"]
-
-    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = batch.slice(i, 1)
-                at = row.column("indptr").flatten().to_numpy()
-                total = np.concatenate([[0], np.cumsum(row.column("counts").flatten().to_numpy())])
-                n_words, n_distinct = total[at[1:]] - total[at[:-1]], np.diff(at)
-                failed = (n_words < MIN_WORDS) * 1 + (100 * n_distinct < MIN_DISTINCT_PERCENT * n_words) * 2 + row.column("flags").flatten().to_numpy()
-                carried = [row.column(c).flatten() for c in ("ids", "parts", "digests")]
-                yield pa.RecordBatch.from_arrays([*carried, *[pa.array(v, pa.int64()) for v in (failed, n_words, n_distinct)]], names=names)
-
-    return matrix.mapInArrow(sums, "id long, part string, digest binary, failed long, n_words long, n_distinct long")
+    rows = matrix.select(F.explode(F.arrays_zip("ids", "parts", "digests", "flags", "n_words", "n_distinct")).alias("r")).select(
+        F.col("r.ids").alias("id"), F.col("r.parts").alias("part"), F.col("r.digests").alias("digest"), F.col("r.flags").cast("long").alias("flags"),
+        F.col("r.n_words").alias("n_words"), F.col("r.n_distinct").alias("n_distinct"),
+    )
+    few = F.when(F.col("n_words") < MIN_WORDS, 1).otherwise(0)
+    repeated = F.when(100 * F.col("n_distinct") < MIN_DISTINCT_PERCENT * F.col("n_words"), 2).otherwise(0)
+    return rows.select("id", "part", "digest", (F.col("flags") + few + repeated).alias("failed"), "n_words", "n_distinct")
 
 
 def with_copies(rows: DataFrame) -> DataFrame:
