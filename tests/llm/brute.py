@@ -88,3 +88,80 @@ def repeated_bytes(docs: list[tuple], k: int = 50) -> dict:
         rest = bytes(x for x, c in zip(b, covered, strict=True) if not c)
         out[d] = (len(b), sum(covered), spans, hashlib.sha256(rest).hexdigest())
     return out
+
+
+def filter_masks(docs: list[tuple]) -> list[tuple]:
+    """(part, bits of the failed filters A to E) of each (doc_id, text, lang)."""
+    ids: dict[str, list] = {}
+    for doc, text, _ in docs:
+        ids.setdefault(text or "", []).append(doc)
+    out = []
+    for doc, text, lang in docs:
+        text = text or ""
+        words = SPACED.findall(text)
+        fails = (
+            len(words) < 100, 100 * len(set(words)) < 80 * len(words), 100 * sum("A" <= c <= "Z" for c in text) > 10 * len(text),
+            any(c in "#$%&*|" for c in text), doc is not None and any(d is not None and d < doc for d in ids[text]),
+        )
+        out.append((lang or "", sum(1 << i for i, f in enumerate(fails) if f)))
+    return out
+
+
+def filter_audit(docs: list[tuple], good: set, toxic: set) -> dict:
+    import itertools
+
+    masks = filter_masks(docs)
+    rows = [(part, bits, doc in good, doc in toxic) for (part, bits), (doc, *_) in zip(masks, docs, strict=True)]
+    out = {}
+    for part in {r[0] for r in rows}:
+        own = [r for r in rows if r[0] == part]
+        removed_in_all = Counter()
+        for order in itertools.permutations("ABCDE"):
+            left = own
+            for step, f in enumerate(order, 1):
+                bit = 1 << "ABCDE".index(f)
+                gone = [r for r in left if r[1] & bit]
+                failing = [r for r in own if r[1] & bit]
+                left = [r for r in left if not r[1] & bit]
+                removed_in_all[f] += len(gone)
+                out[part, "".join(order), step] = [
+                    len(left), len(gone), len(failing) - len(gone), sum(r[1] == bit for r in own), sum(r[2] for r in gone), sum(r[3] for r in gone), f
+                ]
+        for key, values in out.items():
+            if key[0] == part:
+                values[-1] = removed_in_all[values[-1]] if isinstance(values[-1], str) else values[-1]
+    return {k: tuple(v) for k, v in out.items()}
+
+
+def ranked(docs: list[tuple], items: list[tuple], top: int = 10) -> dict:
+    """(item_id, text) -> [(doc_id, score), ...] by full scoring."""
+    import math
+
+    words = [ALNUM.findall((t or "").translate(LOWER)) for _, t in docs]
+    n, total = sum(bool(w) for w in words), sum(map(len, words))
+    counts = [Counter(w) for w in words]
+    df = Counter(t for c in counts for t in c)
+    out = {}
+    for item, text in items:
+        terms = Counter(ALNUM.findall((text or "").translate(LOWER)))
+        scores = []
+        for (doc, _), c, w in zip(docs, counts, words, strict=True):
+            score = 0
+            for t, repeats in terms.items():
+                if c[t]:
+                    m = 25 + 75 * len(w) * n // total
+                    score += repeats * math.floor(1000 * math.log((2 * n + 2) / (2 * df[t] + 1))) * (10**9 * c[t] // (1000 * c[t] + 8 * m))
+            if score > 0:
+                scores.append((-score, doc is None, doc or 0))
+        out[item, text or ""] = [(None if unnamed else doc, -s) for s, unnamed, doc in sorted(scores)[:top]]
+    return out
+
+
+def article_text(page: str | None) -> str:
+    """What stands in the article element of a page of the test data."""
+    import html
+
+    found = re.search(r"<article>(.*?)(</article>|\Z)", page or "", re.S)
+    blocks = re.split(r"</?(?:h1|p)>", found[1]) if found else []
+    texts = [" ".join(html.unescape(b.replace("<b>", "").replace("</b>", "").replace("<br>", " ")).split()) for b in blocks]
+    return "\n".join(t for t in texts if t)
