@@ -331,3 +331,64 @@ def test_fits_are_not_cut_short(spark, monkeypatch):
     queries._vector_hmm_predict(Ward(spark, "/root/testdata/sf0.001"))
     queries._hmm_kmeans(Ward(spark, "/root/testdata/sf0.001"))
     assert asked == {"rounds": 50, "bound": None}
+
+
+@pytest.mark.parametrize("fan", [2, 5])
+def test_trees_of_any_depth_equal_the_plain_recursion(spark, monkeypatch, fan):
+    """One sequence of many chunks beside short ones: several levels of nodes, with gaps between steps."""
+    from wardline.operators.hmm import chunks
+
+    monkeypatch.setattr(chunks, "FAN", fan)
+    monkeypatch.setattr(decode, "FAN", fan)
+    rnd = random.Random(8)
+    sequences = {1: [rnd.gauss(40, 30) for _ in range(90)], 2: [10.0], 3: [rnd.gauss(60, 40) for _ in range(17)]}
+    df = steps(spark, sequences)
+    assert chunks.chunked(df, 4).levels > 2 if fan == 2 else chunks.chunked(df, 4).levels >= 1
+    expected = {s: plain(REAL, seq) for s, seq in sequences.items()}
+    for r in decode.log_likelihoods(df, REAL, 4).collect():
+        assert r["log_likelihood"] == pytest.approx(math.log(expected[r["seq_id"]][0]), abs=1e-8)
+        assert r["n_steps"] == len(sequences[r["seq_id"]])
+    rows = decode.posterior(df, REAL, 4).collect()
+    assert len(rows) == 108
+    for r in rows:
+        assert [r["p0"], r["p1"]] == pytest.approx(list(expected[r["seq_id"]][1][(r["t"] - 1) // 3]), abs=1e-8)
+    trained = train.baum_welch(df, REAL, 1, 4)
+    whole = train.baum_welch(df, REAL, 1, 100_000)
+    assert np.array(trained.transitions) == pytest.approx(np.array(whole.transitions), abs=1e-10)
+    assert [r for r in decode.viterbi(df, REAL, 4).orderBy("seq_id", "t").collect()] == [
+        pytest.approx(r) for r in decode.viterbi(df, REAL, 100_000).orderBy("seq_id", "t").collect()
+    ]
+
+
+def test_a_missing_observation_says_nothing(spark):
+    df = spark.createDataFrame([(1, 0, 20.0), (1, 1, None), (1, 2, 90.0)], "seq_id long, t long, obs double")
+    a, pi = np.array(REAL.transitions), np.array(REAL.initial)
+    b = np.array([[density(em, x) for em in REAL.emissions] for x in (20.0, 90.0)])
+    want = (((pi * b[0]) @ a) @ a * b[1]).sum()
+    assert decode.probabilities(df, REAL).first()["probability"] == pytest.approx(want)
+    trained = train.baum_welch(df, REAL, 1)
+    assert all(math.isfinite(em.mean) and em.variance > 0 for em in trained.emissions)
+
+
+def test_mixture_densities_have_no_floor():
+    mixture = Mixture((0.6, 0.4), (0.0, 5.0), (1.0, 0.5))
+    x = np.array([0.3, 4.0, 400.0])
+    assert mixture.log_densities(x)[:2] == pytest.approx([math.log(density(mixture, v)) for v in x[:2]])
+    assert mixture.log_densities(x)[2] < -70_000
+    w = np.array([1.0, 2.0, 0.5])
+    assert np.isfinite(mixture.weighted_terms(x, w)).all() and mixture.weighted_terms(x, w)[0::3].sum() == pytest.approx(3.5)
+
+
+def test_a_very_long_sequence_is_bounded_in_every_task(spark):
+    """One sequence of 3 million steps: two levels of nodes, and no row above FAN children or one chunk."""
+    from wardline.operators.hmm import chunks
+
+    df = spark.range(3_000_000).selectExpr("1L AS seq_id", "id AS t", "CAST(id % 97 AS DOUBLE) AS obs")
+    cut = chunks.chunked(df)
+    assert cut.levels == 2
+    n = chunks.numbers(REAL)
+    levels = chunks.matrix_levels(cut, n)
+    assert [level.count() for level in levels] == [23_438, 184, 2]
+    short = decode.log_likelihoods(df.where("t < 97000"), REAL).first()["log_likelihood"]
+    whole = decode.log_likelihoods(df, REAL).first()["log_likelihood"]
+    assert whole / 3_000_000 == pytest.approx(short / 97_000, rel=1e-3)

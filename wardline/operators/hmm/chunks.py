@@ -1,370 +1,282 @@
-"""Sequences cut into bounded chunks, and the recursions that cross them.
+"""Sequences cut into bounded chunks, and the tree that carries vectors across them.
 
 A sequence table has ``seq_id``, an integer step ``t`` unique in the sequence, and ``obs``.
-Steps are grouped into chunks of consecutive ``t``, so no task holds more of a sequence than
-one chunk. Each chunk is summed up by a k-by-k matrix: row i holds what the chunk does to a
-path that enters in state i. Only these matrices are brought together per sequence, which
-gives every chunk the vectors it needs at its two ends; the steps inside are then worked
-out chunk by chunk. Results equal the plain step-by-step recursion.
+Steps are grouped into chunks of consecutive ``t``. Each chunk is summed up by a k-by-k matrix:
+row i holds what the chunk does to a path that enters in state i. Matrices are multiplied up a
+tree of FAN children a node, and the vectors at the ends of each node are handed down it again;
+so no task sees more of a sequence than one chunk or one node's children, however long it is.
+Steps are then worked out chunk by chunk. Results equal the plain step-by-step recursion.
+
+The steps themselves stay where their grouping put them. All arithmetic runs on Arrow batches.
 """
 
 from __future__ import annotations
 
-from functools import cached_property
+from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
-from wardline.functions.arrays import elements, let, literal_array, normalised, scan, total
-from wardline.operators.hmm.model import Hmm, log_move
+from wardline.operators.hmm import kernels
+from wardline.operators.hmm.model import LOG_NEVER, Hmm
 from wardline.session import shuffle_partitions
 
 CHUNK_STEPS = 128
-TINY = 1e-300
+#: Children of a node of the tree.
+FAN = 128
+#: Steps that are worked out at once.
+BATCH_STEPS = 1 << 16
 KEYS = ["seq_id", "chunk"]
 
-# Columns that carry a model's numbers.
-INITIAL, MOVES, EMITS = "_initial", "_moves", "_emits"
-LOG_INITIAL, LOG_MOVES = "_log_initial", "_log_moves"
 
+@dataclass(frozen=True)
+class Chunks:
+    """(seq_id, chunk, t, obs, ...): at most ``chunk_steps`` ordered steps a row; ``levels`` of nodes above."""
+
+    rows: DataFrame
+    levels: int
+
+    def persist(self) -> "Chunks":
+        return replace(self, rows=self.rows.persist(StorageLevel.MEMORY_AND_DISK))
+
+    def unpersist(self) -> None:
+        self.rows.unpersist()
 
-def chunked(steps: DataFrame, chunk_steps: int = CHUNK_STEPS) -> DataFrame:
-    """(seq_id, chunk, steps): at most ``chunk_steps`` ordered (t, obs) per row.
 
-    The number of partitions is fixed: the recursions cost far more than the bytes suggest,
-    so adaptive execution must not merge partitions by size.
+def chunked(steps: DataFrame, chunk_steps: int = CHUNK_STEPS, also: Sequence[str] = ()) -> Chunks:
+    """Steps as chunks; columns in ``also`` come along as lists. One short job finds the span of ``t``.
+
+    The number of partitions is fixed: the recursions cost more than the bytes suggest, so adaptive
+    execution must not merge partitions by size.
     """
-    step = F.struct("t", "obs")
-    return (
-        steps.withColumn("chunk", F.floor(F.col("t") / chunk_steps))
+    chunk = F.floor(F.col("t") / chunk_steps)
+    low, high = steps.agg(F.min(chunk), F.max(chunk)).first()
+    levels, width = 0, 0 if low is None else high - low + 1
+    while width > FAN:
+        low, high, levels = low // FAN, high // FAN, levels + 1
+        width = high - low + 1
+    fields = ["t", "obs", *also]
+    rows = (
+        steps.withColumn("chunk", chunk)
         .repartition(shuffle_partitions(steps.sparkSession), *KEYS)
         .groupBy(*KEYS)
-        .agg(F.sort_array(F.collect_list(step)).alias("steps"))
+        .agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("_steps"))
+        .select(*KEYS, *[F.col(f"_steps.{f}").alias(f) for f in fields])
     )
+    return Chunks(rows, levels)
 
 
-def with_model(df: DataFrame, model: Hmm) -> DataFrame:
-    """Adds the model's numbers as literal array columns."""
-    flat = [p for row in model.transitions for p in row]
-    return df.withColumns(
-        {
-            INITIAL: literal_array(model.initial),
-            MOVES: literal_array(flat),
-            EMITS: literal_array([v for em in model.emissions for v in em.parameters()]),
-            LOG_INITIAL: literal_array([log_move(p) for p in model.initial]),
-            LOG_MOVES: literal_array([log_move(p) for p in flat]),
-        }
-    )
+@dataclass(frozen=True)
+class Numbers:
+    """A model as arrays. Best paths take a structural zero as LOG_NEVER, so that a path stays comparable."""
 
+    model: Hmm
+    initial: np.ndarray
+    moves: np.ndarray
 
-class Recursions:
-    """Column expressions of the forward and backward recursions for one model layout.
+    @property
+    def k(self) -> int:
+        return self.model.k
 
-    They depend on the number of states and the kinds of emissions only; the numbers come
-    from the columns of :func:`with_model`. Fits build them once and reuse them every round.
-    """
 
-    def __init__(self, model: Hmm):
-        self.k = model.k
-        self.emissions = model.emissions
-
-    def emission_parameters(self, state: int) -> list[Column]:
-        at = sum(len(em.parameters()) for em in self.emissions[:state])
-        n = len(self.emissions[state].parameters())
-        return [F.col(EMITS)[at + i] for i in range(n)]
-
-    def move(self, i: int, j: int) -> Column:
-        return F.col(MOVES)[i * self.k + j]
-
-    def moved(self, vector: Column) -> Column:
-        """vector * A."""
-        k = self.k
-        return F.array(
-            *[total([vector[i] * self.move(i, j) for i in range(k)]) for j in range(k)]
-        )
-
-    def moved_back(self, vector: Column) -> Column:
-        """A * vector."""
-        k = self.k
-        return F.array(
-            *[total([vector[j] * self.move(i, j) for j in range(k)]) for i in range(k)]
-        )
-
-    @cached_property
-    def densities(self) -> Column:
-        """Per step: ``t``, log densities ``lp``, their maximum ``m`` and ``b`` = exp(lp - m)."""
-
-        def emit(step: Column) -> Column:
-            logs = F.array(
-                *[
-                    em.log_density(step["obs"], self.emission_parameters(i))
-                    for i, em in enumerate(self.emissions)
-                ]
-            )
-
-            def with_top(lp: Column) -> Column:
-                return let(
-                    F.array_max(lp),
-                    lambda m: F.struct(
-                        step["t"].alias("t"),
-                        lp.alias("lp"),
-                        m.alias("m"),
-                        F.transform(lp, lambda v: F.greatest(F.exp(v - m), F.lit(TINY))).alias("b"),
-                    ),
-                )
-
-            return let(logs, with_top)
-
-        return F.transform("steps", emit)
-
-    @cached_property
-    def matrix(self) -> Column:
-        """For each entry state of a chunk: end state shares ``v`` and log probability ``ls``."""
-        k = self.k
-
-        def step(row: Column, e: Column) -> Column:
-            raw = let(row["v"], lambda v: F.zip_with(self.moved(v), e["b"], lambda a, b: a * b))
-            return let(
-                raw,
-                lambda r: let(
-                    total(elements(r, k)),
-                    lambda t: F.struct(
-                        F.transform(r, lambda v: v / t).alias("v"),
-                        (row["ls"] + e["m"] + F.log(t)).alias("ls"),
-                    ),
-                ),
-            )
-
-        entry = F.array(
-            *[
-                F.struct(
-                    literal_array([1.0 if i == j else 0.0 for j in range(k)]).alias("v"),
-                    F.col("e")[0]["lp"][i].alias("ls"),
-                )
-                for i in range(k)
-            ]
-        )
-        rest = F.slice("e", 2, F.size("e"))
-        return F.aggregate(rest, entry, lambda acc, e: F.transform(acc, lambda row: step(row, e)))
-
-    def passed(self, entry: Column, rows: Column) -> Column:
-        """Struct of the normalised exit vector and the log mass of passing a chunk."""
-        k = self.k
-        logs = F.transform(
-            F.arrays_zip(entry.alias("p"), rows.alias("r")),
-            lambda x: F.when(x["p"] > 0, F.log(x["p"]) + x["r"]["ls"]),
-        )
-
-        def weigh(lw: Column) -> Column:
-            def exits(w: Column) -> Column:
-                raw = F.array(*[total([w[i] * rows[i]["v"][j] for i in range(k)]) for j in range(k)])
-                return let(
-                    raw,
-                    lambda r: let(
-                        total(elements(r, k)),
-                        lambda t: F.struct(
-                            F.transform(r, lambda v: v / t).alias("exit"),
-                            (F.array_max(lw) + F.log(t)).alias("mass"),
-                        ),
-                    ),
-                )
-
-            # weights relative to the likeliest entry state
-            return let(
-                F.transform(lw, lambda v: F.coalesce(F.exp(v - F.array_max(lw)), F.lit(0.0))), exits
-            )
-
-        return let(logs, weigh)
-
-    @cached_property
-    def log_likelihood(self) -> Column:
-        """Of a sequence, from its ordered chunk matrices ``c``."""
-
-        def forward(now: Column, c: Column) -> Column:
-            return let(
-                self.passed(now["entry"], c["rows"]),
-                lambda p: F.struct(
-                    self.moved(p["exit"]).alias("entry"), (now["ll"] + p["mass"]).alias("ll")
-                ),
-            )
-
-        start = F.struct(F.col(INITIAL).alias("entry"), F.lit(0.0).alias("ll"))
-        return F.aggregate("c", start, forward, lambda s: s["ll"])
-
-    @cached_property
-    def ends(self) -> Column:
-        """Per chunk of ``c``: the vectors at its two ends.
-
-        ``entry`` is the state distribution before the chunk's first observation; ``ahead``
-        is proportional to the probability of everything past the chunk, given the state of
-        the step that follows it (all ones, with ``is_last``, where nothing follows).
-        """
-        k = self.k
-        start = F.struct(F.col(INITIAL).alias("entry"), F.col(INITIAL).alias("next"))
-
-        def forward(now: Column, c: Column) -> Column:
-            return F.struct(
-                now["next"].alias("entry"),
-                let(self.passed(now["next"], c["rows"]), lambda p: self.moved(p["exit"])).alias("next"),
-            )
-
-        ones = literal_array([1.0] * k)
-        end = F.struct(
-            ones.alias("ahead"), F.lit(True).alias("is_last"),
-            ones.alias("next"), F.lit(True).alias("next_is_last"),
-        )
-
-        def backward(now: Column, c: Column) -> Column:
-            after = F.when(now["next_is_last"], now["next"]).otherwise(self.moved_back(now["next"]))
-
-            def entered(beta: Column) -> Column:
-                top = F.array_max(F.transform(c["rows"], lambda r: r["ls"]))
-                return F.transform(
-                    c["rows"],
-                    lambda r: F.greatest(
-                        F.exp(r["ls"] - top) * total([r["v"][j] * beta[j] for j in range(k)]),
-                        F.lit(TINY),
-                    ),
-                )
-
-            return F.struct(
-                now["next"].alias("ahead"),
-                now["next_is_last"].alias("is_last"),
-                let(let(after, entered), lambda u: normalised(u, k)).alias("next"),
-                F.lit(False).alias("next_is_last"),
-            )
-
-        fwd = scan(F.col("c"), start, forward)
-        bwd = F.reverse(scan(F.reverse("c"), end, backward))
-        return F.transform(
-            F.arrays_zip(F.col("c"), fwd.alias("f"), bwd.alias("b")),
-            lambda x: F.struct(
-                x["c"]["chunk"].alias("chunk"), x["f"]["entry"].alias("entry"),
-                x["b"]["ahead"].alias("ahead"), x["b"]["is_last"].alias("is_last"),
-            ),
-        )
-
-    @cached_property
-    def alphas(self) -> Column:
-        """Per step of a chunk, the state distribution given everything up to it."""
-        k = self.k
-        first = F.struct(F.col("entry").alias("prior"), F.col("entry").alias("alpha"))
-
-        def forward(now: Column, e: Column) -> Column:
-            seen = F.zip_with(now["prior"], e["b"], lambda p, b: p * b)
-            return let(
-                let(seen, lambda s: normalised(s, k)),
-                lambda a: F.struct(self.moved(a).alias("prior"), a.alias("alpha")),
-            )
-
-        return F.transform(scan(F.col("e"), first, forward), lambda s: s["alpha"])
-
-    @cached_property
-    def betas(self) -> Column:
-        """Per step of a chunk, the scaled probability of everything after it."""
-        k = self.k
-        after = F.when(F.col("is_last"), F.col("ahead")).otherwise(
-            let(self.moved_back(F.col("ahead")), lambda v: normalised(v, k))
-        )
-        last = let(after, lambda a: F.struct(a.alias("beta"), a.alias("next")))
-
-        def backward(now: Column, e: Column) -> Column:
-            seen = F.zip_with(now["next"], e["b"], lambda p, b: p * b)
-            return F.struct(
-                now["next"].alias("beta"),
-                let(let(seen, self.moved_back), lambda v: normalised(v, k)).alias("next"),
-            )
-
-        return F.reverse(F.transform(scan(F.reverse("e"), last, backward), lambda s: s["beta"]))
-
-    @cached_property
-    def gammas(self) -> Column:
-        """State distribution of every step given the whole sequence."""
-        k = self.k
-
-        def combine(a: Column, b: Column) -> Column:
-            return let(F.zip_with(a, b, lambda x, y: x * y), lambda g: normalised(g, k))
-
-        return F.zip_with(F.col("alphas"), F.col("betas"), combine)
-
-    @cached_property
-    def expected_moves(self) -> Column:
-        """Summed probabilities of each move out of the chunk's steps, k*k values."""
-        k = self.k
-        ahead = F.zip_with(
-            F.col("e"), F.col("betas"), lambda e, b: F.zip_with(e["b"], b, lambda x, y: x * y)
-        )
-        ahead = F.slice(ahead, 2, F.size("e"))
-        ahead = F.when(F.col("is_last"), ahead).otherwise(F.concat(ahead, F.array("ahead")))
-
-        def moves(a: Column, w: Column) -> Column:
-            raw = F.array(
-                *[a[i] * self.move(i, j) * w[j] for i in range(k) for j in range(k)]
-            )
-            return let(raw, lambda r: normalised(r, k * k))
-
-        # the last step of a sequence has nothing to move to
-        return self._summed(
-            let(
-                ahead,
-                lambda w: F.zip_with(F.slice(F.col("alphas"), F.lit(1), F.size(w)), w, moves),
-            ),
-            k * k,
-        )
-
-    @cached_property
-    def expected_terms(self) -> Column:
-        """Emission terms of every state, weighted by the state's share of each step."""
-
-        def weighted(step: Column, g: Column) -> Column:
-            parts = []
-            for i, em in enumerate(self.emissions):
-                parts += [g[i] * t for t in em.terms(step["obs"], self.emission_parameters(i))]
-            return F.array(*parts)
-
-        width = sum(em.n_terms for em in self.emissions)
-        return self._summed(F.zip_with("steps", "g", weighted), width)
-
-    def _summed(self, vectors: Column, width: int) -> Column:
-        return F.aggregate(
-            vectors,
-            literal_array([0.0] * width),
-            lambda acc, v: F.zip_with(acc, v, lambda x, y: x + y),
-        )
-
-
-def with_densities(chunks: DataFrame, model: Hmm, r: Recursions) -> DataFrame:
-    return with_model(chunks, model).withColumn("e", r.densities)
-
-
-def sequence_matrices(dense: DataFrame, r: Recursions) -> DataFrame:
-    """(seq_id, c, n_steps): the ordered chunk matrices, a fixed fraction of the steps."""
-    matrices = dense.select(*KEYS, r.matrix.alias("rows"), F.size("e").alias("n"))
-    return matrices.groupBy("seq_id").agg(
-        F.sort_array(F.collect_list(F.struct("chunk", "rows"))).alias("c"),
-        F.sum("n").alias("n_steps"),
-    )
+def numbers(model: Hmm, never: float = -np.inf) -> Numbers:
+    return Numbers(model, np.maximum(kernels.logs(model.initial), never), np.maximum(kernels.logs(model.transitions), never))
 
 
-def log_likelihoods(steps: DataFrame, model: Hmm, chunk_steps: int = CHUNK_STEPS) -> DataFrame:
-    """(seq_id, n_steps, log_likelihood) by the scaled forward recursion."""
-    r = Recursions(model)
-    dense = with_densities(chunked(steps, chunk_steps), model, r)
-    return with_model(sequence_matrices(dense, r), model).select(
-        "seq_id", "n_steps", r.log_likelihood.alias("log_likelihood")
-    )
+def path_numbers(model: Hmm) -> Numbers:
+    return numbers(model, LOG_NEVER)
+
+
+# Arrow lists and arrays.
+
+
+def offsets_of(column: pa.ListArray) -> np.ndarray:
+    at = column.offsets.to_numpy()
+    return (at - at[0]).astype(np.int64)
+
+
+def flat(column: pa.ListArray) -> np.ndarray:
+    """The values of all lists end to end; lists of lists as rows. Missing values are NaN."""
+    values = column.flatten()
+    if pa.types.is_list(values.type):
+        width = int(offsets_of(values)[1]) if len(values) else 0
+        return values.flatten().to_numpy(zero_copy_only=False).reshape(len(values), width)
+    return values.to_numpy(zero_copy_only=False)
+
+
+def rows_of(column: pa.ListArray, k: int) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, k)
+
+
+def lists(values: np.ndarray) -> pa.ListArray:
+    """One list per row."""
+    flat_values = pa.array(values.reshape(-1))
+    width = values.reshape(len(values), -1).shape[1] if len(values) else 0
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(values) + 1) * width, pa.int32()), flat_values)
+
+
+def parts(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+    """A batch in runs of rows whose lists hold about BATCH_STEPS values."""
+    ends = offsets_of(batch.column(column))
+    at = 0
+    while at < batch.num_rows:
+        to = max(int(np.searchsorted(ends, ends[at] + BATCH_STEPS, side="right")) - 1, at + 1)
+        yield batch.slice(at, to - at)
+        at = to
+
+
+def arrow_map(df: DataFrame, per: str, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: StructType) -> DataFrame:
+    """``work`` on bounded runs of the rows; ``per`` names the list column that bounds them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in parts(batch, per):
+                yield work(part)
+
+    return df.mapInArrow(run, schema)
+
+
+def schema_of(df: DataFrame, kept: Sequence[str], ddl: str) -> StructType:
+    """Fields of ``df`` followed by new ones."""
+    added = StructType.fromDDL(ddl)
+    return StructType([*[StructField(c, df.schema[c].dataType) for c in kept], *added.fields])
+
 
+def made(batch: pa.RecordBatch, kept: Sequence[str], added: dict[str, pa.Array]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], *added.values()], names=[*kept, *added])
 
-def smoothed(chunks: DataFrame, model: Hmm, r: Recursions) -> DataFrame:
-    """Chunks with ``alphas``, ``betas`` and ``g`` per step, ``is_first`` and ``is_last``.
 
-    The chunk rows stay where their grouping put them; only the small end vectors move.
+# The tree.
+
+
+def chunk_matrices(rows: DataFrame, n: Numbers, add: kernels.Add) -> DataFrame:
+    """(seq_id, pos, m, s, n): each chunk's matrix less its largest entry, and its steps."""
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        at = offsets_of(batch.column("t"))
+        lp = kernels.densities(n.model.emissions, flat(batch.column("obs")))
+        m, s = kernels.chunk_matrices(lp, at, n.moves, add)
+        return made(batch, ["seq_id", "pos"], {"m": lists(m), "s": pa.array(s), "n": pa.array(np.diff(at))})
+
+    short = rows.select("seq_id", F.col("chunk").alias("pos"), "t", "obs")
+    return arrow_map(short, "t", work, schema_of(short, ["seq_id", "pos"], "m array<double>, s double, n long"))
+
+
+def _children(level: DataFrame, fields: Sequence[str], top: bool) -> DataFrame:
+    """One row per node, or per sequence at the top: its children in order."""
+    node = [] if top else [F.floor(F.col("pos") / FAN).alias("node")]
+    return level.groupBy("seq_id", *node).agg(F.sort_array(F.collect_list(F.struct("pos", *fields))).alias("c"))
+
+
+def _field(column: pa.ListArray, name: str) -> pa.Array:
+    return column.flatten().field(name)
+
+
+def matrix_levels(chunks: Chunks, n: Numbers, add: kernels.Add = kernels.log_sum) -> list[DataFrame]:
+    """The chunk matrices, and above them the products of each FAN of the level below."""
+    k, out = n.k, [chunk_matrices(chunks.rows, n, add)]
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        c = batch.column("c")
+        m, s = kernels.products(rows_of(_field(c, "m"), k * k).reshape(-1, k, k), _field(c, "s").to_numpy(), offsets_of(c), n.moves, add)
+        steps = np.add.reduceat(_field(c, "n").to_numpy(), offsets_of(c)[:-1])
+        return made(batch, ["seq_id", "node"], {"m": lists(m), "s": pa.array(s), "n": pa.array(steps)})
+
+    for _ in range(chunks.levels):
+        nodes = _children(out[-1], ["m", "s", "n"], top=False)
+        level = arrow_map(nodes, "c", work, schema_of(nodes, ["seq_id", "node"], "m array<double>, s double, n long"))
+        out.append(level.withColumnRenamed("node", "pos"))
+    return out
+
+
+def totals(levels: list[DataFrame], n: Numbers, add: kernels.Add = kernels.log_sum) -> DataFrame:
+    """(seq_id, total, state, n_steps): log weight of each whole sequence, and its best last state."""
+    k = n.k
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        c = batch.column("c")
+        at, groups = offsets_of(c), batch.num_rows
+        m = rows_of(_field(c, "m"), k * k).reshape(-1, k, k)
+        start, nowhere = np.tile(n.initial, (groups, 1)), np.zeros((groups, k), dtype=np.int64)
+        done = kernels.entries(m, _field(c, "s").to_numpy(), at, n.moves, start, nowhere, add)
+        added = {
+            "total": pa.array(done.total + add(done.final, 1)), "state": pa.array(done.final.argmax(axis=1)),
+            "n_steps": pa.array(np.add.reduceat(_field(c, "n").to_numpy(), at[:-1])),
+        }
+        return made(batch, ["seq_id"], added)
+
+    tops = _children(levels[-1], ["m", "s", "n"], top=True)
+    return arrow_map(tops, "c", work, schema_of(tops, ["seq_id"], "total double, state long, n_steps long"))
+
+
+_ENDS = "pos long, entry array<double>, origin array<long>, ahead array<double>, is_first boolean, is_last boolean, total double, final long"
+
+
+def chunk_ends(levels: list[DataFrame], n: Numbers, add: kernels.Add = kernels.log_sum) -> DataFrame:
+    """(seq_id, chunk, entry, origin, ahead, is_first, is_last, total, final): the vectors at the ends of each chunk.
+
+    ``entry`` is the log weight of each state of the chunk's first step before its observation, and
+    ``origin`` the best state before it. ``ahead`` is the log weight of all past the chunk by the state
+    of the step that follows; where nothing does, ``is_last`` holds. ``total`` is the log weight of the
+    whole sequence and ``final`` its best last state, alike for all its chunks.
     """
-    dense = with_densities(chunks, model, r)
-    ends = (
-        with_model(sequence_matrices(dense, r), model)
-        .select("seq_id", F.col("c")[0]["chunk"].alias("_first"), F.explode(r.ends).alias("x"))
-        .select("seq_id", "x.*", (F.col("x.chunk") == F.col("_first")).alias("is_first"))
-    )
-    joined = dense.join(ends, KEYS).withColumns({"alphas": r.alphas, "betas": r.betas})
-    return joined.withColumn("g", r.gammas)
+    k = n.k
+
+    def opened(batch: pa.RecordBatch, entry, origin, ahead, first, last, whole) -> pa.RecordBatch:
+        c = batch.column("c")
+        at = offsets_of(c)
+        m, s = rows_of(_field(c, "m"), k * k).reshape(-1, k, k), _field(c, "s").to_numpy()
+        down = kernels.entries(m, s, at, n.moves, entry, origin, add)
+        beyond, is_last = kernels.aheads(m, at, n.moves, ahead, last)
+        is_first = np.zeros(len(m), dtype=bool)
+        is_first[at[:-1]] = first
+        owner = np.repeat(np.arange(batch.num_rows), np.diff(at))
+        total, final = whole or (down.total + add(down.final, 1), down.final.argmax(axis=1))
+        added = {
+            "pos": _field(c, "pos"), "entry": lists(down.entry), "origin": lists(down.origin), "ahead": lists(beyond),
+            "is_first": pa.array(is_first), "is_last": pa.array(is_last), "total": pa.array(total[owner]), "final": pa.array(final[owner]),
+        }
+        return pa.RecordBatch.from_arrays([batch.column("seq_id").take(pa.array(owner)), *added.values()], names=["seq_id", *added])
+
+    def from_top(batch: pa.RecordBatch) -> pa.RecordBatch:
+        g = batch.num_rows
+        yes, zero = np.ones(g, dtype=bool), np.zeros((g, k))
+        return opened(batch, np.tile(n.initial, (g, 1)), zero.astype(np.int64), zero, yes, yes, None)
+
+    def from_node(batch: pa.RecordBatch) -> pa.RecordBatch:
+        entry, origin, ahead = (rows_of(batch.column(x), k) for x in ("entry", "origin", "ahead"))
+        first, last = (batch.column(x).to_numpy(zero_copy_only=False) for x in ("is_first", "is_last"))
+        return opened(batch, entry, origin, ahead, first, last, tuple(batch.column(x).to_numpy() for x in ("total", "final")))
+
+    tops = _children(levels[-1], ["m", "s"], top=True)
+    ends = arrow_map(tops, "c", from_top, schema_of(tops, ["seq_id"], _ENDS))
+    for level in reversed(levels[:-1]):
+        nodes = _children(level, ["m", "s"], top=False)
+        above = ends.withColumnRenamed("pos", "node")
+        joined = nodes.join(above, ["seq_id", "node"]).drop("node")
+        ends = arrow_map(joined, "c", from_node, schema_of(joined, ["seq_id"], _ENDS))
+    return ends.withColumnRenamed("pos", "chunk")
+
+
+def log_likelihoods(steps: DataFrame, model: Hmm, chunk_steps: int = CHUNK_STEPS) -> DataFrame:
+    """(seq_id, n_steps, log_likelihood) by the forward recursion."""
+    n = numbers(model)
+    return totals(matrix_levels(chunked(steps, chunk_steps), n), n).select("seq_id", "n_steps", F.col("total").alias("log_likelihood"))
+
+
+def with_ends(chunks: Chunks, n: Numbers) -> DataFrame:
+    """Chunks with the vectors at their ends; only the small vectors move."""
+    return chunks.rows.join(chunk_ends(matrix_levels(chunks, n), n).drop("origin", "total", "final"), KEYS)
+
+
+def smoothed(batch: pa.RecordBatch, n: Numbers) -> tuple[np.ndarray, kernels.Smoothed]:
+    """Observations and state shares of a batch of chunks with their ends."""
+    x, at = flat(batch.column("obs")), offsets_of(batch.column("t"))
+    entry, ahead = (rows_of(batch.column(c), n.k) for c in ("entry", "ahead"))
+    last = batch.column("is_last").to_numpy(zero_copy_only=False)
+    return x, kernels.smoothed(kernels.densities(n.model.emissions, x), at, n.moves, entry, ahead, last)

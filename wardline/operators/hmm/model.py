@@ -36,6 +36,14 @@ class Emission(Protocol):
 
     def refit(self, sums: Sequence[float]) -> "Emission": ...
 
+    def log_densities(self, x: np.ndarray) -> np.ndarray:
+        """Of many observations at once."""
+        ...
+
+    def weighted_terms(self, x: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """The sums of ``terms`` over many observations."""
+        ...
+
 
 def literals(emission: Emission) -> list[Column]:
     return [F.lit(float(v)) for v in emission.parameters()]
@@ -81,6 +89,13 @@ class Table:
             return self
         return Table(tuple(s / weight for s in sums))
 
+    def log_densities(self, x: np.ndarray) -> np.ndarray:
+        known = (x >= 0) & (x < len(self.probabilities))
+        return np.where(known, np.array(self.parameters())[np.where(known, x, 0).astype(np.int64)], LOG_FLOOR)
+
+    def weighted_terms(self, x: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        return np.array([weight[x == v].sum() for v in range(len(self.probabilities))])
+
 
 @dataclass(frozen=True)
 class Gaussian:
@@ -109,6 +124,14 @@ class Gaussian:
         shift = first / weight
         return Gaussian(self.mean + shift, max(second / weight - shift * shift, VARIANCE_FLOOR))
 
+    def log_densities(self, x: np.ndarray) -> np.ndarray:
+        mean, twice_variance, constant = self.parameters()
+        return constant - (x - mean) ** 2 / twice_variance
+
+    def weighted_terms(self, x: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        d = x - self.mean
+        return np.array([weight.sum(), weight @ d, weight @ (d * d)])
+
 
 @dataclass(frozen=True)
 class Mixture:
@@ -165,6 +188,21 @@ class Mixture:
             tuple(max(s[2] / s[0], VARIANCE_FLOOR) for s in parts),
         )
 
+    def _part_logs(self, x: np.ndarray) -> np.ndarray:
+        w, mean, variance = (np.array(v, dtype=float) for v in (self.weights, self.means, self.variances))
+        with np.errstate(divide="ignore"):
+            scale = np.log(w) - 0.5 * np.log(2 * np.pi * variance)
+        return scale - (x[:, None] - mean) ** 2 / (2 * variance)
+
+    def log_densities(self, x: np.ndarray) -> np.ndarray:
+        return np.logaddexp.reduce(self._part_logs(x), axis=1)
+
+    def weighted_terms(self, x: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        parts = self._part_logs(x)
+        share = np.exp(parts - np.logaddexp.reduce(parts, axis=1)[:, None]) * weight[:, None]
+        d = x[:, None] - np.array(self.means)
+        return np.stack([share.sum(axis=0), (share * d).sum(axis=0), (share * d * d).sum(axis=0)], axis=1).ravel()
+
 
 @dataclass(frozen=True)
 class MultiGaussian:
@@ -218,6 +256,19 @@ class MultiGaussian:
             self.diagonal,
         )
 
+    def log_densities(self, x: np.ndarray) -> np.ndarray:
+        d, p = len(self.mean), self.parameters()
+        factor = np.zeros((d, d))
+        for (i, j), v in zip(self._lower(), p[1 + d :]):
+            factor[i, j] = v
+        units = (x - np.array(self.mean)) @ factor.T
+        return p[0] - (units * units).sum(axis=1) / 2
+
+    def weighted_terms(self, x: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        centred = x - np.array(self.mean)
+        second = centred.T @ (centred * weight[:, None])
+        return np.array([weight.sum(), *(weight @ centred), *[second[i, j] for i, j in self._upper()]])
+
 
 @dataclass(frozen=True)
 class Hmm:
