@@ -56,7 +56,7 @@ def line_table(docs: DataFrame) -> DataFrame:
                     names=["doc_id", "version", "lines", "sizes", "words"],
                 )
 
-    return docs.mapInArrow(run, "doc_id long, version long, lines array<long>, sizes array<int>, words array<int>")
+    return text.map_batches(docs, run, "doc_id long, version long, lines array<long>, sizes array<int>, words array<int>")
 
 
 def windows(

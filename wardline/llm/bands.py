@@ -126,7 +126,7 @@ def assess(docs: DataFrame, text_col: str = "text", level: int = 3) -> DataFrame
                     [*part.columns, *[pa.array(made[f.name], f.type) for f in _ADDED]], names=[*own, *_ADDED.names]
                 )
 
-    return source.mapInArrow(run, StructType([*source.schema.fields, *from_arrow_schema(_ADDED).fields]))
+    return text.map_batches(source, run, StructType([*source.schema.fields, *from_arrow_schema(_ADDED).fields]))
 
 
 def keep(docs: DataFrame, text_col: str = "text") -> DataFrame:

@@ -73,7 +73,7 @@ def _mapped(docs: DataFrame, make, ddl: str, types: list[pa.DataType]) -> DataFr
                 ids = batch.column(0).slice(s.first, s.rows)
                 yield pa.RecordBatch.from_arrays([ids, *[pa.array(c, t) for c, t in zip(make(s), types[1:], strict=True)]], names=names)
 
-    return docs.mapInArrow(run, ddl)
+    return text.map_batches(docs, run, ddl)
 
 
 def sketches(docs: DataFrame, words: int = 3, k: int = K) -> DataFrame:

@@ -114,7 +114,7 @@ def _scan(docs: DataFrame, text_col: str, rows: list) -> DataFrame:
                     [*part.columns, *[pa.array(v, f.type) for v, f in zip(made, _FOUND, strict=True)]], names=[*own, *_FOUND.names]
                 )
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, *from_arrow_schema(_FOUND).fields]))
+    return text.map_batches(docs, run, StructType([*docs.schema.fields, *from_arrow_schema(_FOUND).fields]))
 
 
 def _merged(spans):

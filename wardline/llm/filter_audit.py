@@ -153,7 +153,7 @@ def local_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 made = _shard(s, shard_bytes) | {"ids": here.column(0), "parts": here.column(1)}
                 yield pa.RecordBatch.from_arrays([_one_row(made[f.name], f.type) for f in _SHARD], schema=_SHARD)
 
-    return source.mapInArrow(run, _SHARD_DDL).withColumn("shard", F.monotonically_increasing_id())
+    return text.map_batches(source, run, _SHARD_DDL).withColumn("shard", F.monotonically_increasing_id())
 
 
 def document_term_matrix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_col: str = "lang", shard_bytes: int = SHARD_BYTES) -> tuple[DataFrame, DataFrame]:
@@ -191,7 +191,7 @@ def document_term_matrix(docs: DataFrame, id_col: str = "doc_id", text_col: str
         "shard long, ids array<long>, parts array<string>, digests array<binary>, flags array<int>, indptr binary, counts binary, "
         "indices binary, n_words array<long>, n_distinct array<long>"
     )
-    return joined.select(*carried, "indices", "word_ids").mapInArrow(turn, ddl), dictionary
+    return text.map_batches(joined.select(*carried, "indices", "word_ids"), turn, ddl), dictionary
 
 
 def matrix_rows(matrix: DataFrame) -> DataFrame:

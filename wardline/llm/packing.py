@@ -10,6 +10,7 @@ within their length and take the places of the patterns in turn.
 from __future__ import annotations
 
 import base64
+import json
 import math
 import re
 import zlib
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 
 from wardline.llm.numbering import number
 from wardline.llm.scratch import written
+from wardline.llm.text import map_batches
 
 CAPACITY = 1024
 END_ID = 0
@@ -35,17 +37,30 @@ PIECE_DDL = "doc_id long, start long, length long, ids_crc32 long, doc_tokens lo
 
 
 @cache
-def _encoders(vocabulary: str, ranks: str):
+def _specials(vocabulary: str) -> list[str]:
+    """The strings of the vocabulary's special tokens."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(vocabulary), encoding="utf-8") as f:
+        return [t["content"] for t in json.load(f)["added_tokens"] if t["special"]]
+
+
+@cache
+def _exact(vocabulary: str):
     import public_tokenizers
-    import tiktoken
     from tokenizers import Tokenizer
 
-    exact = Tokenizer.from_file(public_tokenizers.path(vocabulary))
-    special = [t.content for t in exact.get_added_tokens_decoder().values() if t.special]
+    return Tokenizer.from_file(public_tokenizers.path(vocabulary))
+
+
+@cache
+def _fast(ranks: str):
+    import public_tokenizers
+    import tiktoken
+
     with open(public_tokenizers.path(ranks), "rb") as f:
         table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
-    return exact, fast, special
+    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
 
 
 def _parts(text: str, most: int = PART_CHARS) -> Iterator[str]:
@@ -59,12 +74,12 @@ def _parts(text: str, most: int = PART_CHARS) -> Iterator[str]:
 
 def token_ids(text: str, vocabulary: str, ranks: str) -> Iterator[np.ndarray]:
     """Ids of a text in runs. Texts that hold a special token's string take the slower encoder."""
-    exact, fast, special = _encoders(vocabulary, ranks)
+    special = _specials(vocabulary)
     for part in _parts(text):
         if any(s in part for s in special):
-            yield np.array(exact.encode(part, add_special_tokens=False).ids, dtype="<u4")
+            yield np.array(_exact(vocabulary).encode(part, add_special_tokens=False).ids, dtype="<u4")
         else:
-            yield np.array(fast.encode_to_numpy(part), dtype="<u4")
+            yield np.array(_fast(ranks).encode_to_numpy(part), dtype="<u4")
 
 
 def pieces(
@@ -94,7 +109,7 @@ def pieces(
                 rows = [p for d, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True) for p in cut(d, t)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
 
-    return docs.select(docs[f"`{id_col}`"].cast("long").alias("doc_id"), docs[f"`{text_col}`"].alias("text")).mapInArrow(run, ddl)
+    return map_batches(docs.select(docs[f"`{id_col}`"].cast("long").alias("doc_id"), docs[f"`{text_col}`"].alias("text")), run, ddl)
 
 
 def _knapsack(value: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:

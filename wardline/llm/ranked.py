@@ -129,7 +129,7 @@ def index(docs: DataFrame, vocabulary: list[str], id_col: str = "doc_id", text_c
         if shard.documents:
             yield shard.batch()
 
-    return source.mapInArrow(run, _INDEX_DDL)
+    return text.map_batches(source, run, _INDEX_DDL)
 
 
 class Statistics(NamedTuple):
@@ -221,7 +221,7 @@ def search(shards: DataFrame, queries: list[Query], stats: Statistics, top: int
             scores, unnamed, ids = (np.concatenate(c) for c in zip(*held, strict=True))
             yield pa.RecordBatch.from_arrays([pa.array(query, pa.int64()), pa.array(ids, mask=unnamed), pa.array(scores)], names=["query", "doc_id", "score"])
 
-    return shards.mapInArrow(run, "query long, doc_id long, score long")
+    return text.map_batches(shards, run, "query long, doc_id long, score long")
 
 
 def _merged(found: DataFrame, top: int) -> DataFrame:

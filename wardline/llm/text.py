@@ -7,13 +7,18 @@ of a character beyond ASCII is 0x80 or more, and such bytes always belong to wor
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 
-SLICE_BYTES = 1 << 20
+#: Some 50 bytes of arrays stand for each byte of a slice.
+SLICE_BYTES = 1 << 18
+#: Bytes of rows that a task hands over at once.
+BATCH_BYTES = 4 << 20
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -32,11 +37,14 @@ _powers: dict[int, np.ndarray] = {}
 
 
 def _power(base: int, n: int) -> np.ndarray:
-    if base not in _powers or len(_powers[base]) < n:
-        p = np.full(max(n, SLICE_BYTES) + 64, base, dtype=_U)
-        p[0] = 1
-        _powers[base] = np.multiply.accumulate(p)
-    return _powers[base][:n]
+    if base in _powers and len(_powers[base]) >= n:
+        return _powers[base][:n]
+    p = np.full(max(n, SLICE_BYTES) + 64, base, dtype=_U)
+    p[0] = 1
+    p = np.multiply.accumulate(p)
+    if n <= SLICE_BYTES + 64:  # those of a longer text aren't kept
+        _powers[base] = p
+    return p[:n]
 
 
 class Hasher:
@@ -55,6 +63,33 @@ class Hasher:
         return mix((self.sums[k:] - self.sums[:n]) * self.back[:n])
 
 
+def _give_back() -> None:
+    """Free memory goes back to the system, since workers outlive their tasks and share a machine."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``mapInArrow`` over batches of at most BATCH_BYTES, or of one row.
+
+    The bound is a setting of the session, which a smaller one of the user's replaces.
+    """
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    size = conf.get(name).rstrip("b")
+    if not size.isdigit() or int(size) > BATCH_BYTES:
+        conf.set(name, str(BATCH_BYTES))
+
+    def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            _give_back()
+
+    return df.mapInArrow(bounded, schema)
+
+
 class Slice(NamedTuple):
     first: int  # row of the batch the slice begins with
     data: np.ndarray  # uint8

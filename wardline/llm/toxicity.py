@@ -190,7 +190,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
                 part = batch.slice(s.first, s.rows)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(p), pa.array((p >= 0.5).astype(np.int32))], names=[*own, *_SCORED.names])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, *from_arrow_schema(_SCORED).fields]))
+    return text.map_batches(docs, run, StructType([*docs.schema.fields, *from_arrow_schema(_SCORED).fields]))
 
 
 def held_out(doc_id: Column) -> Column:
