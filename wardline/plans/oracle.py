@@ -161,23 +161,62 @@ _full_join = " FULL JOIN ".join(
     for k, n in enumerate(VITALS)
 )
 
-def _walk_tables() -> dict[str, tuple[str, tuple[str, ...]]]:
+def _walk_tables(held: str = "held", kinds: str = "") -> dict[str, tuple[str, tuple[str, ...]]]:
     """The walk written out, one pair of tables per round trip."""
+    sizes, codes, walk, reach = (f"{kinds}{t}" for t in ("sizes", "code_sizes", "walk", "reach"))
     out = {
-        "code_sizes": ("SELECT code, count(*) AS n FROM held GROUP BY ALL", ("held",)),
-        "walk_0": ("SELECT min(patient_id) AS patient_id, 1.0::DOUBLE AS rank FROM held", ("held",)),
+        codes: (f"SELECT code, count(*) AS n FROM {held} GROUP BY ALL", (held,)),
+        f"{walk}_0": (f"SELECT min(patient_id) AS patient_id, 1.0::DOUBLE AS rank FROM {held}", (held,)),
     }
     for i in range(1, WALK_STEPS // 2 + 1):
-        out[f"reach_{i}"] = (
-            f"SELECT h.code, sum(p.rank / s.n) * 0.85 AS rank FROM held h JOIN walk_{i - 1} p "
-            "ON h.patient_id = p.patient_id JOIN sizes s ON s.patient_id = h.patient_id GROUP BY h.code",
-            ("held", "sizes", f"walk_{i - 1}"),
+        out[f"{reach}_{i}"] = (
+            f"SELECT h.code, sum(p.rank / s.n) * 0.85 AS rank FROM {held} h JOIN {walk}_{i - 1} p "
+            f"ON h.patient_id = p.patient_id JOIN {sizes} s ON s.patient_id = h.patient_id GROUP BY h.code",
+            (held, sizes, f"{walk}_{i - 1}"),
         )
-        out[f"walk_{i}"] = (
+        out[f"{walk}_{i}"] = (
             "SELECT patient_id, sum(part) AS rank FROM (SELECT h.patient_id, r.rank / s.n * 0.85 AS part "
-            f"FROM held h JOIN reach_{i} r ON h.code = r.code JOIN code_sizes s ON s.code = h.code "
-            "UNION ALL SELECT min(patient_id), 0.15 FROM held) GROUP BY patient_id",
-            ("held", "code_sizes", f"reach_{i}"),
+            f"FROM {held} h JOIN {reach}_{i} r ON h.code = r.code JOIN {codes} s ON s.code = h.code "
+            f"UNION ALL SELECT min(patient_id), 0.15 FROM {held}) GROUP BY patient_id",
+            (held, codes, f"{reach}_{i}"),
+        )
+    return out
+
+
+def _top_similar(held: str, sizes: str) -> str:
+    return _sql(
+        "SELECT patient_id, round(similarity, 6) AS similarity FROM ("
+        f"SELECT c.c_custkey AS patient_id, coalesce(k, 0) / (coalesce(n, 0) + (SELECT count(*) FROM {held} "
+        f"WHERE patient_id = (SELECT min(patient_id) FROM {held})) - coalesce(k, 0))::DOUBLE AS similarity "
+        f"FROM customer c LEFT JOIN {sizes} s ON s.patient_id = c_custkey LEFT JOIN ("
+        f"SELECT y.patient_id, count(*) AS k FROM {held} x JOIN {held} y ON x.code = y.code "
+        f"WHERE x.patient_id = (SELECT min(patient_id) FROM {held}) GROUP BY ALL) o ON o.patient_id = c_custkey "
+        f"WHERE c_custkey != (SELECT min(patient_id) FROM {held})) t "
+        "ORDER BY t.similarity DESC, t.patient_id LIMIT 10",
+        held, sizes,
+    )
+
+
+def _walk(held: str, walk: str) -> str:
+    return _sql(f"SELECT patient_id, round(rank, 9) AS rank FROM {walk} WHERE patient_id != (SELECT min(patient_id) FROM {held})", held, walk)
+
+
+def _affinity_tables() -> dict[str, tuple[str, tuple[str, ...]]]:
+    """Two rounds of the normalised affinity of shared codes, from all pairs of patients."""
+    out = {
+        "affinity": (
+            "SELECT x.patient_id AS a, y.patient_id AS b, count(*) / sqrt(any_value(s.n) * any_value(t.n)) AS w FROM kinds_held x "
+            "JOIN kinds_held y ON x.code = y.code AND x.patient_id != y.patient_id JOIN kinds_sizes s ON s.patient_id = x.patient_id "
+            "JOIN kinds_sizes t ON t.patient_id = y.patient_id GROUP BY x.patient_id, y.patient_id",
+            ("kinds_held", "kinds_sizes"),
+        ),
+        "affinity_0": ("SELECT a, sum(w) AS d, sum(w) AS v FROM affinity GROUP BY a", ("affinity",)),
+    }
+    for i in (1, 2):
+        out[f"affinity_{i}"] = (
+            f"SELECT x.a, any_value(p.d) AS d, sum(w * q.v) / any_value(p.d) AS v FROM affinity x JOIN affinity_{i - 1} p ON p.a = x.a "
+            f"JOIN affinity_{i - 1} q ON q.a = x.b GROUP BY x.a",
+            ("affinity", f"affinity_{i - 1}"),
         )
     return out
 
@@ -310,6 +349,10 @@ EXTRA: dict[str, tuple[str, tuple[str, ...]]] = {
     "held": ("SELECT DISTINCT patient_id, code FROM facts", ("facts",)),
     "sizes": ("SELECT patient_id, count(*) AS n FROM held GROUP BY ALL", ("held",)),
     **_walk_tables(),
+    "kinds_held": ("SELECT DISTINCT patient_id, kind || ':' || code AS code FROM graph_facts", ("graph_facts",)),
+    "kinds_sizes": ("SELECT patient_id, count(*) AS n FROM kinds_held GROUP BY ALL", ("kinds_held",)),
+    **_walk_tables("kinds_held", "kinds_"),
+    **_affinity_tables(),
     "cohorts": (
         "SELECT subject_id, max(c = 'predicted') AS predicted, max(c = 'martin') AS martin, "
         "max(c = 'angus') AS angus, max(c = 'explicit') AS explicit FROM ("
@@ -596,22 +639,11 @@ ORACLE: dict[str, str] = {
         f"WHERE similarity >= {SIMILAR} - 1e-12",
         "held", "sizes",
     ),
-    "jaccard_top10": _sql(
-        "SELECT patient_id, round(similarity, 6) AS similarity FROM ("
-        "SELECT c.c_custkey AS patient_id, coalesce(k, 0) / (coalesce(n, 0) + (SELECT count(*) FROM held "
-        "WHERE patient_id = (SELECT min(patient_id) FROM held)) - coalesce(k, 0))::DOUBLE AS similarity "
-        "FROM customer c LEFT JOIN sizes s ON s.patient_id = c_custkey LEFT JOIN ("
-        "SELECT y.patient_id, count(*) AS k FROM held x JOIN held y ON x.code = y.code "
-        "WHERE x.patient_id = (SELECT min(patient_id) FROM held) GROUP BY ALL) o ON o.patient_id = c_custkey "
-        "WHERE c_custkey != (SELECT min(patient_id) FROM held)) t "
-        "ORDER BY t.similarity DESC, t.patient_id LIMIT 10",
-        "held", "sizes",
-    ),
-    "random_walk": _sql(
-        f"SELECT patient_id, round(rank, 9) AS rank FROM walk_{WALK_STEPS // 2} "
-        "WHERE patient_id != (SELECT min(patient_id) FROM held)",
-        f"walk_{WALK_STEPS // 2}",
-    ),
+    "jaccard_top10": _top_similar("held", "sizes"),
+    "jaccard_top10_kinds": _top_similar("kinds_held", "kinds_sizes"),
+    "random_walk": _walk("held", f"walk_{WALK_STEPS // 2}"),
+    "random_walk_kinds": _walk("kinds_held", f"kinds_walk_{WALK_STEPS // 2}"),
+    "code_affinity": _sql("SELECT a AS patient_id, round(v, 6) AS value FROM affinity_2", "affinity_2"),
     "baum_welch_step": _sql(_round_of_training(), "gammas", "steps"),
     "transition_counts": _sql(
         "SELECT state, next_state, count(*) AS n FROM (SELECT state, lead(state) OVER (PARTITION BY seq_id ORDER BY t) "

@@ -226,8 +226,22 @@ def _random_walk(w: Ward) -> DataFrame:
     return rounded(graph.random_walk(w.facts, start, iterations=WALK_STEPS), "rank", places=9)
 
 
+def _top_similar_kinds(w: Ward) -> DataFrame:
+    chosen = w.graph_facts.agg(F.min("patient_id")).scalar()
+    return rounded(graph.jaccard_one_vs_all(w.graph_patients, w.graph_facts, chosen), "similarity")
+
+
+def _random_walk_kinds(w: Ward) -> DataFrame:
+    start = w.graph_facts.agg(F.min("patient_id")).first()[0]
+    return rounded(graph.random_walk(w.graph_facts, start, iterations=WALK_STEPS), "rank", places=9)
+
+
+def _affinity(w: Ward) -> DataFrame:
+    return rounded(graph.code_affinity(w.graph_facts, iterations=2, tolerance=0.0), "value")
+
+
 def _clusters(w: Ward) -> DataFrame:
-    return graph.power_iteration_clusters(graph.jaccard_pairs(w.graph_facts, SIMILAR))
+    return graph.code_clusters(w.graph_facts)
 
 
 def _path_loglik(w: Ward) -> DataFrame:
@@ -458,6 +472,9 @@ QUERIES: dict[str, Query] = {
     "jaccard_all": _pairs,
     "jaccard_top10": _top_similar,
     "random_walk": _random_walk,
+    "jaccard_top10_kinds": _top_similar_kinds,
+    "random_walk_kinds": _random_walk_kinds,
+    "code_affinity": _affinity,
     "pic_clusters": _clusters,
     # sequence models
     "transition_counts": lambda w: fit.transition_counts(w.labelled_steps),
