@@ -138,3 +138,42 @@ def test_classifiers_separate_the_labels(spark):
     assert set(table) == {"intercept", *classify.FEATURES} and table["age"] > 0
     p = classify.sgd_probabilities(m, ["icustay_id"]).collect()
     assert len(p) == 200 and all(r["p0"] + r["p1"] == pytest.approx(1.0) for r in p)
+
+
+def plain_descent(rows, w, seen, alpha=1e-4, mix=0.15):
+    """One pass written out step by step."""
+    import math
+
+    offset = 1 / (alpha * math.sqrt(1 / math.sqrt(alpha)))
+    for t, (label, *x) in enumerate(rows, seen):
+        eta = 1 / (alpha * (offset + t))
+        p = 1 / (1 + math.exp(-max(-700, min(700, sum(a * b for a, b in zip(w, x)) + w[-1]))))
+        for i, v in enumerate(x):
+            moved = w[i] * (1 - eta * alpha * (1 - mix)) + eta * (label - p) * v
+            w[i] = math.copysign(max(abs(moved) - eta * alpha * mix, 0.0), moved)
+        w[-1] += eta * (label - p)
+    return w
+
+
+def test_stochastic_passes_equal_the_steps_written_out(spark):
+    rnd = __import__("random").Random(6)
+    rows = [(i, i % 3 == 0, rnd.gauss(1.0 if i % 3 == 0 else -1.0, 1.0), rnd.gauss(0, 1)) for i in range(300)]
+    m = spark.createDataFrame([(i, int(label), a, b) for i, label, a, b in rows], "id long, label int, a double, b double")
+    order = [r["id"] for r in m.selectExpr("id", "xxhash64(id) AS h").orderBy("h").collect()]
+    by_id = {r[0]: r[1:] for r in rows}
+    w = [0.0] * 3
+    for p in range(2):
+        w = plain_descent([by_id[i] for i in order], w, 300 * p)
+    for parts in (1, 5):
+        assert classify.fit_sgd(m.repartition(parts), ["id"], ["a", "b"]) == pytest.approx(w)
+    assert w[0] > 0.1
+    # several shards: passes from the same weights, averaged by their rows
+    shards = {r["id"]: r["s"] for r in m.selectExpr("id", "pmod(shiftright(xxhash64(id), 8), 4) AS s").collect()}
+    average, seen = [0.0] * 3, 0
+    for _ in range(2):
+        parts = [[by_id[i] for i in order if shards[i] == s] for s in range(4)]
+        made = [(len(part), plain_descent(part, list(average), seen)) for part in parts]
+        average = [sum(n * v[k] for n, v in made) / 300 for k in range(3)]
+        seen += max(len(part) for part in parts)
+    assert classify.fit_sgd(m.repartition(7), ["id"], ["a", "b"], shard_rows=75) == pytest.approx(average)
+    assert classify.fit_sgd(m.limit(0), ["id"], ["a", "b"]) == [0.0] * 3

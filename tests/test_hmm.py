@@ -392,3 +392,18 @@ def test_a_very_long_sequence_is_bounded_in_every_task(spark):
     short = decode.log_likelihoods(df.where("t < 97000"), REAL).first()["log_likelihood"]
     whole = decode.log_likelihoods(df, REAL).first()["log_likelihood"]
     assert whole / 3_000_000 == pytest.approx(short / 97_000, rel=1e-3)
+
+
+def test_unseen_sequences_are_scored_by_the_fit_of_the_others(spark):
+    sequences = random_sequences(7, n=6)
+    df = steps(spark, sequences)
+    split = spark.createDataFrame([(s, "train" if s < 4 else "test") for s in sequences], "seq_id long, part string")
+    table, scores = train.held_out(df, split, iterations=2)
+    seen = df.where("seq_id < 4")
+    model = train.baum_welch(seen, train.gaussian_start(seen), 2)
+    assert train._numbers(train.gaussian_model(table)) == pytest.approx(train._numbers(model))
+    got = {r["seq_id"]: r for r in scores.collect()}
+    assert sorted(got) == [4, 5]
+    for s, r in got.items():
+        assert r["log_likelihood"] == pytest.approx(math.log(plain(model, sequences[s])[0])) and r["n_steps"] == len(sequences[s])
+        assert r["per_step"] == pytest.approx(r["log_likelihood"] / r["n_steps"])

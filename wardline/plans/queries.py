@@ -321,6 +321,13 @@ def _gaussian_hmm_predict(w: Ward) -> DataFrame:
     return decode.posterior(w.steps, model)
 
 
+def _held_out(w: Ward) -> DataFrame:
+    """Three quarters of each file's sequences fit the model, the others are scored by it."""
+    sequences = w.steps.select("seq_id", (F.col("seq_id") % 10).alias("file")).distinct()
+    split = cut_lineage(sampling.split_sequences(sequences, "file", "seq_id"))
+    return rounded(train.held_out(w.steps, split)[1], "log_likelihood", "per_step")
+
+
 def _kmeans(w: Ward) -> DataFrame:
     points = w.table("embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("x"))
     centres = kmeans.kmeans(points, "x", ["vec_id"], 10)
@@ -506,6 +513,7 @@ QUERIES: dict[str, Query] = {
     "baum_welch_table": _baum_welch_table,
     "gaussian_hmm_predict": _gaussian_hmm_predict,
     "vector_hmm_predict": _vector_hmm_predict,
+    "hmm_held_out": _held_out,
     "hmm_kmeans": _hmm_kmeans,
     "kmeans": _kmeans,
     # classifiers
