@@ -96,3 +96,14 @@ def test_queries_run(spark):
     n = documents(spark).count()
     for name in ("op2_compression_bands", "op3_decontamination"):
         assert queries.QUERIES[name](spark, FOLDER).count() == n
+
+
+def test_blocks_with_clashing_columns(spark):
+    item = " ".join(f"w{i}" for i in range(14))
+    rows = [(1, f"a {item} b", 5, "x", 7), (2, "none of it", 6, None, 8), (3, None, 1, "y", 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, was_items int, was_hit_spans string, items int")
+    items = spark.createDataFrame([(1, item), (2, "none of")], "item_id long, text string")
+    found = decontaminate.find(docs, items, block_windows=2)
+    got = {r["doc_id"]: (r["was_items"], r["was_hit_spans"], r["hit_spans"], r["items"]) for r in found.collect()}
+    assert got == {1: (5, "x", [[1, 15]], ["1"]), 2: (6, None, [[0, 2]], ["2"]), 3: (1, "y", [], [])}
+    assert decontaminate.clean(docs, items).columns == docs.columns

@@ -17,6 +17,7 @@ from pyspark.sql.pandas.types import from_arrow_schema
 from pyspark.sql.types import StructType
 
 from wardline.llm import text
+from wardline.llm.scratch import written
 
 WINDOW = 10
 #: Windows in one broadcast block: some 100 bytes each.
@@ -149,7 +150,10 @@ def find(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str
     if blocks == 1:
         return _scan(docs, text_col, windows.collect())
     dealt = windows.withColumn("_block", F.pmod(F.xxhash64("window"), F.lit(blocks)))
-    # the later blocks only add to what an earlier pass has found
+    before = "was_"
+    while any(c.startswith(before) for c in docs.columns):
+        before = f"_{before}"
+    # the later blocks only add to what an earlier pass has found; a pass is written before the next block is fetched
     out = docs
     for b in range(blocks):
         found = _scan(out, text_col, dealt.where(F.col("_block") == b).drop("_block").collect())
@@ -157,13 +161,13 @@ def find(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str
             found = found.select(
                 *[found[f"`{c}`"] for c in docs.columns],
                 "n_words",
-                _merged(F.concat("was_hit_spans", "hit_spans")).alias("hit_spans"),
-                _merged(F.concat("was_byte_spans", "byte_spans")).alias("byte_spans"),
-                F.array_sort(F.array_union("was_items", "items")).alias("items"),
+                _merged(F.concat(f"{before}hit_spans", "hit_spans")).alias("hit_spans"),
+                _merged(F.concat(f"{before}byte_spans", "byte_spans")).alias("byte_spans"),
+                F.array_sort(F.array_union(f"{before}items", "items")).alias("items"),
             )
-        out = found
-        if b < blocks - 1:
-            out = out.withColumnsRenamed({c: f"was_{c}" for c in added[1:]}).drop("n_words")
+        if b == blocks - 1:
+            return found
+        out = written(found, "hits").withColumnsRenamed({c: f"{before}{c}" for c in added[1:]}).drop("n_words")
     return out
 
 
