@@ -106,3 +106,15 @@ def test_matrix_equals_its_steps_and_repeats_hours_of_repeated_labels(spark):
         got = grid.labelled_matrix(features, b, given).select(*want.columns)
         assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
         assert want.count() > 50
+
+
+def test_a_sample_filters_where_tables_are_read(spark):
+    from wardline.plans.bindings import Ward
+
+    ward = Ward(spark, "/root/testdata/sf0.001")
+    drawn = spark.createDataFrame([(1,), (7,)], "subject_id long")
+    few = ward.restricted(drawn)
+    whole = {tuple(r) for r in ward.matrix.where("subject_id IN (1, 7)").collect()}
+    assert {tuple(r) for r in few.matrix.collect()} == whole
+    plan = few.features._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LeftSemi") >= 2  # events and stays

@@ -16,6 +16,7 @@ from wardline.functions.items import CULTURE_SPECIMENS
 from wardline.operators import onset
 from wardline.operators.features import wide_features
 from wardline.operators.grid import labelled_matrix
+from wardline.operators.sampling import keep_subjects
 from wardline.operators.stays import adult_stays, stay_bounds
 from wardline.session import use_utc
 
@@ -244,6 +245,13 @@ class Ward:
     def matrix(self) -> DataFrame:
         return labelled_matrix(self.features, self.bounds, self.labels)
 
+    def restricted(self, subjects: DataFrame) -> "Ward":
+        """The same tables for some subjects only, filtered where they are read: all that is derived from them is small too."""
+        out = Ward(self.spark, self.folder)
+        for name in ("chart", "stays", "patients", "inputs", "cultures", "scores"):
+            setattr(out, name, keep_subjects(getattr(self, name), subjects))
+        return out
+
 
 def _sql_items() -> str:
     arms = " ".join(

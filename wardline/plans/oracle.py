@@ -537,6 +537,9 @@ ORACLE: dict[str, str] = {
     "unlabelled_matrix": _sql(
         f"SELECT {_STAY_HOUR}, 0 AS label, {_round((*_MATRIX_VITALS, 'gcs'))}, age FROM matrix", "matrix"
     ),
+    "sampled_matrix": _sql(
+        f"SELECT {_matrix_columns} FROM matrix WHERE subject_id IN (SELECT subject_id FROM stays WHERE {_DRAW})", "matrix", "stays"
+    ),
     "infection_pairs": _sql("SELECT * FROM windows", "windows"),
     "score_windows": _sql(
         "SELECT subject_id, charttime, starttime, max(score) AS max_score, min(score) AS min_score, "
@@ -574,6 +577,10 @@ ORACLE: dict[str, str] = {
         "AND CAST(l_quantity AS INTEGER) > n_nationkey * 2 GROUP BY ALL"
     ),
     "cohort_overlap": _sql(" UNION ALL ".join(_share(a, b) for a, b in _pair_names), "cohorts"),
+    "common_scores": _sql(
+        "SELECT * FROM scores WHERE subject_id IN (SELECT subject_id FROM inputs) AND subject_id IN (SELECT subject_id FROM cultures)",
+        "scores", "inputs", "cultures",
+    ),
     "common_patients": _sql(
         "SELECT subject_id FROM inputs INTERSECT SELECT subject_id FROM cultures INTERSECT SELECT subject_id FROM scores",
         "inputs", "cultures", "scores",

@@ -126,6 +126,12 @@ def _matrix(labelled: bool) -> Query:
     return run
 
 
+def _sampled_matrix(w: Ward) -> DataFrame:
+    """The labelled matrix of a sample of patients; their ids filter events, stays and scores before any join."""
+    drawn = cut_lineage(sampling.sample_patients(w.stays, SAMPLE_RATE))
+    return _matrix(labelled=True)(w.restricted(drawn))
+
+
 def _bounds(older: bool) -> Query:
     def run(w: Ward) -> DataFrame:
         if not older:
@@ -167,6 +173,11 @@ def _common(w: Ward) -> DataFrame:
     return cohorts.common_subjects(w.inputs, w.cultures, w.scores)
 
 
+def _common_scores(w: Ward) -> DataFrame:
+    """Scores of the patients that have drugs, cultures and scores."""
+    return cohorts.keep_common(w.scores, w.inputs, w.cultures)[0]
+
+
 def _flag_counts(w: Ward) -> DataFrame:
     labs = w.table("lineitem").select(
         F.col("l_suppkey").alias("subject_id"), F.col("l_partkey").alias("itemid"),
@@ -441,6 +452,7 @@ QUERIES: dict[str, Query] = {
     "fill_both": _fill(grid.fill_both),
     "labelled_matrix": _matrix(labelled=True),
     "unlabelled_matrix": _matrix(labelled=False),
+    "sampled_matrix": _sampled_matrix,
     # onset
     "infection_pairs": lambda w: w.windows,
     "score_windows": lambda w: onset.score_windows(w.windows, w.scores),
@@ -459,6 +471,7 @@ QUERIES: dict[str, Query] = {
     "code_range_counts": _code_ranges,
     "cohort_overlap": _overlap,
     "common_patients": _common,
+    "common_scores": _common_scores,
     "non_septic": lambda w: cohorts.non_septic(w.stays, w.labels),
     "stay_label": lambda w: cohorts.stay_labels(w.matrix),
     "stay_lengths": lambda w: cohorts.stay_lengths(w.matrix, 7),
