@@ -27,7 +27,7 @@ HEADLINE = (
     "labelled_matrix", "infection_pairs", "score_windows", "onset_by_subject", "onset_by_stay",
     "item_counts", "flag_counts", "code_range_counts", "cohort_overlap", "sequence_index",
     "sample_strata", "split_sequences", "graph_edges", "jaccard_all", "jaccard_top10",
-    "random_walk", "seq_loglik", "viterbi_path", "posterior", "fit_multi", "baum_welch",
+    "random_walk", "pic_clusters", "seq_loglik", "viterbi_path", "posterior", "fit_multi", "baum_welch",
     "hmm_kmeans", "kmeans", "elastic_net", "parse_tuples",
 )
 
