@@ -43,10 +43,78 @@ def test_common_blocks_go_from_the_later_document(spark):
     assert _dedup(spark, rows) == sorted(want, key=str)
 
 
-def test_a_line_of_all_documents_makes_no_pair(spark):
-    common = "a line that stands in every one of the documents here"
-    rows = [(i, f"{common}\nwords of its own for document {i} only") for i in range(200)]
-    assert _dedup(spark, rows) == sorted(rows, key=str)
+def test_lines_of_all_documents_go_by_their_words_alone(spark):
+    long, short = "a line that stands in every one of the documents here", "fewer words: incomprehensibilities, notwithstanding"
+    own = "words of document {} alone\nthat no other document has, {}"
+    for n in (6, 200):
+        rows = [(i, f"{short if i % 2 else long}\n{own.format(i, i)}") for i in range(2 * n)]
+        got = dict(_dedup(spark, rows))
+        assert got[0] == rows[0][1]
+        assert all(got[i] == (rows[i][1] if i % 2 else own.format(i, i)) for i in range(1, 2 * n))
+
+
+def test_passages_in_any_order_all_go(spark):
+    rng = random.Random(2)
+    passages = [[f"passage {p} line {i} with a number of words in it" for i in range(3)] for p in range(7)]
+    rows = []
+    for d in range(60):
+        rng.shuffle(passages)
+        rows.append((d, f"own {d}\n" + f"\nthen {d}\n".join("\n".join(x) for x in passages)))
+    got = dict(_dedup(spark, rows))
+    assert got[0] == rows[0][1] and not any("passage" in got[d] for d in range(1, 60))
+
+
+def _bounds(rows):
+    """Lines that must go and lines that may go, of each text, from all pairs and all their common blocks."""
+    first = {}
+    for d, t in rows:
+        first.setdefault(t, d)
+    texts = {d: t.split("\n") for d, t in rows}
+    must, may = {d: set() for d in texts}, {d: set() for d in texts}
+    for d, own in texts.items():
+        for e, earlier in texts.items():
+            if e >= d:
+                continue
+            where = {}
+            for i, x in enumerate(earlier):
+                where.setdefault(x, []).append(i)
+            for j, x in enumerate(own):
+                for i in where.get(x, ()):
+                    if i and j and earlier[i - 1] == own[j - 1]:
+                        continue
+                    n = 0
+                    while i + n < len(earlier) and j + n < len(own) and earlier[i + n] == own[j + n]:
+                        n += 1
+                    block = own[j : j + n]
+                    if sum(len(y.encode()) for y in block) >= align.MIN_BLOCK_BYTES:
+                        may[d] |= set(range(j, j + n))
+                        if sum(len(y.split()) for y in block) >= align.MIN_WORDS and first[rows_text(own)] == d:
+                            must[d] |= set(range(j, j + n))
+    return must, may
+
+
+def rows_text(lines):
+    return "\n".join(lines)
+
+
+def test_removed_lines_against_all_pairs(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    rows = [tuple(r) for r in docs.where("text is not null").collect()]
+    rng = random.Random(9)
+    some = [t.split("\n") for _, t in rows if 3 < t.count("\n") < 30]
+    top = max(d for d, _ in rows) + 1
+    for d in range(top, top + 80):  # blocks of three texts each, with lines between them
+        made = []
+        for _ in range(3):
+            x = rng.choice(some)
+            a = rng.randrange(len(x) - 1)
+            made += [f"between {d}", *x[a : a + rng.randrange(1, 5)]]
+        rows.append((d, "\n".join(made)))
+    must, may = _bounds(rows)
+    got = {r["row"]["doc_id"]: set(r["removed"]) for r in align.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sum(map(len, must.values())) > 100
+    for d in got:
+        assert must[d] <= got[d] <= may[d], d
 
 
 def test_many_near_copies(spark):
@@ -119,7 +187,7 @@ def test_windows_cover_blocks():
 
 def test_all_earlier_holders_of_a_rare_line_are_met(spark):
     own = [f"a line of document {d} and of no other document" for d in range(120)]
-    common = "this line stands in so many documents that it makes no pair"
+    common = "standing nearly everywhere: incomprehensibly makes no pair"  # below the words of a block
     rows = [(d, f"{own[d]}\n{common}\n{own[d]} end") for d in range(60)] + [(d, own[d]) for d in range(60, 100)]
     rows += [(100, f"{LINES[0]}\n{own[100]}"), (101, f"{own[101]}\n{LINES[0]}\nnext\n{common}"), (102, f"{LINES[0]}\n{own[102]}\n{common}")]
     got = dict(_dedup(spark, rows))

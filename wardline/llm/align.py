@@ -1,12 +1,16 @@
 """Line dedup by pairwise alignment.
 
 Documents that overlap are found in three ways. Exact copies lead to the first document with
-their text. Each line that a document holds once leads to the first document with that line, and
-the lines' rarity adds up over the pair. Each run of shared lines that is rare or long enough to
-make a pair alone leads to the first document with that run and, as long as alignment leaves a
-line of it in place, to the later ones that come before the document. A document with a shared
-block still in place then meets every earlier holder of that block with which it shares a rare
-line. Pairs are aligned by patience diff, and the common blocks go from the later document.
+their text. Each line that a document holds leads to the first document with that line, and the
+lines' rarity adds up over the pair. Each run of shared lines that is rare or long enough to make
+a pair alone leads to the first document with that run and, as long as alignment leaves a line of
+it in place, to some later ones that come before the document. Pairs are aligned by patience diff,
+and the common blocks go from the later document. Of a run that is still in place then, the block
+is aligned with the same block of its first holder, where all lines match. A document with a
+shorter shared block in place at last meets the few earlier holders of its rare lines.
+
+Rarity, bytes and words of a run don't depend on the number of documents, so two documents are
+cleaned alike in a small table and in a large one.
 """
 
 from __future__ import annotations
@@ -25,14 +29,14 @@ from wardline.llm.scratch import written
 
 #: Shorter lines find no pairs; in a common block they go with the rest.
 MIN_LINE_BYTES = 16
-#: Rarity that a pair's shared lines must add up to. A line that two texts hold has 1, one that
-#: a share x of all texts holds has log(1 / x) / log(texts). Exact copies count as one text.
+#: Rarity that a pair's shared lines must add up to. A line that n texts hold has 1 / log2(n), so
+#: one that two hold has 1, and a line of up to four makes a pair alone. Copies count as one text.
 MIN_WEIGHT = 0.5
-#: A run of more words makes a pair however many documents hold it.
-MAX_WORDS = 50
+#: A run of so many words makes a pair however many documents hold it.
+MIN_WORDS = 8
 #: Common blocks of fewer bytes stay.
 MIN_BLOCK_BYTES = 40
-#: Rounds in which a run that is still in place tries one more holder; then it tries all others.
+#: Rounds in which a run that is still in place tries one more holder; then its block goes alone.
 SINGLE_ROUNDS = 4
 
 
@@ -82,13 +86,13 @@ def windows(
         weight = 0.0
         e = a
         for i in range(a, b):
-            while e < b and not (size >= min_block_bytes and (weight >= min_weight or count > MAX_WORDS)):
+            while e < b and not (size >= min_block_bytes and (weight >= min_weight or count >= MIN_WORDS)):
                 size, count = size + sizes[e], count + words[e]
                 held[lines[e]] += 1
                 if held[lines[e]] == 1:
                     weight += weights.get(lines[e], 0.0)
                 e += 1
-            if not (size >= min_block_bytes and (weight >= min_weight or count > MAX_WORDS)):
+            if not (size >= min_block_bytes and (weight >= min_weight or count >= MIN_WORDS)):
                 break
             ends.append(e - 1)
             out.add((i, e - 1))
@@ -116,10 +120,8 @@ def meetings(lines: DataFrame, min_weight: float = MIN_WEIGHT, min_line_bytes: i
     told = lines.select("doc_id", "version", F.array_distinct(F.transform(one, lambda x: x["lines"])).alias("own"))
     each = told.select("doc_id", "version", F.explode("own").alias("line"))
     held = each.groupBy("line").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count(F.lit(1)).alias("holders"))
-    total = lines.agg(F.greatest(F.count(F.lit(1)), F.lit(3)).alias("documents"))
-    rare = held.where("first < last").crossJoin(F.broadcast(total))  # one row
-    others = F.col("holders") - 1
-    weighed = rare.select("line", "first", (F.ln(F.col("documents") / others) / F.ln("documents")).alias("weight"))
+    # two texts at least, since first < last
+    weighed = held.where("first < last").select("line", "first", (1 / F.log2("holders")).alias("weight"))
     met = each.join(weighed, "line").groupBy("doc_id", "version").agg(F.collect_list(F.struct("line", "first", "weight")).alias("met"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,20 +273,21 @@ def overlaps(lines: DataFrame) -> DataFrame:
     by_run = open_runs.select("doc_id", "version", F.col("tried").alias("first"))
     found = written(by_line.unionByName(by_run).distinct(), "pairs")
     gone = written(removed_lines(lines, copies.select("doc_id", "version", "first").unionByName(found)), "removed")
-    rounds, tries_left = 0, True
-    while tries_left and rounds <= SINGLE_ROUNDS:
+    for _ in range(SINGLE_ROUNDS):
         left = _in_place(open_runs, gone)
         holders = shared.where("alone").select("run", F.col("doc_id").alias("first"))
         holders = holders.join(left.groupBy("run").agg(F.min("tried").alias("before")), "run").where("first > before")
-        holders = holders.groupBy("run").agg(F.min("first").alias("first")) if rounds < SINGLE_ROUNDS else holders.select("run", "first").distinct()
+        holders = holders.groupBy("run").agg(F.min("first").alias("first"))
         open_runs = written(left.join(holders, "run").where("first < doc_id").drop("tried").withColumnRenamed("first", "tried"), "runs")
+        if open_runs.isEmpty():
+            break
         more = open_runs.select("doc_id", "version", F.col("tried").alias("first")).distinct()
-        tries_left = not open_runs.isEmpty()
-        if tries_left:
-            gone = written(_united(gone.unionByName(removed_lines(lines, more))), "removed")
-            found = found.unionByName(more)
-        rounds += 1
-    # a rare line has few holders, so these pairs are few
+        gone = written(_united(gone.unionByName(removed_lines(lines, more))), "removed")
+        found = found.unionByName(more)
+    # the block of such a run and that of its first holder are equal lists, which match in full
+    blocks = _in_place(shared.where("alone and doc_id > tried"), gone).select("doc_id", "version", F.sequence("start", "end").alias("removed"))
+    gone = written(_united(gone.unionByName(blocks)), "removed")
+    # a rare line has at most four holders
     left = written(_in_place(shared.where("doc_id > tried"), gone).select("doc_id", "version", "run"), "runs")
     rare = met.select("doc_id", "version", F.explode("rare").alias("line"))
     later = rare.join(left.select("doc_id", "version").distinct(), ["doc_id", "version"], "left_semi")
@@ -334,7 +337,9 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 def clean(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The documents without the lines that go; those left without a word go too.
 
-    A text that had no word before stays as it was. The columns are those of ``docs``.
+    A text that had no word before stays as it was, a null one too. The columns are those of
+    ``docs``, whatever their names. Rows that repeat an id take nothing from each other and all
+    stay, as do rows without an id; an empty table stays empty.
     """
     done = dedup(docs, text_col=text_col)
     stays = (F.size("removed") == 0) | F.col("kept_text").rlike(r"[^\x20\x09-\x0D]")
