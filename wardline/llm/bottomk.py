@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
 from wardline.llm import text
 from wardline.llm.components import components
@@ -219,8 +220,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """One document of each group, the one with the smallest id, with the columns it came with.
 
-    Of rows that repeat an id, one stays. Rows without an id all stay.
+    Of rows that repeat an id, the one with the least hash of its plain columns stays, so the same
+    one in each run. Rows without an id all stay; an empty table stays empty.
     """
     ids = near_duplicates(docs, words=words, percent=percent).where("kept and doc_id is not null").select("doc_id").distinct()
-    stay = docs.where(F.col("doc_id").isNotNull()).join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return stay.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+    stay = docs.where(F.col("doc_id").isNotNull()).join(ids, "doc_id", "left_semi")
+    plain = [f"`{f.name}`" for f in docs.schema if isinstance(f.dataType, AtomicType)]
+    row = F.struct(*[stay[f"`{c}`"] for c in docs.columns])
+    one = stay.groupBy("doc_id").agg(F.min_by(row, F.xxhash64(*plain)).alias("_row")).select("_row.*")
+    return one.unionByName(docs.where(F.col("doc_id").isNull()))
