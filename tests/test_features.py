@@ -120,6 +120,19 @@ def test_unknown_items_are_dropped(spark):
     assert [r["itemid"] for r in got] == [211]
 
 
+def test_feature_tables_leave_out_items_of_no_dictionary(spark):
+    preferred, other = items.DIASTOLIC[:2]
+    rows = [(1, START, preferred, 60.0), (1, START, other, 70.0), (1, START, 211, 80.0)]
+    d_items = spark.createDataFrame([(other, "a", "x"), (other, "b", "x")], "itemid int, label string, category string")
+    one = feature_table(chart(spark, rows), one_stay(spark), items.DIASTOLIC, with_item=True, d_items=d_items).collect()
+    assert [(r["itemid"], r["value"]) for r in one] == [(other, 70.0)]
+    hours = features.wide_hours(chart(spark, rows), one_stay(spark), d_items=d_items).collect()
+    assert [(r["bp_dia"], r["heart_rate"]) for r in hours] == [(70.0, None)]
+    assert features.wide_hours(chart(spark, rows), one_stay(spark), d_items=d_items.limit(0)).count() == 0
+    raw = features.first_raw_readings(chart(spark, rows), one_stay(spark), items.DIASTOLIC, d_items=d_items).collect()
+    assert [r["itemid"] for r in raw] == [other]
+
+
 def test_hot_subject_on_one_day_is_counted_whole(spark):
     """A third of all events fall on one subject and day."""
     n = 20_000

@@ -15,12 +15,14 @@ from wardline.operators.stays import SHIFTED_AGE_YEARS, in_stay
 STAY_HOUR = ("subject_id", "icustay_id", "charttime")
 
 
-def known_items(chart: DataFrame, d_items: DataFrame, items: Sequence[int]) -> DataFrame:
-    """Chart rows whose item is wanted and listed in the dictionary.
+def known_items(chart: DataFrame, d_items: DataFrame | None, items: Sequence[int]) -> DataFrame:
+    """Chart rows whose item is wanted and, where a dictionary is given, listed in it.
 
     The id list is pushed to both sides; the dictionary side is then at most one row per
     wanted id, which bounds the broadcast.
     """
+    if d_items is None:
+        return chart.where(F.col("itemid").isin(*items))
     wanted = d_items.where(F.col("itemid").isin(*items)).select("itemid").distinct()
     return chart.where(F.col("itemid").isin(*items)).join(
         F.broadcast(wanted), "itemid", "left_semi"
@@ -56,9 +58,13 @@ def feature_table(
     ladder: Sequence[int],
     name: str = "value",
     with_item: bool = False,
+    d_items: DataFrame | None = None,
 ) -> DataFrame:
-    """One reading per stay and hour, chosen by ladder; one shuffle after the stay join."""
-    rows = stay_hours(chart.where(F.col("itemid").isin(*ladder)), stays)
+    """One reading per stay and hour, chosen by ladder; one shuffle after the stay join.
+
+    With ``d_items``, only items of the dictionary count.
+    """
+    rows = stay_hours(known_items(chart, d_items, ladder), stays)
     is_temperature = set(ladder) <= set(TEMPERATURE) and len(ladder) > 1
     pick_value = folds.temperature_value if is_temperature else folds.ladder_value
     pick_item = folds.temperature_item if is_temperature else folds.ladder_item
@@ -72,14 +78,16 @@ def wide_hours(
     chart: DataFrame,
     stays: DataFrame,
     features: Mapping[str, Sequence[int]] = WIDE_FEATURES,
+    d_items: DataFrame | None = None,
 ) -> DataFrame:
     """All features of a stay hour in one row.
 
     A full outer join of one-row-per-hour tables is the same as one grouped pass, so the
-    events are read once and shuffled once, whatever the number of features.
+    events are read once and shuffled once, whatever the number of features; the dictionary is
+    joined once, too.
     """
     ids = sorted({i for ladder in features.values() for i in ladder})
-    rows = stay_hours(chart.where(F.col("itemid").isin(*ids)), stays)
+    rows = stay_hours(known_items(chart, d_items, ids), stays)
     picked = []
     for name, ladder in features.items():
         pick = folds.temperature_value if name == "temp_f" else folds.ladder_value
@@ -92,13 +100,14 @@ def wide_features(
     chart: DataFrame,
     adults: DataFrame,
     features: Mapping[str, Sequence[int]] = WIDE_FEATURES,
+    d_items: DataFrame | None = None,
 ) -> DataFrame:
     """Wide hours with whole-year ages; adult stays without events keep one empty row.
 
     ``adults`` comes from :func:`adult_stays`. Hours are built over all of them, ages only
     over the newer recording system and below 150 years.
     """
-    hours = wide_hours(chart, adults, features).withColumnRenamed("subject_id", "_subject")
+    hours = wide_hours(chart, adults, features, d_items).withColumnRenamed("subject_id", "_subject")
     ages = adults.where(
         (F.col("dbsource") == "metavision") & (F.col("age") < SHIFTED_AGE_YEARS)
     ).select("subject_id", "icustay_id", "age")
@@ -111,9 +120,9 @@ def wide_features(
     )
 
 
-def temperature_pair(chart: DataFrame, stays: DataFrame) -> DataFrame:
+def temperature_pair(chart: DataFrame, stays: DataFrame, d_items: DataFrame | None = None) -> DataFrame:
     """Celsius and Fahrenheit hourly means side by side, full outer on (stay, hour)."""
-    rows = stay_hours(chart.where(F.col("itemid").isin(TEMP_C, TEMP_F)), stays)
+    rows = stay_hours(known_items(chart, d_items, [TEMP_C, TEMP_F]), stays)
     means = rows.groupBy(*STAY_HOUR, "itemid").agg(F.avg("valuenum").alias("mean"))
     celsius = means.where(F.col("itemid") == TEMP_C).select(
         F.col("subject_id").alias("c_subject_id"), "icustay_id", "charttime",
@@ -172,12 +181,16 @@ def labelled_raw_mean(chart: DataFrame, d_items: DataFrame, items: Sequence[int]
 
 
 def first_raw_readings(
-    chart: DataFrame, stays: DataFrame, ladder: Sequence[int], n: int | None = None
+    chart: DataFrame,
+    stays: DataFrame,
+    ladder: Sequence[int],
+    n: int | None = None,
+    d_items: DataFrame | None = None,
 ) -> DataFrame:
     """Ladder reading at raw time over the item means, or over the first ``n`` of them in key order."""
     keys = ("subject_id", "icustay_id", "charttime")
     bounds = stays.select("subject_id", "icustay_id", "intime", "outtime")
-    rows = in_stay(chart.where(F.col("itemid").isin(*ladder)), bounds)
+    rows = in_stay(known_items(chart, d_items, ladder), bounds)
     first = rows.groupBy(*keys, "itemid").agg(F.avg("valuenum").alias("mean"))
     if n is not None:
         first = first.orderBy(*keys, "itemid").limit(n)

@@ -31,7 +31,7 @@ def _list(ids: Sequence[int]) -> str:
 def _matched(stays: str) -> str:
     return (
         "SELECT c.subject_id, s.icustay_id, date_trunc('hour', c.charttime) AS charttime, c.itemid, c.valuenum "
-        f"FROM chart c JOIN {stays} s ON c.subject_id = s.subject_id "
+        f"FROM chart c JOIN d_items d ON c.itemid = d.itemid JOIN {stays} s ON c.subject_id = s.subject_id "
         "AND c.charttime >= s.intime AND c.charttime <= s.outtime"
     )
 
@@ -248,9 +248,9 @@ def _round_of_training() -> str:
 
 
 EXTRA: dict[str, tuple[str, tuple[str, ...]]] = {
-    "matched": (_matched("adults"), ("chart", "adults")),
+    "matched": (_matched("adults"), ("chart", "adults", "d_items")),
     "means": (_MEANS.format(rows="matched"), ("matched",)),
-    "matched_all": (_matched("stays"), ("chart", "stays")),
+    "matched_all": (_matched("stays"), ("chart", "stays", "d_items")),
     "means_all": (_MEANS.format(rows="matched_all"), ("matched_all",)),
     **_wide_parts,
     "hours": (f"SELECT * FROM {_full_join}", tuple(_wide_parts)),
@@ -499,11 +499,11 @@ ORACLE: dict[str, str] = {
         "SELECT subject_id, icustay_id, charttime, "
         f"CAST(arg_min(itemid, list_position({_list(items.DIASTOLIC)}, itemid)) AS INTEGER) AS itemid, "
         f"round(arg_min(m, list_position({_list(items.DIASTOLIC)}, itemid)), 6) AS value FROM ("
-        "SELECT c.subject_id, a.icustay_id, c.charttime, c.itemid, avg(valuenum) AS m FROM chart c JOIN adults a "
+        "SELECT c.subject_id, a.icustay_id, c.charttime, c.itemid, avg(valuenum) AS m FROM chart c JOIN d_items d ON c.itemid = d.itemid JOIN adults a "
         "ON c.subject_id = a.subject_id AND c.charttime BETWEEN a.intime AND a.outtime "
         f"WHERE c.itemid IN {_in(items.DIASTOLIC)} GROUP BY ALL"
         ") WHERE m != 0 GROUP BY 1, 2, 3",
-        "chart", "adults",
+        "chart", "adults", "d_items",
     ),
     "adult_stays": _sql(
         "SELECT subject_id, icustay_id, intime, outtime, dbsource, round(age, 6) AS age FROM adults", "adults"

@@ -59,7 +59,7 @@ def rounded(df: DataFrame, *columns: str, places: int = 6) -> DataFrame:
 
 def _ladder(ladder: Sequence[int], with_item: bool = True) -> Query:
     def run(w: Ward) -> DataFrame:
-        return rounded(features.feature_table(w.chart, w.adults, ladder, "value", with_item), "value")
+        return rounded(features.feature_table(w.chart, w.adults, ladder, "value", with_item, w.d_items), "value")
 
     return run
 
@@ -100,7 +100,7 @@ def _grid_features(w: Ward) -> DataFrame:
 
 
 def _temperature_pair(w: Ward) -> DataFrame:
-    pair = rounded(features.temperature_pair(w.chart, w.adults), "temp_c", "temp_f")
+    pair = rounded(features.temperature_pair(w.chart, w.adults, w.d_items), "temp_c", "temp_f")
     # either side may be missing
     return pair.withColumns({c: F.col(c).cast("double") for c in ("c_subject_id", "f_subject_id")})
 
@@ -409,7 +409,7 @@ def _parse_bracketed(w: Ward) -> DataFrame:
 
 
 def _first_raw(w: Ward) -> DataFrame:
-    return rounded(features.first_raw_readings(w.chart, w.adults, items.DIASTOLIC), "value")
+    return rounded(features.first_raw_readings(w.chart, w.adults, items.DIASTOLIC, d_items=w.d_items), "value")
 
 
 def _labelled_raw_mean(w: Ward) -> DataFrame:
