@@ -33,7 +33,7 @@ HEADLINE = (
 
 
 def nine_scans(w: Ward) -> DataFrame:
-    tables = [feature_table(w.chart, w.adults, ladder, name) for name, ladder in items.WIDE_FEATURES.items()]
+    tables = [feature_table(w.chart, w.adults, ladder, name, d_items=w.d_items) for name, ladder in items.WIDE_FEATURES.items()]
     return reduce(lambda a, b: a.join(b, ["subject_id", "icustay_id", "charttime"], "full"), tables)
 
 

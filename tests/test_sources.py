@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wardline.functions.items import VITALS
-from wardline.sources import tables, text
+from wardline.sources import rows, tables, text
 
 T = datetime(2020, 1, 2, 3)
 
@@ -133,3 +133,29 @@ def test_dataset_folders(spark, tmp_path):
     assert one.count() == 1 and "stay_bucket" not in one.columns
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(stay_bucket" in plan
+
+
+def test_rows_and_rejects_of_text_files(spark, tmp_path):
+    folder = tmp_path / "many"
+    folder.mkdir()
+    (folder / "a.csv").write_text(
+        '"SUBJECT_ID","CHARTTIME","ITEMID","AVG_VALUE"\n1,2020-01-01 00:00:00,5, 1.5 \n2,2020-01-01 01:00:00,5,\n\n3,,5,2\n'
+    )
+    (folder / "b.csv").write_text(
+        "subject_id, charttime, itemid, avg_value\n4,2020-02-30 00:00:00,5,1\n5,2020-01-01 00:00:00,5\n6,2020-01-01 00:00:00,5,1,9\n"
+        '"7","2020-01-01 00:00:00",5,"1"\nx,2020-01-01 00:00:00,5,1\n8,yesterday,5,1\n,,,\n'
+    )
+    got = rows.read_rows(spark, str(folder), rows.CHART_ROW, ["subject_id", "charttime"])
+    assert sorted((r["subject_id"], r["itemid"], r["avg_value"]) for r in got.rows.collect()) == [(1, 5, 1.5), (2, 5, None), (7, 5, 1.0)]
+    reasons = sorted((r["reason"], r["line"][:1]) for r in got.rejects.collect())
+    assert reasons == [("malformed", x) for x in "4568x"] + [("missing charttime", "3"), ("missing subject_id", ",")]
+    assert got.rows.select("itemid").distinct().count() == 1 and got.rejects.select("reason").count() == 7
+    empty = rows.parse_rows(spark.createDataFrame([(None,), ("",)], "line string"), rows.STAY_ROW)
+    assert empty.rows.count() == empty.rejects.count() == 0
+
+
+def test_row_lines_round_trip(spark):
+    df = matrix(spark).select("subject_id", "icustay_id", "charttime", F.lit(None).cast("int").alias("none"), "bp_sys", "age")
+    schema = "subject_id long, icustay_id long, charttime timestamp_ntz, none int, bp_sys double, age int"
+    back = rows.parse_rows(rows.row_lines(df), schema, ["subject_id"])
+    assert sorted(back.rows.collect()) == sorted(df.collect()) and back.rejects.isEmpty()

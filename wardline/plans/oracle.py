@@ -719,6 +719,29 @@ ORACLE: dict[str, str] = {
         f"JOIN (SELECT * FROM other_fwd {_LAST}) b ON a.seq_id = b.seq_id",
         "fwd", "other_fwd",
     ),
+    "read_wide_rows": _sql(f"SELECT {_STAY_HOUR}, {_round(VITALS)}, age FROM wide WHERE charttime IS NOT NULL", "wide"),
+    "read_stay_rows": _sql(
+        "SELECT subject_id, icustay_id, date_trunc('second', intime) AS intime, date_trunc('second', outtime) AS outtime FROM stays "
+        "WHERE icustay_id % 13 <> 0 AND icustay_id % 17 <> 0 AND icustay_id % 11 <> 0",
+        "stays",
+    ),
+    "read_stay_rejects": _sql(
+        "SELECT CASE WHEN icustay_id % 13 = 0 OR icustay_id % 17 = 0 THEN 'malformed' ELSE 'missing intime' END AS reason, count(*) AS n "
+        "FROM stays WHERE icustay_id % 13 = 0 OR icustay_id % 17 = 0 OR icustay_id % 11 = 0 GROUP BY ALL",
+        "stays",
+    ),
+    "read_label_rows": _sql("SELECT subject_id, icustay_id, date_trunc('second', charttime) AS charttime FROM onsets WHERE subject_id % 5 <> 0", "onsets"),
+    "read_chart_rows": _sql(
+        "SELECT subject_id, date_trunc('second', charttime) AS charttime, CAST(itemid AS BIGINT) AS itemid, round(valuenum, 6) AS avg_value "
+        "FROM chart WHERE itemid NOT IN (211, 618)",
+        "chart",
+    ),
+    "read_chart_rejects": _sql(
+        "SELECT CASE WHEN itemid = 211 THEN 'malformed' ELSE 'missing charttime' END AS reason, count(*) AS n "
+        "FROM chart WHERE itemid IN (211, 618) GROUP BY ALL",
+        "chart",
+    ),
+    "read_cohort_rows": "SELECT DISTINCT user_id AS subject_id FROM events WHERE user_id % 7 > 1",
     "parse_tuples": _sql(
         f"SELECT icustay_id, charttime, label, {_round((*_MATRIX_VITALS, 'gcs'))}, age FROM matrix", "matrix"
     ),

@@ -34,7 +34,7 @@ from wardline.operators.hmm.model import Gaussian, Hmm, Mixture, Table
 from wardline.operators.stays import stay_bounds
 from wardline.plans.bindings import Ward
 from wardline.session import cut_lineage
-from wardline.sources import text
+from wardline.sources import rows, text
 
 Query = Callable[[Ward], DataFrame]
 
@@ -354,6 +354,54 @@ def _sgd(w: Ward) -> DataFrame:
     return classify.sgd_probabilities(w.matrix, ["icustay_id", "charttime"])
 
 
+def _stay_lines(w: Ward) -> DataFrame:
+    """Stays as lines: some without an admission time, some with an impossible time, some cut short."""
+    made = rows.row_lines(w.stays.select("subject_id", "icustay_id", "intime", "outtime"))
+    parts = F.split("line", ",")
+    # the numbers are read from the line again, as a foreign file would have them
+    stay = parts[1].cast("long")
+    line = (
+        F.when(stay % 13 == 0, F.concat_ws(",", parts[0], parts[1], parts[2], F.lit("2024-13-45 99:00:00")))
+        .when(stay % 17 == 0, F.concat_ws(",", parts[0], parts[1]))
+        .when(stay % 11 == 0, F.concat_ws(",", parts[0], parts[1], F.lit(""), parts[3]))
+        .otherwise(F.col("line"))
+    )
+    return made.select(line.alias("line"))
+
+
+def _chart_lines(w: Ward) -> DataFrame:
+    """Chart rows as lines: some values are words, some times are blank."""
+    value = F.when(F.col("itemid") == 211, F.lit("not done")).otherwise(F.round("valuenum", 6).cast("string"))
+    time = F.when(F.col("itemid") != 618, F.date_format("charttime", "yyyy-MM-dd HH:mm:ss"))
+    return w.chart.select(F.concat_ws(",", "subject_id", F.coalesce(time, F.lit("")), "itemid", value).alias("line"))
+
+
+def _reasons(rejects: DataFrame) -> DataFrame:
+    return rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _read_wide(w: Ward) -> DataFrame:
+    """Wide hours through lines; those without a time are rejects."""
+    made = rows.row_lines(rounded(w.features, *items.VITALS))
+    return rows.parse_rows(made, rows.WIDE_ROW, ["charttime"]).rows
+
+
+def _read_labels(w: Ward) -> DataFrame:
+    """Labels through lines; every fifth subject's have a field too many."""
+    made = rows.row_lines(w.labels.select("subject_id", "icustay_id", "charttime"))
+    extra = F.split("line", ",")[0].cast("long") % 5 == 0
+    lines = made.select(F.when(extra, F.concat("line", F.lit(",1"))).otherwise(F.col("line")).alias("line"))
+    return rows.parse_rows(lines, rows.LABEL_ROW, ["subject_id", "icustay_id", "charttime"]).rows
+
+
+def _read_cohort(w: Ward) -> DataFrame:
+    """Distinct ids of a one-column file, in which some ids have a letter and some lines are blank."""
+    who = F.col("user_id")
+    line = F.when(who % 7 == 0, F.concat(who, F.lit("x"))).when(who % 7 == 1, F.lit(" ")).otherwise(F.concat(F.lit(" "), who))
+    lines = w.events.select(line.alias("line"))
+    return rows.parse_rows(lines, rows.COHORT_ROW, ["subject_id"]).rows.distinct()
+
+
 def _parse_tuples(w: Ward) -> DataFrame:
     parsed = text.parse_labelled(text.labelled_lines(w.matrix))
     return rounded(
@@ -532,6 +580,14 @@ QUERIES: dict[str, Query] = {
     # classifiers
     "elastic_net": _elastic_net,
     "sgd_logit": _sgd,
+    # files of rows
+    "read_wide_rows": _read_wide,
+    "read_stay_rows": lambda w: rows.parse_rows(_stay_lines(w), rows.STAY_ROW, ["intime"]).rows,
+    "read_stay_rejects": lambda w: _reasons(rows.parse_rows(_stay_lines(w), rows.STAY_ROW, ["intime"]).rejects),
+    "read_label_rows": _read_labels,
+    "read_chart_rows": lambda w: rows.parse_rows(_chart_lines(w), rows.CHART_ROW, ["charttime"]).rows,
+    "read_chart_rejects": lambda w: _reasons(rows.parse_rows(_chart_lines(w), rows.CHART_ROW, ["charttime"]).rejects),
+    "read_cohort_rows": _read_cohort,
     # line formats
     "parse_tuples": _parse_tuples,
     "parse_matrix": _parse_matrix,
