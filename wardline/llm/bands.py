@@ -130,7 +130,11 @@ def assess(docs: DataFrame, text_col: str = "text", level: int = 3) -> DataFrame
 
 
 def keep(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows whose text passes, with the columns they came with."""
+    """The rows whose text passes, with the columns they came with.
+
+    Null and empty texts fail. Repeated rows are judged alike and all stay or go; rows without an
+    id are judged like others. An empty table stays empty, and no column name can clash.
+    """
     names = docs.columns
     kept = assess(docs.withColumnsRenamed({c: f"in_{c}" for c in names}), f"in_{text_col}").where("kept")
     return kept.select(*[kept[f"`in_{c}`"].alias(c) for c in names])

@@ -124,6 +124,37 @@ ORACLE: dict[str, str] = {
             sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM low LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)
     """,
+    "op7_bottomk_duplicates": r"""
+        WITH RECURSIVE low AS (SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        sets AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+            ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS grams FROM low),
+        each AS (SELECT doc_id, unnest(grams) AS gram FROM sets),
+        pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM each a JOIN each b ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY ALL),
+        links AS (SELECT a, b FROM pairs JOIN sets x ON x.doc_id = a JOIN sets y ON y.doc_id = b
+            WHERE 100 * n >= 85 * (len(x.grams) + len(y.grams) - n)),
+        both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+        reach AS (SELECT doc_id, doc_id AS c FROM sets UNION SELECT b, c FROM reach JOIN both_ways ON a = doc_id),
+        least AS (SELECT doc_id, min(c) AS component_id FROM reach GROUP BY doc_id)
+        SELECT doc_id, CAST(len(grams) AS BIGINT) AS n_shingles, component_id, component_id = doc_id AS kept FROM sets JOIN least USING (doc_id)
+    """,
+    "op8_columnwise_bwt": r"""
+        WITH bytes AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+        strings AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s FROM (
+            SELECT doc_id, h, unnest(range(0, len(h) // 2 - 49)) AS i FROM bytes WHERE len(h) >= 100)),
+        hits AS (SELECT doc_id, i FROM strings JOIN (SELECT s, min(doc_id) AS first FROM strings GROUP BY s HAVING min(doc_id) < max(doc_id)) USING (s)
+            WHERE doc_id > first),
+        runs AS (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM (
+            SELECT doc_id, i, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 50 THEN 0 ELSE 1 END AS new FROM hits)),
+        spans AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS b FROM runs GROUP BY doc_id, run),
+        gaps AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM spans),
+        rest AS (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS last,
+            string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept FROM gaps JOIN bytes USING (doc_id) GROUP BY doc_id)
+        SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+            CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+            sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+        FROM bytes LEFT JOIN rest USING (doc_id)
+    """,
     "op11_document_terms": r"""
         WITH d AS (SELECT doc_id, coalesce(text, '') AS t, coalesce(lang, '') AS part FROM documents),
         w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words, min(doc_id) OVER (PARTITION BY t) AS first FROM d),

@@ -153,7 +153,13 @@ def classify(found: DataFrame, labelled: DataFrame, max_rows: int = MAX_TRAINING
 
 
 def scan(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
-    """All candidates of all texts, judged. ``labelled`` findings default to those of the rules."""
+    """All candidates of all texts, judged. ``labelled`` findings default to those of the rules.
+
+    Null and empty texts have no candidates, and an empty table gives an empty result. Repeated
+    rows and repeated ids give their findings each; equal findings in equal places get equal
+    probabilities, and one half counts as a secret. A null path is an empty one, a null id stays.
+    Columns other than the id, the text and the path are not read, so no name can clash.
+    """
     # read by each round of the forest, so it is written once
     found = written(features(candidates(docs), dictionary(docs)), "candidates")
     return classify(found, findings_by_rule(found) if labelled is None else labelled)

@@ -178,7 +178,12 @@ _SCORED = pa.schema([("score", pa.float64()), ("predicted", pa.int32())])
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """Each row with score and predicted, from the whole text alone; a null text counts as empty."""
+    """Each row with score and predicted, from the whole text alone.
+
+    A null text counts as empty, and an empty one is scored too. Equal texts get equal scores, so
+    repeated rows stay and agree; an empty table gives an empty result. Other columns are kept;
+    those called score or predicted are replaced.
+    """
     docs = docs.select(*[docs[f"`{c}`"] for c in docs.columns if c not in _SCORED.names])
     own = docs.columns
     shared = docs.sparkSession.sparkContext.broadcast(model)

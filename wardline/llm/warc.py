@@ -204,7 +204,8 @@ def read_archive(spark: SparkSession, folder: str) -> DataFrame:
     """One row per record, each payload streamed through its digest and checked.
 
     A record's chunks meet in one task in order; it holds one chunk at a time. Raises
-    ``DamagedArchive`` in the task where bytes, count or digest do not agree.
+    ``DamagedArchive`` in the task where bytes, count or digest do not agree. An archive without
+    records gives an empty table; a record with an empty payload has one row like any other.
     """
     names = [f.split()[0] for f in RECORD_DDL.split(", ")]
     types = pa.schema([(n, pa.string() if t == "string" else pa.int64()) for n, t in (f.split() for f in RECORD_DDL.split(", "))])
