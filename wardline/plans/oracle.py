@@ -719,6 +719,26 @@ ORACLE: dict[str, str] = {
         f"JOIN (SELECT * FROM other_fwd {_LAST}) b ON a.seq_id = b.seq_id",
         "fwd", "other_fwd",
     ),
+    "kmeans": """
+        WITH RECURSIVE points AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+        seeds AS (SELECT x, min(vec_id) AS v FROM points GROUP BY x ORDER BY v LIMIT 10),
+        state AS (
+            SELECT 0 AS round, list(x ORDER BY v) AS centres, false AS still FROM seeds
+            UNION ALL
+            SELECT round + 1, moved, list_max(flatten(list_transform(range(1, len(moved) + 1), lambda j:
+                list_transform(range(1, len(moved[j]) + 1), lambda i: abs(moved[j][i] - centres[j][i]))))) <= 1e-9
+            FROM (SELECT round, centres, list_transform(range(1, len(centres) + 1), lambda j: coalesce(means[j], centres[j])) AS moved FROM (
+                SELECT any_value(round) AS round, any_value(centres) AS centres, map_from_entries(list((k, x))) AS means FROM (
+                    SELECT any_value(round) AS round, any_value(centres) AS centres, k, list(m ORDER BY i) AS x FROM (
+                        SELECT any_value(round) AS round, any_value(centres) AS centres, k, i, avg(x[i]) AS m FROM (
+                            SELECT round, centres, x, unnest(range(1, len(x) + 1)) AS i, list_position(d, list_min(d)) AS k FROM (
+                                SELECT round, centres, x, list_transform(centres, lambda c: list_distance(c, x)) AS d
+                                FROM state, points WHERE NOT still AND round < 100))
+                        GROUP BY k, i) GROUP BY k)) WHERE round IS NOT NULL)),
+        last AS (SELECT centres FROM state ORDER BY round DESC LIMIT 1)
+        SELECT vec_id, CAST(list_position(d, list_min(d)) - 1 AS INTEGER) AS cluster FROM (
+            SELECT vec_id, list_transform(centres, lambda c: list_distance(c, x)) AS d FROM last, points)
+    """,
     "read_wide_rows": _sql(f"SELECT {_STAY_HOUR}, {_round(VITALS)}, age FROM wide WHERE charttime IS NOT NULL", "wide"),
     "read_stay_rows": _sql(
         "SELECT subject_id, icustay_id, date_trunc('second', intime) AS intime, date_trunc('second', outtime) AS outtime FROM stays "
