@@ -31,6 +31,8 @@ FEATURES = (
     "slashes", "dots", "assigned", "quoted", "secret_word", "plain_word", "in_code_path",
 )
 
+_PLACE = ("id", "path", "nth", "value")
+
 #: A name of a secret with its sign of assignment and quote. Names end where the sign stands.
 _NAMED = r"(?i:api[_-]?key|access[_-]?key|auth|credentials?|passw(?:or)?d|passphrase|private[_-]?key|pwd|secret|token)[A-Za-z0-9_\-]{0,20}[\"'`]?[ \t]{0,3}(?::=|=>|=|:)[ \t]{0,3}"
 #: Values by their place, of any length and characters: quoted or bare after such a name, or the password of an address.
@@ -129,10 +131,11 @@ def classify(found: DataFrame, labelled: DataFrame, max_rows: int = MAX_TRAINING
     forest reads ``max_rows`` of them, half of each label at most. With one label only, that
     label is the answer; with none, every probability is 0.5 and all candidates stay findings.
     """
-    key = F.xxhash64(*FEATURES)
-    known = labelled.where(F.col("label").isNotNull()).select("label", *FEATURES)
-    sides = [known.where(F.col("label") == x).orderBy(key).limit(max_rows // 2) for x in (0.0, 1.0)]
-    sample = sides[0].unionByName(sides[1])
+    # by place and value, so that findings of equal features are not drawn together
+    key = F.xxhash64(*[c for c in _PLACE if c in labelled.columns], *FEATURES).alias("_key")
+    known = labelled.where(F.col("label").isNotNull()).select("label", *FEATURES, key)
+    sides = [known.where(F.col("label") == x).orderBy("_key", *FEATURES).limit(max_rows // 2) for x in (0.0, 1.0)]
+    sample = sides[0].unionByName(sides[1]).drop("_key")
     counts = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(counts) < 2:
         probability = F.lit(next(iter(counts)) if counts else 0.5)
