@@ -360,6 +360,28 @@ def test_trees_of_any_depth_equal_the_plain_recursion(spark, monkeypatch, fan):
     ]
 
 
+def test_rounds_over_chunks_that_lie_together_move_no_chunk(spark, monkeypatch):
+    """Short sequences, though all of them span more than a node; the results are the tree's."""
+    from dataclasses import replace
+
+    from wardline.operators.hmm import chunks
+
+    for module in (chunks, decode):
+        monkeypatch.setattr(module, "FAN", 16)
+    rnd = random.Random(3)
+    rows = [(s, 50 * s + t, rnd.gauss(40, 30)) for s in range(1, 6) for t in range(5 + 5 * s)]
+    cut = chunks.chunked(spark.createDataFrame(rows, "seq_id long, t long, obs double"), 4)
+    assert cut.together and cut.levels > 0
+    for ready in (chunks.with_ends(cut, chunks.numbers(REAL)), decode.decoded(cut, REAL)):
+        plan = ready._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+    tree = replace(cut, rows=cut.rows.cache(), together=False)
+    start = train.uniform([Gaussian(40.0, 900.0)] * 2)
+    for round_of in (lambda c: train.improve(c, REAL), lambda c: train._relearn(c, REAL, start)):
+        assert train._numbers(round_of(cut)) == pytest.approx(train._numbers(round_of(tree)))
+    tree.unpersist()
+
+
 def test_a_missing_observation_says_nothing(spark):
     df = spark.createDataFrame([(1, 0, 20.0), (1, 1, None), (1, 2, 90.0)], "seq_id long, t long, obs double")
     a, pi = np.array(REAL.transitions), np.array(REAL.initial)
