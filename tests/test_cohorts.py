@@ -177,3 +177,22 @@ def test_stochastic_passes_equal_the_steps_written_out(spark):
         seen += max(len(part) for part in parts)
     assert classify.fit_sgd(m.repartition(7), ["id"], ["a", "b"], shard_rows=75) == pytest.approx(average)
     assert classify.fit_sgd(m.limit(0), ["id"], ["a", "b"]) == [0.0] * 3
+
+
+def test_counts_of_many_groups_are_shared_by_more_tasks(spark, monkeypatch):
+    """Tasks grow with the groups; repeated labels, missing keys and unlisted items count as before."""
+    rows = [(i % 40 if i % 41 else None, i % 3, "AN"[i % 2]) for i in range(400)]
+    events = spark.createDataFrame(rows, "subject_id long, itemid long, flag string")
+    names = spark.createDataFrame([(0, "a"), (0, "a"), (1, None), (None, "b")], "itemid long, label string")
+    want = {}
+    for subject, item, flag in rows:
+        if item in (0, 1):
+            key = (item, subject, flag, "a" if item == 0 else None)
+            want[key] = want.get(key, 0) + (2 if item == 0 else 1)
+    for tasks_groups in (500_000, 10):
+        monkeypatch.setattr(summary, "GROUPS_OF_TASK", tasks_groups)
+        counts = summary.item_counts(events, names, "subject_id", "flag")
+        assert {tuple(r)[:4]: r["n"] for r in counts.collect()} == want
+    assert counts.columns == ["itemid", "subject_id", "flag", "label", "n"]
+    monkeypatch.setattr(summary, "GROUPS_OF_TASK", 10)
+    assert "REPARTITION_BY_NUM" in summary.item_counts(events, names, "subject_id", "flag")._jdf.queryExecution().executedPlan().toString()

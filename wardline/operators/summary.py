@@ -7,19 +7,33 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wardline.session import shuffle_partitions
+
+
+#: Groups that one task counts and labels.
+GROUPS_OF_TASK = 500_000
+
 
 def item_counts(events: DataFrame, d_items: DataFrame, *extra: str) -> DataFrame:
     """Rows per item (and ``extra`` columns) with the item's label.
 
-    Events are counted per id before the label join, so the join moves one row per group
-    and a frequent item costs no more than a rare one.
+    Events are counted per id before the label join, so the join moves one row per group. A label
+    that the dictionary repeats counts as often. With ``extra`` columns there may be as many groups
+    as events: their number, by an approximate count, then decides how many tasks share them.
     """
-    counts = events.groupBy("itemid", *extra).agg(F.count(F.lit(1)).alias("_n"))
-    return (
-        counts.join(d_items.select("itemid", "label"), "itemid")
-        .groupBy("itemid", *extra, "label")
-        .agg(F.sum("_n").alias("n"))
-    )
+    keys = ["itemid", *extra]
+    tasks = 0
+    if extra:
+        groups = events.agg(F.approx_count_distinct(F.struct(*keys))).first()[0]
+        tasks = -(-groups // GROUPS_OF_TASK)
+    many = tasks > shuffle_partitions(events.sparkSession)
+    if many:
+        events = events.select(*keys).repartition(tasks, *keys)
+    counts = events.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    if many:
+        counts = counts.repartition(tasks, "itemid")
+    labels = d_items.groupBy("itemid", "label").agg(F.count(F.lit(1)).alias("_copies"))
+    return counts.join(labels, "itemid").select(*keys, "label", (F.col("_n") * F.col("_copies")).alias("n"))
 
 
 def value_counts(rows: DataFrame, column: str, contains: str | None = None) -> DataFrame:
