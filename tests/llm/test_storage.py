@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import random
 import zlib
 
 import pytest
@@ -66,6 +67,80 @@ def test_damage_is_found(spark):
         warc.read_archive(spark, bad).collect()
 
 
+def _shuffled_bytes(df):
+    df.collect()
+    todo, total = [df._jdf.queryExecution().executedPlan()], 0
+    while todo:
+        node = todo.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        else:
+            if node.metrics().contains("shuffleBytesWritten"):
+                total += node.metrics().apply("shuffleBytesWritten").value()
+            todo += [node.children().apply(i) for i in range(node.children().size())]
+    return total
+
+
+def _random_pages(spark, sizes):
+    rng = random.Random(5)
+    rows = [(i, rng.randbytes(n // 2).hex()) for i, n in enumerate(sizes)]
+    return rows, spark.createDataFrame([(p, h, f"http://a/{p}") for p, h in rows], "page_id long, html string, url string")
+
+
+@pytest.mark.parametrize("chunk_bytes", [700, warc.CHUNK_BYTES])
+def test_reader_does_not_shuffle_the_archive(spark, chunk_bytes):
+    folder = new_folder(spark, "test-warc")
+    rows, pages = _random_pages(spark, [4000] * 600)
+    warc.write_archive(warc.mark_revisits(pages), folder, chunk_bytes)
+    got = warc.read_archive(spark, folder)
+    data = spark.read.parquet(folder).selectExpr("sum(length(data))").first()[0]
+    assert data > 1_000_000
+    assert 0 < _shuffled_bytes(got) < data / 10
+    assert _got(got) == _expected(rows)
+
+
+def test_records_cut_by_splits(spark):
+    folder = new_folder(spark, "test-warc")
+    rows, pages = _random_pages(spark, [*range(0, 40_000, 800), 0, 120_000])
+    chunks = warc.chunk_table(warc.mark_revisits(pages).coalesce(1), 500)
+    chunks.write.option("parquet.block.size", 20_000).option("compression", "none").parquet(folder)
+    splits = {"spark.sql.files.maxPartitionBytes": "20k", "spark.sql.files.openCostInBytes": "20k"}
+    before = {k: spark.conf.get(k) for k in splits}
+    try:
+        for k, v in splits.items():
+            spark.conf.set(k, v)
+        of = spark.read.parquet(folder).selectExpr("record_no", "spark_partition_id() AS part").distinct().groupBy("record_no").count().collect()
+        assert sum(r["count"] > 1 for r in of) > 3 and sum(r["count"] == 1 for r in of) > 3
+        assert _got(warc.read_archive(spark, folder)) == _expected(rows)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("held_bytes", [0, 1000, warc.HELD_BYTES])
+def test_records_out_of_order_or_beyond_what_is_held(spark, held_bytes):
+    folder, mixed = new_folder(spark, "test-warc"), new_folder(spark, "test-warc")
+    rows, pages = _random_pages(spark, [0, 10, 900, 900, 2500, 30_000, 60_000])
+    warc.write_archive(warc.mark_revisits(pages), folder, chunk_bytes=500)
+    spark.read.parquet(folder).orderBy("chunk_no", "record_no").write.parquet(mixed)
+    for at in (folder, mixed):
+        assert _got(warc.read_archive(spark, at, held_bytes)) == _expected(rows)
+
+
+@pytest.mark.parametrize("chunk_no", [0, 1])
+def test_a_record_that_comes_twice_is_found(spark, chunk_no):
+    folder = new_folder(spark, "test-warc")
+    _, pages = _random_pages(spark, [10, 3000])
+    warc.write_archive(warc.mark_revisits(pages), folder, chunk_bytes=500)
+    again = spark.createDataFrame(spark.read.parquet(folder).where(f"chunk_no = {chunk_no}").collect(), warc.CHUNK_DDL)
+    again.write.mode("append").parquet(folder)
+    with pytest.raises(Exception, match="is there twice|is missing"):
+        warc.read_archive(spark, folder).collect()
+
+
 def test_empty_archive(spark):
     folder = new_folder(spark, "test-warc")
     warc.write_archive(warc.mark_revisits(spark.createDataFrame([], "page_id long, html string, url string")), folder)

@@ -3,7 +3,8 @@
 An archive is a Parquet table of (record_no, chunk_no, data): the data of a record's chunks,
 one after the other, is one gzip member that holds one WARC/1.1 record. Payloads pass through
 in pieces, and each chunk row carries the count and digest of the payload up to its end, so
-neither writer nor reader holds a second copy of a payload, however long.
+neither writer nor reader holds a second copy of a payload, however long. A record is read where
+its chunks lie; the reader holds at most ``HELD_BYTES`` of compressed chunks for those it must pass on.
 """
 
 from __future__ import annotations
@@ -20,10 +21,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHUNK_BYTES = 256 << 10
+HELD_BYTES = 16 << 20
 _FEED = 256 << 10
 _BATCH_BYTES = 4 << 20
 CHUNK_DDL = "record_no long, chunk_no long, data binary, payload_bytes long, running_sha1 string"
 RECORD_DDL = "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, n_chunks long"
+# a chunk, or the row of a record that is read already; the other columns are null
+_PART_DDL = "record_no long, chunk_no long, data binary, bytes_so_far long, running_sha1 string, " + RECORD_DDL
 _IDS = uuid.uuid5(uuid.NAMESPACE_URL, "urn:wardline:record")
 
 
@@ -200,30 +204,79 @@ class _Reader:
         )
 
 
-def read_archive(spark: SparkSession, folder: str) -> DataFrame:
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    for batch in batches:
+        yield from zip(*((x.as_py() for x in column) for column in batch.columns), strict=True)
+
+
+def _batches(rows: Iterator[tuple], ddl: str) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of about ``_BATCH_BYTES`` of data."""
+    kinds = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
+    schema = pa.schema([(n, kinds[t]) for n, t in (f.split() for f in ddl.split(", "))])
+    made: list[tuple] = []
+    size = 0
+    for row in rows:
+        made.append(row)
+        size += 100 + sum(len(x) for x in row if isinstance(x, bytes))
+        if size >= _BATCH_BYTES:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*made, strict=True), schema, strict=True)], schema=schema)
+            made, size = [], 0
+    if made:
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*made, strict=True), schema, strict=True)], schema=schema)
+
+
+def _read_in_place(chunks: Iterator[tuple], held_bytes: int) -> Iterator[tuple]:
+    """Rows of records whose chunks follow one another here; the chunks of all others, as they are."""
+    no_record = (None,) * len(RECORD_DDL.split(", "))
+    reader, current, size = None, None, 0
+    held: list[tuple] = []
+    for row in chunks:
+        record, number, data, done, running = row
+        if number == 0 or reader is None or record != current or number != reader.chunks or size + len(data) > held_bytes:
+            yield from held
+            reader, current, held, size = _Reader() if number == 0 else None, record, [], 0
+        if reader is None:
+            yield *row, *no_record
+            continue
+        reader.feed(number, data, done, running)
+        if reader.unpack.eof:
+            yield record, None, None, None, None, *reader.record()
+            reader, held = None, []
+        else:
+            held.append((*row, *no_record))
+            size += len(data)
+    yield from held
+
+
+def _read_parts(parts: Iterator[tuple]) -> Iterator[tuple]:
+    """Every record's row, from parts by record and chunk; rows of records come before chunks."""
+    reader, current = None, None
+    for record, number, data, done, running, *found in parts:
+        if record != current:
+            if reader is not None:
+                yield reader.record()
+            reader, current = _Reader() if number is not None else None, record
+            if reader is None:
+                yield tuple(found)
+                continue
+        elif reader is None:
+            raise DamagedArchive(f"record {record} is there twice")
+        reader.feed(number, data, done, running)
+    if reader is not None:
+        yield reader.record()
+
+
+def read_archive(spark: SparkSession, folder: str, held_bytes: int = HELD_BYTES) -> DataFrame:
     """One row per record, each payload streamed through its digest and checked.
 
-    A record's chunks meet in one task in order; it holds one chunk at a time. Raises
-    ``DamagedArchive`` in the task where bytes, count or digest do not agree. An archive without
-    records gives an empty table; a record with an empty payload has one row like any other.
+    A task reads the records whose chunks it meets whole and in order, as they were written, and
+    moves their rows only. Chunks of a record that lie otherwise (cut by a split of a file, out of
+    order, or of more than ``held_bytes`` compressed) meet in one task in order; it holds one
+    chunk at a time. Raises ``DamagedArchive`` in the task where bytes, count or digest do not
+    agree, or where a record comes twice. An archive without records gives an empty table; a
+    record with an empty payload has one row like any other.
     """
-    names = [f.split()[0] for f in RECORD_DDL.split(", ")]
-    types = pa.schema([(n, pa.string() if t == "string" else pa.int64()) for n, t in (f.split() for f in RECORD_DDL.split(", "))])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader, current = _Reader(), None
-        for batch in batches:
-            done = []
-            for record, number, size, running, i in zip(*(batch.column(c).to_pylist() for c in ("record_no", "chunk_no", "payload_bytes", "running_sha1")), range(batch.num_rows), strict=True):
-                if record != current:
-                    if current is not None:
-                        done.append(reader.record())
-                    reader, current = _Reader(), record
-                reader.feed(number, batch.column("data")[i].as_buffer().to_pybytes(), size, running)
-            if done:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*done, strict=True), types, strict=True)], names=names)
-        if current is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([c], f.type) for c, f in zip(reader.record(), types, strict=True)], names=names)
-
     chunks = spark.read.schema(CHUNK_DDL).parquet(folder)
-    return chunks.repartition("record_no").sortWithinPartitions("record_no", "chunk_no").mapInArrow(run, RECORD_DDL)
+    parts = chunks.mapInArrow(lambda batches: _batches(_read_in_place(_rows(batches), held_bytes), _PART_DDL), _PART_DDL)
+    parts = parts.repartition("record_no").sortWithinPartitions("record_no", "chunk_no")
+    return parts.mapInArrow(lambda batches: _batches(_read_parts(_rows(batches)), RECORD_DDL), RECORD_DDL)
