@@ -382,6 +382,31 @@ def test_rounds_over_chunks_that_lie_together_move_no_chunk(spark, monkeypatch):
     tree.unpersist()
 
 
+def test_a_round_over_kept_runs_is_one_job(spark):
+    """It starts no query; kept or not, and with labels met in the task or in a window, models are the same."""
+    from dataclasses import replace
+
+    from wardline.operators.hmm import chunks
+
+    rnd = random.Random(9)
+    rows = [(s, 40 * s + t, rnd.gauss(40, 30), rnd.randrange(2)) for s in range(1, 6) for t in range(5 + 5 * s)]
+    cut = chunks.chunked(spark.createDataFrame(rows, "seq_id long, t long, obs double, state int"), 4, also=["state"])
+    start, kept = train.uniform([Gaussian(40.0, 900.0)] * 2), cut.persist()
+    rounds = [lambda c: train.improve(c, REAL), lambda c: train._relearn(c, REAL, start), lambda c: train._learn_given(c, start)]
+    for i, round_of in enumerate(rounds):
+        want = train._numbers(round_of(cut))
+        spark.sparkContext.setJobGroup(f"round {i}", "")
+        assert train._numbers(round_of(kept)) == pytest.approx(want)
+        round_of(kept)
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(f"round {i}")
+        assert len(jobs) == 2
+    kept.unpersist()
+    tree = replace(cut, rows=cut.rows.cache(), together=False)
+    assert train._numbers(train._learn_given(tree, start)) == pytest.approx(want)
+    tree.unpersist()
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_a_missing_observation_says_nothing(spark):
     df = spark.createDataFrame([(1, 0, 20.0), (1, 1, None), (1, 2, 90.0)], "seq_id long, t long, obs double")
     a, pi = np.array(REAL.transitions), np.array(REAL.initial)

@@ -6,13 +6,15 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
+from pyspark import RDD, StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardline.functions.arrays import literal_array
 
 TOLERANCE = 1e-9
+#: Sums of more tasks than this are added up by tasks before they reach the driver.
+MOST_PARTS = 200
 
 
 def _nearest(x: Column, centres: Sequence[Sequence[float]]) -> Column:
@@ -43,27 +45,38 @@ def first_distinct(points: DataFrame, column: str, order: Sequence[str], k: int)
     return found
 
 
-def _partial_sums(centres: Sequence[Sequence[float]]):
-    """Task function: size and vector sum of each cluster over the task's points."""
+def _kept_blocks(points: DataFrame, width: int) -> RDD:
+    """The vectors as arrays, kept by the tasks that hold them: a round then plans no query and turns no row into Arrow."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = np.ascontiguousarray(batch.column(0).flatten().to_numpy(zero_copy_only=False), dtype=float)
+            # fails on vectors of unequal length
+            yield pa.RecordBatch.from_arrays([pa.array([x.reshape(batch.num_rows, width).tobytes()], pa.binary())], names=["block"])
+
+    rows = points.mapInArrow(pack, "block binary").rdd
+    return rows.map(lambda r: np.frombuffer(r["block"]).reshape(-1, width)).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _sums(blocks: RDD, centres: Sequence[Sequence[float]]) -> np.ndarray:
+    """Size and vector sum of each cluster; each task folds its points into one array of that shape."""
     held = np.asarray(centres, dtype=float)
 
-    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def fold(part: Iterator[np.ndarray]) -> Iterator[np.ndarray]:
         k, d = held.shape
         sums = np.zeros((k, d + 1))
-        for batch in batches:
-            points = batch.column(0)
-            x = points.flatten().to_numpy(zero_copy_only=False).reshape(len(points), d)
+        for x in part:
             distances = np.stack([((x - c) ** 2).sum(axis=1) for c in held], axis=1)
             nearest = distances.argmin(axis=1)
             sums[:, 0] += np.bincount(nearest, minlength=k)
             for c in range(k):
                 sums[c, 1:] += x[nearest == c].sum(axis=0)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(range(k), pa.int32()), pa.array(list(sums), pa.list_(pa.float64()))],
-            names=["cluster", "s"],
-        )
+        yield sums
 
-    return fold
+    parts = blocks.mapPartitions(fold)
+    if parts.getNumPartitions() > MOST_PARTS:
+        return parts.treeReduce(np.add)
+    return sum(parts.collect(), np.zeros((held.shape[0], held.shape[1] + 1)))
 
 
 def kmeans(
@@ -71,24 +84,18 @@ def kmeans(
 ) -> list[list[float]]:
     """Centres after moving points to the nearest centre until the centres stand still.
 
-    Tasks fold their points into one sum per cluster; only those sums are shuffled, and each
-    round returns k vectors to the driver. A centre without points stays.
+    Tasks fold their points into one sum per cluster; only those sums are returned, and each
+    round adds them up to k vectors at the driver. A centre without points stays.
     """
     points = points.select(column, *order).persist(StorageLevel.MEMORY_AND_DISK)
+    blocks = None
     try:
         centres = first_distinct(points, column, order, k)
+        blocks = _kept_blocks(points.select(column), len(centres[0]))
         for _ in range(max_iterations):
-            cells = (
-                points.select(column)
-                .mapInArrow(_partial_sums(centres), "cluster int, s array<double>")
-                .select("cluster", F.posexplode("s").alias("p", "v"))
-                .groupBy("cluster", "p")
-                .agg(F.sum("v").alias("v"))
-                .collect()
-            )
-            sums = np.zeros((len(centres), len(centres[0]) + 1))
-            for r in cells:
-                sums[r["cluster"], r["p"]] = r["v"]
+            sums = _sums(blocks, centres)
+            # the blocks are kept from the first round on
+            points.unpersist()
             moved = [
                 list(s[1:] / s[0]) if s[0] > 0 else list(c) for s, c in zip(sums, centres)
             ]
@@ -99,6 +106,8 @@ def kmeans(
         return centres
     finally:
         points.unpersist()
+        if blocks is not None:
+            blocks.unpersist()
 
 
 def assign(points: DataFrame, column: str, centres: Sequence[Sequence[float]]) -> DataFrame:
