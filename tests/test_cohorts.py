@@ -196,3 +196,18 @@ def test_counts_of_many_groups_are_shared_by_more_tasks(spark, monkeypatch):
     assert counts.columns == ["itemid", "subject_id", "flag", "label", "n"]
     monkeypatch.setattr(summary, "GROUPS_OF_TASK", 10)
     assert "REPARTITION_BY_NUM" in summary.item_counts(events, names, "subject_id", "flag")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stochastic_scores_run_what_is_behind_the_matrix_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counted(x):
+        seen.add(1)
+        return x
+
+    rows = [(i, float(i % 2), *[float(i % 7 + j) for j in range(len(classify.FEATURES))]) for i in range(60)]
+    plain = spark.createDataFrame(rows, ["id", "label", *classify.FEATURES])
+    got = {r["id"]: r["p1"] for r in classify.sgd_probabilities(plain.withColumn("label", counted("label")), ["id"]).collect()}
+    assert seen.value == 60
+    assert got == pytest.approx({r["id"]: r["p1"] for r in classify.sgd_probabilities(plain, ["id"]).collect()})

@@ -14,6 +14,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardline.session import cut_lineage
+
 FEATURES = ("bp_dia", "bp_sys", "heart_rate", "resp_rate", "temp_f", "spo2", "gcs", "age")
 # Settings of the two models.
 ELASTIC_NET_MIX = 0.15
@@ -134,7 +136,11 @@ def _weights_row(w: np.ndarray, n: int) -> pa.RecordBatch:
 def sgd_probabilities(
     matrix: DataFrame, keys: Sequence[str], features: Sequence[str] = FEATURES
 ) -> DataFrame:
-    """Two stochastic passes with an elastic-net penalty, then class probabilities of the training rows."""
+    """Two stochastic passes with an elastic-net penalty, then class probabilities of the training rows.
+
+    The matrix is counted, fitted and scored, so it is written first: what is behind it is planned and run once.
+    """
+    matrix = cut_lineage(matrix)
     *weights, intercept = fit_sgd(matrix, keys, features)
     margin = F.lit(intercept)
     for f, w in zip(features, weights):
