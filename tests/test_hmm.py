@@ -393,6 +393,11 @@ def test_a_round_over_kept_runs_is_one_job(spark):
     cut = chunks.chunked(spark.createDataFrame(rows, "seq_id long, t long, obs double, state int"), 4, also=["state"])
     start, kept = train.uniform([Gaussian(40.0, 900.0)] * 2), cut.persist()
     rounds = [lambda c: train.improve(c, REAL), lambda c: train._relearn(c, REAL, start), lambda c: train._learn_given(c, start)]
+    assert kept.steps == len(rows) and kept.runs.getNumPartitions() <= max(4, spark.sparkContext.defaultParallelism)
+    many = replace(cut, rows=cut.rows.repartition(300, "seq_id").sortWithinPartitions("seq_id", "chunk")).persist()
+    assert many.runs.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    assert train._numbers(train.improve(many, REAL)) == pytest.approx(train._numbers(train.improve(cut, REAL)))
+    many.unpersist()
     for i, round_of in enumerate(rounds):
         want = train._numbers(round_of(cut))
         spark.sparkContext.setJobGroup(f"round {i}", "")

@@ -35,6 +35,8 @@ CHUNK_STEPS = 128
 FAN = 128
 #: Steps that are worked out at once.
 BATCH_STEPS = 1 << 16
+#: Steps below which a task of a round is hardly longer than its start; partitions of fewer are taken together.
+TASK_STEPS = 1 << 18
 KEYS = ["seq_id", "chunk"]
 
 
@@ -48,12 +50,14 @@ class Chunks:
     rows: DataFrame
     levels: int
     together: bool = False
+    #: Steps of all sequences.
+    steps: int = 0
     #: Kept runs of chunks that lie together, see :func:`kept_runs`.
     runs: RDD | None = None
 
     def persist(self) -> "Chunks":
         if self.together:
-            return replace(self, runs=kept_runs(self.rows))
+            return replace(self, runs=kept_runs(self.rows, self.steps))
         return replace(self, rows=self.rows.persist(StorageLevel.MEMORY_AND_DISK))
 
     def unpersist(self) -> None:
@@ -67,8 +71,8 @@ def chunked(steps: DataFrame, chunk_steps: int = CHUNK_STEPS, also: Sequence[str
     execution must not merge partitions by size.
     """
     chunk = F.floor(F.col("t") / chunk_steps)
-    spans = steps.groupBy("seq_id").agg(F.min(chunk).alias("low"), F.max(chunk).alias("high"))
-    low, high, most = spans.agg(F.min("low"), F.max("high"), F.max(F.col("high") - F.col("low") + 1)).first()
+    spans = steps.groupBy("seq_id").agg(F.min(chunk).alias("low"), F.max(chunk).alias("high"), F.count(F.lit(1)).alias("n"))
+    low, high, most, n = spans.agg(F.min("low"), F.max("high"), F.max(F.col("high") - F.col("low") + 1), F.sum("n")).first()
     together = most is None or most <= FAN
     levels, width = 0, 0 if low is None else high - low + 1
     while width > FAN:
@@ -82,7 +86,7 @@ def chunked(steps: DataFrame, chunk_steps: int = CHUNK_STEPS, also: Sequence[str
         .agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("_steps"))
         .select(*KEYS, *[F.col(f"_steps.{f}").alias(f) for f in fields])
     )
-    return Chunks(rows.sortWithinPartitions(*KEYS) if together else rows, levels, together)
+    return Chunks(rows.sortWithinPartitions(*KEYS) if together else rows, levels, together, n or 0)
 
 
 @dataclass(frozen=True)
@@ -181,10 +185,11 @@ def sequence_map(rows: DataFrame, work: Callable[[pa.RecordBatch, np.ndarray], p
 RUNS = StructType([StructField("run", BinaryType()), StructField("begins", ArrayType(LongType()))])
 
 
-def kept_runs(rows: DataFrame) -> RDD:
+def kept_runs(rows: DataFrame, steps: int) -> RDD:
     """Bounded runs of whole sequences and where each begins, kept as Arrow bytes by the tasks that hold them.
 
     A round of a fit is then one short job over them: no query is planned and no row is turned into Arrow again.
+    Its tasks go by the number of steps, at least one a core, whatever the number of partitions of the session.
     """
 
     def pack(batch: pa.RecordBatch, at: np.ndarray) -> pa.RecordBatch:
@@ -194,7 +199,7 @@ def kept_runs(rows: DataFrame) -> RDD:
         return pa.RecordBatch.from_arrays([pa.array([sink.getvalue().to_pybytes()], pa.binary()), pa.array([at], pa.list_(pa.int64()))], schema=pa.schema({"run": pa.binary(), "begins": pa.list_(pa.int64())}))
 
     packed = sequence_map(rows, pack, RUNS).rdd.map(lambda r: (bytes(r["run"]), np.array(r["begins"], dtype=np.int64)))
-    return packed.persist(StorageLevel.MEMORY_AND_DISK)
+    return packed.coalesce(max(rows.sparkSession.sparkContext.defaultParallelism, -(-steps // TASK_STEPS))).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def run_sums(runs: RDD, work: Callable[[pa.RecordBatch, np.ndarray], np.ndarray]) -> np.ndarray | None:

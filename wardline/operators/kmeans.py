@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from wardline.functions.arrays import literal_array
 
 TOLERANCE = 1e-9
+#: Values of points that one task of a round goes through at least.
+TASK_VALUES = 1 << 21
 #: Sums of more tasks than this are added up by tasks before they reach the driver.
 MOST_PARTS = 200
 
@@ -54,7 +56,9 @@ def _kept_blocks(points: DataFrame, width: int) -> RDD:
             # fails on vectors of unequal length
             yield pa.RecordBatch.from_arrays([pa.array([x.reshape(batch.num_rows, width).tobytes()], pa.binary())], names=["block"])
 
-    rows = points.mapInArrow(pack, "block binary").rdd
+    # tasks go by the number of values, at least one a core, whatever the number of partitions
+    tasks = max(points.sparkSession.sparkContext.defaultParallelism, -(-points.count() * width // TASK_VALUES))
+    rows = points.mapInArrow(pack, "block binary").rdd.coalesce(tasks)
     return rows.map(lambda r: np.frombuffer(r["block"]).reshape(-1, width)).persist(StorageLevel.MEMORY_AND_DISK)
 
 
